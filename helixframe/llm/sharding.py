@@ -1,13 +1,13 @@
 """Sharding: a Feistel permutation with cycle walking over global row numbers.
 
-Rows are numbered in ascending order of (doc_id, size, crc); the permutation of [0, rows) that a key selects gives each
+Rows are numbered by bucket (a hash of doc_id), then (doc_id, size, crc); the permutation of [0, rows) that a key selects gives each
 row a place, and place modulo and over the number of shards are its shard and slot. Nothing but the row number, the
 number of rows and the key is needed to compute either, and counts of shards differ by one at most (law `rows`).
 
-Numbering is two-phase: narrow rows are range-partitioned, sorted and written with their number inside the partition;
-partition counts then give offsets. No global sort of texts and no single-task window over rows.
+Numbering is two-phase: counts of many small buckets give every bucket its first number, and narrow rows (no text) are
+ranked inside their bucket. There is no global sort and no task that sees more than some buckets.
 
-Defined cases: a null text has size 1 and the CRC of no bytes; null doc_ids sort first; repeated rows get different
+Defined cases: a null text has size 1 and the CRC of no bytes; repeated rows get different
 places; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import table, text_or_empty, written
+from helixframe.llm.common import table, text_or_empty
 
 SHARDS = 16
 KEY = 20_240_229
@@ -54,16 +54,17 @@ def permute(rows: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out
 
 
-def numbered(df: DataFrame, *order: str) -> tuple[DataFrame, int]:
-    """df with the global row number `row` in ascending order of the given columns, and the number of rows."""
-    inside = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("mid", F.monotonically_increasing_id())
-    kept = written(inside, "numbered")
-    part = F.shiftrightunsigned("mid", 33)
-    counts = kept.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    before = counts.select(F.col("part").alias("before_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    rows = kept.join(before, part == F.col("before_part")).withColumn("row", F.col("before") + F.col("mid").bitwiseAND((1 << 33) - 1))
-    return rows.drop("mid", "before_part", "before"), total
+def numbered(df: DataFrame, key: str, *order: str) -> tuple[DataFrame, int]:
+    """df with the global row number `row`, and the number of rows. Rows are dealt into buckets by a hash of `key` and
+    numbered inside by (key, order); sums of bucket counts, about one for 50,000 rows, give each bucket's first number."""
+    n = df.count()
+    buckets = max(1024, n // 50_000)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    counts = df.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    before = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("bucket").orderBy(key, *order)) - 1
+    rows = df.withColumn("bucket", bucket).withColumn("inside", inside).join(before, "bucket").withColumn("row", F.col("before") + F.col("inside"))
+    return rows.drop("bucket", "inside", "before"), n
 
 
 def shard_rows(docs: DataFrame, shards: int = SHARDS, key: int = KEY) -> DataFrame:
