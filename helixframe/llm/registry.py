@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from helixframe.llm import html, packing, pii, quality, secrets, sharding, tokenfile, warc
+from helixframe.llm import decontaminate, html, jaccard, packing, pii, quality, secrets, sharding, tokenfile, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_jaccard": jaccard.op2_jaccard,
     "op3_html": html.op3_html,
     "op4_warc": warc.op4_warc,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_pii": pii.op6_pii,
     "op7_token_file": tokenfile.op7_token_file,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_decontamination": decontaminate.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
 }
-ORACLES = {"op4_warc": warc.OP4_SQL}
+ORACLES = {"op2_jaccard": jaccard.OP2_SQL, "op4_warc": warc.OP4_SQL}
