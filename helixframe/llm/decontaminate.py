@@ -168,16 +168,21 @@ def by_seeds(docs: DataFrame, bench: DataFrame, least: int, share: float) -> Dat
     return both.mapInArrow(run, MATCHES)
 
 
+def small_benchmark(bench: DataFrame, most_bytes: int) -> list[tuple[int, str]] | None:
+    """The items in order, or None if their texts are larger than `most_bytes`."""
+    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return [(r.item_id, r.text) for r in bench.orderBy("item_id", "text").collect()] if size <= most_bytes else None
+
+
 def contaminated(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float = SHARE, most_bytes: int = 32 << 20) -> DataFrame:
     """One row per document and item of which the document covers `share` at least."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     bench = bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > most_bytes:
+    items = small_benchmark(bench, most_bytes)
+    if items is None:
         return by_seeds(docs, bench, least, share)
-    items = [(r.item_id, r.text) for r in bench.orderBy("item_id", "text").collect()]  # its size is bounded above
     sent = spark.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,5 +193,23 @@ def contaminated(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: f
     return docs.mapInArrow(run, MATCHES)
 
 
+def clean(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float = SHARE, most_bytes: int = 32 << 20) -> DataFrame:
+    """The rows of `docs`, with all columns, that cover `share` of no item. With a small benchmark no text is shuffled."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    items = small_benchmark(bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")), most_bytes)
+    if items is None:
+        hit = contaminated(docs, bench, least, share, most_bytes).select("doc_id").distinct()
+        return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    sent, at = spark.sparkContext.broadcast(items), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Benchmark(sent.value, least)
+        for b in batches:
+            yield b.filter(pa.array([next(known.matches(t, share), None) is None for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

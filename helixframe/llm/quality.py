@@ -209,5 +209,25 @@ def quality_rules(docs: DataFrame, labels: DataFrame, cut: float = 0.0) -> DataF
     return judge(stats, fit(stats, labels), cut)
 
 
+def keep(docs: DataFrame, labels: DataFrame, cut: float = 0.0, max_rows: int = 20_000, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all columns. The trees come from a first look at labelled rows alone
+    (a bounded sample); one pass then measures and filters, so no text is shuffled."""
+    known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    model = fit(document_stats(docs.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")), labels, max_rows)
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [measure(t) for t in b.column(at).to_pylist()]
+            score = model.score(np.array([x[1] for x in got], float).reshape(-1, len(FEATURES)))
+            ok = [x[0][0] >= min_words and 100 * x[0][4] <= max_repeat_percent * x[0][0] and bool(s >= cut) for x, s in zip(got, score, strict=True)]
+            yield b.filter(pa.array(ok, pa.bool_()))
+
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
