@@ -30,13 +30,13 @@ RECORD = "record_id string, warc_type string, target string, concurrent_to strin
 
 
 def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base-32 SHA-1: 160 bits are 32 letters, taken five bits at a time from four 40-bit pieces."""
-    digest = F.sha1(payload)
-    letters = []
-    for piece in range(4):
-        n = F.conv(F.substring(digest, 10 * piece + 1, 10), 16, 10).cast("long")
-        letters += [F.substring(F.lit(BASE32), F.shiftright(n, 5 * (7 - k)).bitwiseAND(31).cast("int") + 1, F.lit(1)) for k in range(8)]
-    return F.concat(*letters)
+    """Bare upper-case base-32 SHA-1: ten hexadecimal digits are eight letters. The digest is bound as a lambda's variable,
+    so it is computed once a row."""
+
+    def letters(d: Column) -> Column:
+        return F.translate(F.concat(*(F.lpad(F.conv(F.substring(d, 10 * k + 1, 10), 16, 32), 8, "0") for k in range(4))), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
+
+    return F.transform(F.array(F.sha1(payload)), letters)[0]
 
 
 def record(headers: list[tuple[str, Column]], block: Column) -> Column:
