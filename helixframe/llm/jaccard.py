@@ -3,15 +3,18 @@
 Documents are sets of word shingles, held as 64-bit hashes. Equal sets form classes by a 128-bit digest of the set, and
 only one document of a class goes on, so thousands of copies cost one comparison.
 
-1. Grouping. Three min-hash keys place every class in up to three blocks; a key with many documents is dealt over blocks
-   of about `BLOCK`, so no group meets in one task. Inside a block, groups grow one document at a time. A group stores its
-   token union; a document that shares fewer tokens with the union than a link needs cannot link to any member, and the
-   group stays closed; otherwise members are compared until one links. Linked documents are joined into groups.
-2. The matrix. For a link of similarity t, sizes differ by t at most and the first n - ceil(t n) + 1 tokens of both sets,
-   in one global order, share a token. Rows (token, document, group) of those prefixes are the matrix; tokens whose rows
-   all belong to one group are settled already. What is left bounds the overlap of a document with other groups by the
-   places of the shared token, and only qualifying pairs are opened and compared in full.
-3. Links between groups are contracted to components.
+1. Grouping. Three keys of two min-hashes each place every class in up to three blocks of similar documents; a key with
+   many documents is dealt over blocks of about `BLOCK`, so no family meets in one task. Inside a block, groups grow one
+   document at a time. A group stores its token union; a document that shares fewer tokens with the union than a link
+   needs cannot link to any member, and the group stays closed; otherwise members are compared until one links. Links
+   join documents to components.
+2. The matrix. If two sets link, their first n - ceil(t n) + LAP tokens, in one global order, share LAP tokens (or as
+   many as the link needs, if fewer). Every document is at home in the largest block that holds it, or alone. Tokens of
+   which all documents are linked already are settled; rows (token, block) of the others are the matrix. How many tokens
+   two blocks share, their documents' sizes and the places of the tokens bound the overlap of any two of their documents.
+3. Opening. Only qualifying pairs of blocks are opened: a block's members and the documents that ask for it meet in units
+   of bounded size, the block's token union is asked first, and of every component one link is enough. Components are
+   then contracted over the new links.
 
 The global order puts frequent tokens last. Every task counts the tokens of its own documents and tells those that are
 frequent there; the most frequent `HOT` of all become the end of the order. The order only moves work, never the result.
@@ -33,9 +36,11 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import bounded_batches, table, written
 from helixframe.llm.components import components
 
-BLOCK = 32
-HOT = 1 << 16
-KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+BLOCK = 64
+UNIT = 128
+LAP = 4
+HOT = 1 << 18
+KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD)
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -114,7 +119,7 @@ def group_block(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[
     return out
 
 
-def summaries(docs: DataFrame, k: int, flush: int = 2_000_000) -> DataFrame:
+def summaries(docs: DataFrame, k: int, flush: int = 3_000_000) -> DataFrame:
     """Rows of documents (doc_id, n, digest) and, with a null digest, rows of tokens that are frequent in a task (doc_id
     is the token, n its documents there)."""
     bounded_batches(docs.sparkSession)
@@ -127,8 +132,8 @@ def summaries(docs: DataFrame, k: int, flush: int = 2_000_000) -> DataFrame:
 
         def frequent() -> pa.RecordBatch:
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            often = np.flatnonzero(n >= max(3, len(held) // 2000))
-            often = often[np.argsort(-n[often], kind="stable")[: HOT // 8]]
+            often = np.flatnonzero(n >= max(3, len(held) // 4000))
+            often = often[np.argsort(-n[often], kind="stable")[: HOT // 4]]
             return pa.RecordBatch.from_arrays([pa.array(values[often], pa.int64()), pa.array(n[often], pa.int64()), pa.nulls(len(often), pa.binary())], names=names)
 
         for b in batches:
@@ -163,7 +168,7 @@ def prefixes(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFram
                 n = len(s)
                 if not n:
                     continue
-                m = n - -(-percent * n // 100) + 1
+                m = min(n, n - -(-percent * n // 100) + LAP)
                 if len(values):
                     at = np.searchsorted(values, s)
                     at[at == len(values)] = 0
@@ -173,57 +178,68 @@ def prefixes(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFram
                     first = s[:m]
                 u = s.view(np.uint64)
                 with np.errstate(over="ignore"):
-                    keys = [int(((u ^ np.uint64(c)) * M2).min().view(np.int64)) for c in KEYS]
+                    least = [((u ^ np.uint64(c)) * M2).min() for c in KEYS]
+                    keys = [int((least[j] * M1 ^ least[j + 1]).view(np.int64)) for j in range(0, len(KEYS), 2)]
                 rows.append((doc_id, digest(s), n, first, keys))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(types), types, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(run, "doc_id long, digest binary, n long, prefix array<long>, keys array<long>")
 
 
+def edge_rows(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in (0, 1)], names=["a", "b"])
+
+
 def block_edges(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Edges inside blocks. `members`: (block, node); a task streams through its blocks, one block in memory at a time."""
-    rows = members.join(texts, "node").repartition("block").sortWithinPartitions("block").select("block", "node", "text")
+    rows = members.join(texts.hint("merge"), "node").repartition("block").sortWithinPartitions("block").select("block", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(k)
         now, nodes, sets = None, [], []
-
-        def edges() -> pa.RecordBatch:
-            found = group_block(nodes, sets, percent) if len(nodes) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in (0, 1)], names=["a", "b"])
-
         for b in batches:
             for block, node, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if block != now:
                     if len(nodes) > 1:
-                        yield edges()
+                        yield edge_rows(group_block(nodes, sets, percent))
                     now, nodes, sets = block, [], []
                 nodes.append(node)
                 sets.append(shingle(text))
         if len(nodes) > 1:
-            yield edges()
+            yield edge_rows(group_block(nodes, sets, percent))
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def pair_edges(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, each compared in full."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(k)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["node", "tokens"])
-
-    known = written(texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(sets, "node long, tokens binary"), "opened-sets")
-    both = pairs.join(known.withColumnsRenamed({"node": "a", "tokens": "ta"}), "a").join(known.withColumnsRenamed({"node": "b", "tokens": "tb"}), "b").select("a", "b", "ta", "tb")
+def opened_edges(roles: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links of asking documents with blocks. `roles`: (unit, asks, node, grp); a unit holds a block's members, then those
+    that ask for it, one at a time."""
+    rows = roles.join(texts.hint("merge"), "node").repartition("unit").sortWithinPartitions("unit", "asks").select("unit", "asks", "node", "grp", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(k)
+        now, members, union = None, [], None
         for b in batches:
-            keep = [links(np.frombuffer(x.as_py(), np.int64), np.frombuffer(y.as_py(), np.int64), percent) for x, y in zip(b.column(2), b.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in b.columns[:2]], names=["a", "b"])
+            found = []
+            for unit, asks, node, grp, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if unit != now:
+                    now, members, union = unit, [], None
+                own = shingle(text)
+                if not asks:
+                    members.append((node, grp, own))
+                    continue
+                if union is None:
+                    union = np.unique(np.concatenate([m[2] for m in members])) if members else own[:0]
+                if shared(own, union) < -(-percent * len(own) // 100):
+                    continue  # the bound: no member can share enough
+                settled = {grp}
+                for other, other_grp, tokens in members:
+                    if other_grp not in settled and links(own, tokens, percent):
+                        settled.add(other_grp)
+                        found.append((node, other))
+            yield edge_rows(found)
 
-    return both.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -242,23 +258,39 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     # 1: groups inside blocks
     keyed = sets.select("node", F.posexplode("keys").alias("which", "value")).select("node", F.xxhash64("which", "value").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = keyed.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("size") / BLOCK).cast("long"))).alias("block"), "node")
-    inner = written(block_edges(written(members.distinct(), "jaccard-blocks"), texts, k, percent), "jaccard-edges")
+    dealt = F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("size") / BLOCK).cast("long")))
+    members = written(keyed.join(sizes, "key").select(dealt.alias("block"), "node", "size").distinct(), "jaccard-blocks")
+    inner = written(block_edges(members.select("block", "node"), texts, k, percent), "jaccard-edges")
     group = components(inner)
 
-    # 2: the matrix of prefix tokens and groups
-    labelled = sets.join(group, "node", "left").select("node", "n", "prefix", F.coalesce("component", "node").alias("grp"))
-    matrix = labelled.select("node", "n", "grp", F.posexplode("prefix").alias("place", "token"))
+    # 2: the matrix of prefix tokens and blocks
+    homes = members.groupBy("node").agg(F.max(F.struct("size", "block"))["block"].alias("home"))
+    labelled = sets.join(group, "node", "left").join(homes, "node", "left").select("node", "n", "prefix", F.coalesce("component", "node").alias("grp"), F.coalesce("home", F.xxhash64("node", F.lit("alone"))).alias("block"))
+    matrix = labelled.select("n", "grp", "block", F.posexplode("prefix").alias("place", "token"))
     of_token = Window.partitionBy("token")
-    open_rows = written(matrix.withColumn("lo", F.min("grp").over(of_token)).withColumn("hi", F.max("grp").over(of_token)).where("lo < hi").select("token", "node", "n", "grp", "place"), "jaccard-matrix")
-    left, right = (open_rows.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "grp", "place"))) for s in "ab")
-    need = f"cast(ceil({percent} * (n_a + n_b) / cast({100 + percent} as decimal(10,0))) as long)"
-    pairs = left.join(right, "token").where(f"grp_a < grp_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and least(n_a - place_a, n_b - place_b) >= {need}")
-    opened = written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "jaccard-pairs")
-
-    # 3: links between groups
-    outer = inner if opened.isEmpty() else written(inner.unionByName(pair_edges(opened, texts, k, percent)), "jaccard-links")
-    final = group if opened.isEmpty() else components(outer)
+    unsettled = matrix.withColumn("lo", F.min("grp").over(of_token)).withColumn("hi", F.max("grp").over(of_token)).where("lo < hi")
+    told_by = unsettled.groupBy("token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("rest"), F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+    cells = written(told_by, "jaccard-matrix")
+    left, right = (cells.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "least", "most", "rest", "lo", "hi"))) for s in "ab")
+    need = f"cast(ceil({percent} * (least_a + least_b) / cast({100 + percent} as decimal(10,0))) as long)"
+    fits = f"100 * most_a >= {percent} * least_b and 100 * most_b >= {percent} * least_a and least(rest_a, rest_b) - 1 >= {need} - {LAP}"
+    pairs = left.join(right, "token").where(f"block_a < block_b and {fits} and not (lo_a = hi_a and lo_b = hi_b and lo_a = lo_b)")
+    shared_cells = pairs.groupBy("block_a", "block_b").agg(F.count("*").alias("both"), F.min(F.expr(need)).alias("need")).where(f"both >= least({LAP}, need)")
+    asked = written(shared_cells.select("block_a", "block_b"), "jaccard-asked")
+
+    # 3: documents ask for the blocks of others
+    if asked.isEmpty():
+        final = group
+    else:
+        at_home = labelled.select("node", "grp", "block")
+        queries = asked.join(at_home.withColumnsRenamed({"block": "block_a"}), "block_a").select("block_b", "node", "grp")
+        loads = queries.groupBy("block_b").agg(F.ceil(F.count("*") / UNIT).cast("long").alias("parts"))
+        unit = lambda part: F.xxhash64("block_b", part).alias("unit")
+        asking = queries.join(loads, "block_b").select(unit(F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(True).alias("asks"), "node", "grp")
+        parts = loads.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        held = parts.join(at_home.withColumnsRenamed({"block": "block_b"}), "block_b").select(unit(F.col("part")), F.lit(False).alias("asks"), "node", "grp")
+        roles = written(asking.unionByName(held), "jaccard-roles")
+        final = components(written(inner.unionByName(opened_edges(roles, texts, k, percent)), "jaccard-links"))
     named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = rows.join(named, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
     return out
