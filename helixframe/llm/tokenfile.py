@@ -1,8 +1,8 @@
 """Token files: ids under a canonical, length-limited Huffman code.
 
-Two passes over the texts. The first counts ids, and package-merge gives code lengths of at most `limit` bits; the code is
-canonical, so lengths alone are the code book. The second takes documents in ascending doc_id order (range partitions,
-sorted inside), encodes them again and writes blocks: whole documents of about `BLOCK` tokens together. A block stands
+Documents are taken in ascending doc_id order (range partitions, sorted inside), tokenised once and written as blocks of
+plain ids, whole documents of about `BLOCK` tokens together. Global counts of the ids give code lengths of at most `limit`
+bits by package-merge; the code is canonical, so lengths alone are the code book. Each block is then encoded. It stands
 alone: a header, the bit offset of every `STRIDE`-th id (checkpoints), and the bit stream. Decoding walks all checkpoint
 intervals of many blocks in step, one table look-up a code, so it costs a few vector operations per id.
 
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, fresh_path, table, text_or_empty
+from helixframe.llm.common import bounded_batches, fresh_path, remove_path, table, text_or_empty
 from helixframe.llm.tokens import WordEncoder
 
 END = 1
@@ -138,46 +138,26 @@ class Code:
         return [out[cuts[k] : cuts[k + 1]].reshape(-1)[: sizes[k]] for k in range(len(blocks))]
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
-    """(id, n) over all documents: each task adds up a vocabulary-sized array."""
-    bounded_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, counts = WordEncoder(tokenizer), np.zeros(end + 1, np.int64)
-        for b in batches:
-            texts = [t or "" for t in b.column(0).to_pylist()]
-            more = np.bincount(np.frombuffer(b"".join(encoder.encode(texts)), "<u4"), minlength=len(counts))
-            more[: len(counts)] += counts
-            counts = more
-            counts[end] += len(texts)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["id", "n"])
+BLOCKS = "part int, seq long, doc_ids array<long>, doc_tokens array<long>, n_tokens long, block binary"
+NAMES = ("part", "seq", "doc_ids", "doc_tokens", "n_tokens", "block")
 
-    return docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
-
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, limit: int = LIMIT) -> None:
-    """Write `path`/codebook and `path`/blocks."""
-    spark = docs.sparkSession
-    found = id_counts(docs, tokenizer, end).collect()  # at most one row per id of the vocabulary
-    counts = np.zeros(max((r.id for r in found), default=end) + 1, np.int64)
-    for r in found:
-        counts[r.id] = r.n
-    bits = code_lengths(counts, limit)
-    book = [(int(k), int(bits[k])) for k in np.flatnonzero(bits)]
-    spark.createDataFrame(book, "id long, bits int").coalesce(1).write.parquet(f"{path}/codebook")
+def raw_blocks(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
+    """Blocks of plain ids, little-endian and 16 bits wide where they fit (each in a row of its own, so a block's length over
+    its tokens tells), else 32: documents in ascending doc_id order, each with its end id."""
+    bounded_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    names = ["part", "seq", "doc_ids", "doc_tokens", "n_tokens", "block"]
     tail = np.array([end], "<u4").tobytes()
+    types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, code, part, seq = WordEncoder(tokenizer), Code(bits), TaskContext.get().partitionId(), 0
+        encoder, part, seq = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
         ids, own, sizes, held = [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            data = code.encode(np.frombuffer(b"".join(ids), "<u4"))
-            types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, seq, own, sizes, held, data), types, strict=True)], names=names)
+            data = np.frombuffer(b"".join(ids), "<u4")
+            data = data.astype("<u2") if data.max() < 1 << 16 else data
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, seq, own, sizes, held, data.tobytes()), types, strict=True)], names=NAMES)
 
         for b in batches:
             for doc, one in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
@@ -191,7 +171,53 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, lim
         if own:
             yield block()
 
-    ordered.mapInArrow(run, "part int, seq long, doc_ids array<long>, doc_tokens array<long>, n_tokens long, block binary").write.parquet(f"{path}/blocks")
+    return ordered.mapInArrow(run, BLOCKS)
+
+
+def plain_ids(block: pa.Scalar, n: int) -> np.ndarray:
+    data = block.as_buffer()
+    return np.frombuffer(data, "<u2" if data.size == 2 * n else "<u4")
+
+
+def id_counts(blocks: DataFrame) -> DataFrame:
+    """(id, n) over all blocks: each task adds up an array as long as the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1, np.int64)
+        for b in batches:
+            for one, n in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                more = np.bincount(plain_ids(one, n), minlength=len(counts))
+                more[: len(counts)] += counts
+                counts = more
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["id", "n"])
+
+    return blocks.select("block", "n_tokens").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, limit: int = LIMIT) -> None:
+    """Write `path`/codebook and `path`/blocks. Plain blocks are written beside them for the second pass, then removed."""
+    spark = docs.sparkSession
+    raw_blocks(docs, tokenizer, end).write.option("compression", "zstd").parquet(f"{path}/plain")
+    plain = spark.read.schema(BLOCKS).parquet(f"{path}/plain")
+    found = id_counts(plain).collect()  # at most one row per id of the vocabulary
+    counts = np.zeros(max((r.id for r in found), default=end) + 1, np.int64)
+    for r in found:
+        counts[r.id] = r.n
+    bits = code_lengths(counts, limit)
+    book = [(int(k), int(bits[k])) for k in np.flatnonzero(bits)]
+    spark.createDataFrame(book, "id long, bits int").coalesce(1).write.parquet(f"{path}/codebook")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Code(bits)
+        for b in batches:
+            for k in range(b.num_rows):
+                one = b.slice(k, 1)
+                data = code.encode(plain_ids(one.column(5)[0], one.column(4)[0].as_py()))
+                yield pa.RecordBatch.from_arrays([*one.columns[:5], pa.array([data], pa.binary())], names=NAMES)
+
+    plain.mapInArrow(run, BLOCKS).write.parquet(f"{path}/blocks")
+    remove_path(spark, f"{path}/plain")
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
