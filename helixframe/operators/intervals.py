@@ -20,10 +20,12 @@ DEFAULT: Interval = ("contigName", "start", "end")
 PUSHDOWN_LIMIT = 25
 
 
-def with_bins(df: DataFrame, size: int, on: Interval = DEFAULT, name: str = "binId") -> DataFrame:
-    """A row for each bin that the interval touches; rows with a null end point or no length have none."""
+def with_bins(df: DataFrame, size: int, on: Interval = DEFAULT, name: str = "binId", points: bool = False) -> DataFrame:
+    """A row for each bin that the interval touches; rows with a null end point have none, nor have those whose last point
+    lies in an earlier bin than their first. With `points` an interval without length is in the bin of its start."""
     _, start, end = on
-    first, last = truncated_div(start, size), truncated_div(F.col(end) - 1, size)
+    first = truncated_div(start, size)
+    last = truncated_div(F.greatest(F.col(end) - 1, F.col(start)) if points else F.col(end) - 1, size)
     return df.where(last >= first).withColumn(name, F.explode(F.sequence(first, last)))
 
 
@@ -31,7 +33,7 @@ def overlap_pairs(left: DataFrame, right: DataFrame, left_on: Interval, right_on
     """Inner join of all columns (which must differ in name) on overlap."""
     lc, ls, le = left_on
     rc, rs, re = right_on
-    a, b = with_bins(left, size, left_on, "_bin_l"), with_bins(right, size, right_on, "_bin_r")
+    a, b = with_bins(left, size, left_on, "_bin_l", True), with_bins(right, size, right_on, "_bin_r", True)
     first_shared = F.greatest(truncated_div(ls, size), truncated_div(rs, size))
     on = (F.col(lc) == F.col(rc)) & (F.col("_bin_l") == F.col("_bin_r")) & overlaps(ls, le, rs, re) & (F.col("_bin_l") == first_shared)
     return a.join(b, on).drop("_bin_l", "_bin_r")
@@ -46,17 +48,18 @@ def overlap_semi(rows: DataFrame, regions: DataFrame, on: Interval = DEFAULT, re
     """Rows that overlap a region, each once, identical rows kept. Regions are merged to disjoint ones first, so a row's
     hits are ordered; it is kept at the first, the one whose predecessor ends at or before the row's start."""
     regions, right_on = _apart(regions, regions_on)
-    merged = merge(regions, right_on)
+    merged = merge(regions, right_on, adjoining=False)
     _, s, _ = on
     return overlap_pairs(rows, merged, on, right_on, size).where(F.col("_before") <= F.col(s)).select(*rows.columns)
 
 
-def merge(regions: DataFrame, on: Interval = DEFAULT) -> DataFrame:
-    """Disjoint regions that cover the same points (adjoining ones are joined), with `_before`: the end of the previous."""
+def merge(regions: DataFrame, on: Interval = DEFAULT, adjoining: bool = True) -> DataFrame:
+    """Disjoint regions that cover the same points (with `adjoining` those that touch are joined too), with `_before`: the
+    end of the previous."""
     c, s, e = on
     w = Window.partitionBy(c).orderBy(s, e)
-    seen = regions.where(F.col(s) < F.col(e)).withColumn("_reach", F.max(e).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    marked = seen.withColumn("_island", F.sum(F.when(F.col("_reach") >= F.col(s), 0).otherwise(1)).over(w))
+    seen = regions.where(F.col(s) <= F.col(e)).withColumn("_reach", F.max(e).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    marked = seen.withColumn("_island", F.sum(F.when((F.col("_reach") >= F.col(s)) if adjoining else (F.col("_reach") > F.col(s)), 0).otherwise(1)).over(w))
     out = marked.groupBy(c, "_island").agg(F.min(s).alias(s), F.max(e).alias(e))
     before = F.coalesce(F.lag(e).over(Window.partitionBy(c).orderBy(s)), F.lit(-(1 << 62)))
     return out.withColumn("_before", before).drop("_island")

@@ -148,3 +148,22 @@ def recalibrate(reads: DataFrame, known_sites: DataFrame | None, least_quality:
     context = table.groupBy("readGroupId", "q", "context").agg(phred(F.sum("errors"), F.sum("n")).alias("of_context"))
     model = table.select("readGroupId", "q", "cycle", "context").join(by_quality, ["readGroupId", "q"]).join(cycle, ["readGroupId", "q", "cycle"]).join(context, ["readGroupId", "q", "context"])
     return model.withColumn("newQuality", F.least(F.greatest(F.col("of_cycle") + F.col("of_context") - F.col("global"), F.lit(1)), F.lit(60)))
+
+
+def apply_recalibration(reads: DataFrame, model: DataFrame) -> DataFrame:
+    """Reads with the model's quality for every base whose cell it has; other bases keep theirs. Old qualities go to
+    originalQualityScores. Bases are joined to the model (its size is that of the covariates), then put together by read."""
+    rows = reads.withColumn("_id", F.monotonically_increasing_id())
+    each = F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda k: F.struct((F.ascii(F.substr("qualityScores", k, F.lit(1))) - 33).alias("q"), F.substr("sequence", F.greatest(k - 1, F.lit(1)), F.lit(2)).alias("context"))))
+    bases = rows.where(F.length("sequence") > 0).select("_id", "readGroupId", each.alias("cycle", "b")).select("_id", "readGroupId", "cycle", "b.*")
+    told = bases.join(model.select("readGroupId", "q", "cycle", "context", "newQuality"), ["readGroupId", "q", "cycle", "context"], "left")
+    joined = told.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("cycle", F.coalesce("newQuality", "q").alias("q")))).alias("qs"))
+    text = joined.select("_id", F.array_join(F.transform("qs", lambda x: F.char(x["q"] + 33)), "").alias("_new"))
+    out = rows.join(text, "_id", "left")
+    out = out.withColumn("originalQualityScores", F.col("qualityScores")) if "originalQualityScores" in reads.columns else out
+    return out.withColumn("qualityScores", F.coalesce("_new", "qualityScores")).select(*reads.columns)
+
+
+def of_samples(groups: DataFrame, samples: list[str]) -> DataFrame:
+    """The read groups (with `sample`) that belong to one of the samples."""
+    return groups.where(F.col("sample").isin(samples))

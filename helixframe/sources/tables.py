@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,22 +40,26 @@ def save(df: DataFrame, path: str, mode: str = "append", codec: str = "snappy")
 
 def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence, codec: str = "snappy") -> None:
     """Write `df` partitioned by `column` in place of the partitions of `values`; others stay. Rows of other partitions are
-    an error, and a listed partition without rows is emptied."""
+    an error, and a listed partition without rows is emptied. Rows are written aside and each partition is moved into
+    place, so writers of different partitions do not disturb each other and a failed write changes nothing."""
     if not values or any(v is None for v in values):
         raise ValueError("partition values must be given and not null")
     spark = df.sparkSession
     wanted = [str(v) for v in values]
     named = F.col(column).cast("string")
-    checked = df.withColumn(column, F.when(named.isin(wanted), F.col(column)).otherwise(F.raise_error(F.concat(F.lit("row outside the replaced partitions: "), F.coalesce(named, F.lit("null")))).cast(df.schema[column].dataType)))
-    if not exists(spark, path):
-        checked.write.mode("overwrite").option("compression", codec).partitionBy(column).parquet(path)
-        return
-    present = {str(r[0]) for r in df.select(named.alias("v")).distinct().limit(len(wanted) + 1).collect()}
-    checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy(column).parquet(path)
+    wrong = F.raise_error(F.concat(F.lit("row outside the replaced partitions: "), F.coalesce(named, F.lit("null")))).cast(df.schema[column].dataType)
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    df.withColumn(column, F.when(named.isin(wanted), F.col(column)).otherwise(wrong)).write.option("compression", codec).partitionBy(column).parquet(staging)
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for v in wanted:
-        if v not in present:
-            delete(spark, f"{path}/{escape(column)}={escape(v)}")
+        folder = f"{escape(column)}={escape(v)}"
+        delete(spark, f"{path}/{folder}")
+        source, fs = _path(spark, f"{staging}/{folder}")
+        if fs.exists(source):
+            fs.rename(source, _path(spark, f"{path}/{folder}")[0])
+    delete(spark, staging)
+    marker, fs = _path(spark, f"{path}/_SUCCESS")
+    fs.create(marker, True).close()
 
 
 def table_exists(spark: SparkSession, path: str, column: str | None = None, values: Sequence = ()) -> bool:
@@ -98,3 +103,8 @@ def save_and_export(df: DataFrame, path: str, column: str, values: Sequence, sam
     if vcf:
         rows = df.sparkSession.read.schema(df.schema).parquet(path).where(F.col(column).cast("string").isin([str(v) for v in values])).drop(column)
         (write_single if single else write_sharded)(rows, vcf, samples, codec=codec)
+
+
+def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files behind paths, folders and globs."""
+    return sorted(spark.read.text(paths).inputFiles())

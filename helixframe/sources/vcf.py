@@ -54,7 +54,9 @@ class Header:
         return T.StructType([T.StructField("sampleId", T.StringType()), T.StructField("phased", T.BooleanType()), T.StructField("calls", CALLS), *more])
 
     def schema(self) -> T.StructType:
-        base = T.StructType.fromDDL("contigName string, start bigint, end bigint, names array<string>, referenceAllele string, alternateAlleles array<string>, qual double, filters array<string>")
+        words = T.ArrayType(T.StringType())
+        kinds = {"contigName": T.StringType(), "start": T.LongType(), "end": T.LongType(), "names": words, "referenceAllele": T.StringType(), "alternateAlleles": words, "qual": T.DoubleType(), "filters": words}
+        base = T.StructType([T.StructField(n, t) for n, t in kinds.items()])
         info = [T.StructField(f"INFO_{f.id}", f.spark_type) for f in self.fields("INFO").values() if f.id != "END"]
         return T.StructType([*base.fields, *info, T.StructField("genotypes", T.ArrayType(self.genotype_type()))])
 
@@ -166,10 +168,11 @@ def vcf_lines(rows: DataFrame, samples: list[str]) -> DataFrame:
     if samples and "genotypes" in schema.names:
         back = {v: k for k, v in GENOTYPE_NAMES.items()}
         fields = [f for f in schema["genotypes"].dataType.elementType.fields if f.name not in ("sampleId", "phased", "calls")]
+        phased = "phased" in schema["genotypes"].dataType.elementType.names
         parts.append(F.lit(":".join(["GT", *(back.get(f.name, f.name) for f in fields)])))
 
         def genotype(g: Column) -> Column:
-            gt = F.when(F.coalesce(g["phased"], F.lit(False)), _calls(g, "|")).otherwise(_calls(g, "/"))
+            gt = F.when(F.coalesce(g["phased"], F.lit(False)), _calls(g, "|")).otherwise(_calls(g, "/")) if phased else _calls(g, "/")
             return F.concat_ws(":", gt, *(F.coalesce(_text(g[f.name], f.dataType), F.lit(".")) for f in fields))
 
         none = F.lit(":".join(["./.", *["."] * len(fields)]))
