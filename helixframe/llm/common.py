@@ -30,7 +30,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 32 << 20).parquet(path)  # a writer holds a row group
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,26 +8,27 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import written
 
 
-def components(edges: DataFrame, jumps: int = 3) -> DataFrame:
+def components(edges: DataFrame, jumps: int = 2) -> DataFrame:
     """(node, component) for every node of `edges` (a long, b long; written): the smallest node it is connected with.
 
     A round lets each node point to its smallest neighbour or itself, follows pointers `jumps` times, and replaces the
     ends of every edge by what they point to. Each round at least halves the nodes of a component that has edges left."""
     left = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = None
+    rounds: list[DataFrame] = []
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("to")), "pointers")
+        to = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("to"))
         for _ in range(jumps):
             next_to = to.select(F.col("node").alias("to"), F.col("to").alias("further"))
             to = to.join(next_to, "to").select("node", F.col("further").alias("to"))
         to = written(to, "pointers")
+        rounds.append(to)
         a, b = to.select(F.col("node").alias("a"), F.col("to").alias("ta")), to.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         left = written(left.join(a, "a").join(b, "b").where("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(), "edges")
-        if labels is None:
-            labels = to.select("node", F.col("to").alias("component"))
-        else:
-            step = to.select(F.col("node").alias("component"), F.col("to").alias("further"))
-            labels = labels.join(step, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
-        labels = written(labels, "labels")
-    return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if not rounds:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    labels = rounds[0].select("node", F.col("to").alias("component"))
+    for to in rounds[1:]:
+        step = to.select(F.col("node").alias("component"), F.col("to").alias("further"))
+        labels = labels.join(step, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
+    return labels

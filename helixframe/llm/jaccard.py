@@ -249,7 +249,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     rows = told.where("digest is not null")
     frequent = told.where("digest is null").groupBy(F.col("doc_id").alias("token")).agg(F.sum("n").alias("n")).where("n >= 8")
     hot = np.array([r.token for r in frequent.orderBy(F.desc("n"), "token").limit(HOT).collect()][::-1], np.int64)
-    classes = written(rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
+    classes = rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     every = prefixes(docs, k, percent, hot)
     reps = classes.select(F.col("rep").alias("node"), "digest")
     sets = written(every.withColumnRenamed("doc_id", "node").join(reps, ["node", "digest"], "left_semi").dropDuplicates(["node", "digest"]), "jaccard-prefixes")
@@ -259,7 +259,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     keyed = sets.select("node", F.posexplode("keys").alias("which", "value")).select("node", F.xxhash64("which", "value").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     dealt = F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("size") / BLOCK).cast("long")))
-    members = written(keyed.join(sizes, "key").select(dealt.alias("block"), "node", "size").distinct(), "jaccard-blocks")
+    members = keyed.join(sizes, "key").select(dealt.alias("block"), "node", "size").distinct()
     inner = written(block_edges(members.select("block", "node"), texts, k, percent), "jaccard-edges")
     group = components(inner)
 
@@ -289,8 +289,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         asking = queries.join(loads, "block_b").select(unit(F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(True).alias("asks"), "node", "grp")
         parts = loads.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         held = parts.join(at_home.withColumnsRenamed({"block": "block_b"}), "block_b").select(unit(F.col("part")), F.lit(False).alias("asks"), "node", "grp")
-        roles = written(asking.unionByName(held), "jaccard-roles")
-        final = components(written(inner.unionByName(opened_edges(roles, texts, k, percent)), "jaccard-links"))
+        final = components(inner.unionByName(opened_edges(asking.unionByName(held), texts, k, percent)))
     named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = rows.join(named, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
     return out
