@@ -283,10 +283,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         final = group
     else:
         at_home = labelled.select("node", "grp", "block")
-        queries = asked.join(at_home.withColumnsRenamed({"block": "block_a"}), "block_a").select("block_b", "node", "grp")
-        loads = queries.groupBy("block_b").agg(F.ceil(F.count("*") / UNIT).cast("long").alias("parts"))
+        docs_in = at_home.groupBy(F.col("block").alias("block_a")).agg(F.count("*").alias("docs"))
+        loads = asked.join(docs_in, "block_a").groupBy("block_b").agg(F.ceil(F.sum("docs") / UNIT).cast("long").alias("parts"))
         unit = lambda part: F.xxhash64("block_b", part).alias("unit")
-        asking = queries.join(loads, "block_b").select(unit(F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(True).alias("asks"), "node", "grp")
+        by_home = asked.join(loads, "block_b").join(at_home.withColumnsRenamed({"block": "block_a"}), "block_a")
+        asking = by_home.select(unit(F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(True).alias("asks"), "node", "grp")
         parts = loads.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         held = parts.join(at_home.withColumnsRenamed({"block": "block_b"}), "block_b").select(unit(F.col("part")), F.lit(False).alias("asks"), "node", "grp")
         final = components(inner.unionByName(opened_edges(asking.unionByName(held), texts, k, percent)))
