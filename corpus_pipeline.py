@@ -35,7 +35,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     docs = documents(docs)
     found = written(jaccard.jaccard_components(docs, k=5, percent=80), "pipeline-groups")
     others = found.where("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct()
-    first = docs.join(others, "doc_id", "left_anti")
+    first = docs.hint("merge").join(others, "doc_id", "left_anti")  # ids of copies grow with the corpus: never broadcast
     copies = first.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 and doc_id is not null").select("doc_id")
     if copies.isEmpty():
         return first.select(*DOCUMENT)
