@@ -48,7 +48,7 @@ def seconds(text: str) -> float:
     return float(m[1]) * UNITS[m[2].lower()]
 
 
-def reference_genome(path: str | None = None, genome: str | None = None, folder: str = "/mnt/dbnucleus/dbgenomics") -> tuple[str, str]:
+def reference_genome(path: str | None = None, genome: str | None = None, folder: str = "/genomes") -> tuple[str, str]:
     """(FASTA path, name): an explicit path first, then the environment's refGenomePath, then a prebuilt id, of which
     refGenomeId in the environment is the default."""
     path = path or os.environ.get("refGenomePath")
