@@ -109,8 +109,9 @@ def mark_duplicates(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH q AS (SELECT doc_id, replace(replace(substr(text, 1, 200), ' ', '!'), chr(10), '!') AS q FROM documents)
 SELECT doc_id, CAST(coalesce(list_sum(list_filter(list_transform(string_split(q, ''), lambda c: ord(c) - 33), lambda x: x >= 15)), 0) AS INTEGER) AS score FROM q WHERE regexp_full_match(q, '[!-~]+')""")
 def read_score(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").select("doc_id", F.translate(F.substring("text", 1, 200), " \n", "!!").alias("q")).where(F.col("q").rlike(r"\A[!-~]+\z"))
-    return t.select("doc_id", sequence.read_score("q").alias("score"))
+    """Of every document's whole text; characters outside the qualities '!' to '~' score 0, null and empty texts 0."""
+    t = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^!-~]", "!").alias("q"))
+    return t.select("doc_id", F.coalesce(sequence.read_score("q"), F.lit(0)).alias("score"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, array_to_string(list_transform([l_partkey % 60, l_suppkey % 60, l_orderkey % 60, l_linenumber],

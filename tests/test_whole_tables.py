@@ -38,3 +38,18 @@ def same_without(spark, duck, name: str, *filters: str) -> None:  # noqa: ANN001
 
 def test_mark_duplicates_of_all_rows(spark, duck):
     same_without(spark, duck, "mark_duplicates", " WHERE l_orderkey % 4 = 0")
+
+
+def test_read_score_of_whole_texts(spark, tmp_path):
+    texts = ["plain words\nand more", "Stra\u00dfe \u00e9t\u00e9\ttab", "x" * 5000, "\U0001f600z\r\x00", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = dict(map(tuple, catalogue.read_score(spark, str(tmp_path)).collect()))
+    assert got == {k: sum(ord(c) - 33 for c in t or "" if "0" <= c <= "~") for k, t in enumerate(texts)}
+
+
+def test_read_score_agrees_with_its_sql_within_the_cut(spark, duck):
+    want = dict(duck.sql(catalogue.ORACLES["read_score"]).fetchall())
+    short = {k for (k,) in duck.sql("select doc_id from documents where length(text) <= 200").fetchall()}
+    got = dict(map(tuple, catalogue.read_score(spark, DATA).collect()))
+    assert short & set(want) and all(got[k] == want[k] for k in short & set(want))
+    assert len(got) == duck.sql("select doc_id from documents").shape[0]
