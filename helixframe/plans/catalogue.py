@@ -236,9 +236,9 @@ def interval_trim(spark: SparkSession, d: str) -> DataFrame:
 a AS (SELECT DISTINCT c, unnest(range(p, p + 9)) AS p FROM t), b AS (SELECT DISTINCT c, unnest(range(p, p + 4)) AS p FROM x), k AS (SELECT * FROM a EXCEPT SELECT * FROM b),
 g AS (SELECT c, p, p - row_number() OVER (PARTITION BY c ORDER BY p) AS island FROM k) SELECT c AS contig, min(p) AS start_pos, max(p) + 1 AS end_pos FROM g GROUP BY c, island""")
 def interval_subtract(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select(F.concat(F.lit("chr"), (F.col("o_custkey") % 3).cast("string")).alias("contigName"), F.col("o_orderkey").alias("start"), "o_custkey")
-    t = o.where("o_custkey % 2 = 0").withColumn("end", F.col("start") + 9)
-    x = o.where("o_custkey % 5 = 0").withColumn("end", F.col("start") + 4)
+    o = table(spark, d, "orders").select(F.concat(F.lit("chr"), (F.col("o_custkey") % 3).cast("string")).alias("contigName"), F.col("o_orderkey").alias("start"))
+    t = o.withColumn("end", F.col("start") + 9)
+    x = o.withColumn("end", F.col("start") + 4)
     return oi.subtract(t, x).withColumnsRenamed({"contigName": "contig", "start": "start_pos", "end": "end_pos"})
 
 

@@ -31,8 +31,8 @@ READS = """reads AS (SELECT concat('chr', CAST(l_suppkey % 5 AS VARCHAR)) AS ref
 
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
-    """Target regions from orders."""
-    t = table(spark, d, "orders").where("o_orderkey % 50 = 0")
+    """A target region for every order."""
+    t = table(spark, d, "orders")
     return t.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("contigName"), (F.col("o_orderkey") * 10 + 5).alias("start"), (F.col("o_orderkey") * 10 + 30).alias("end"), F.col("o_orderkey").alias("region_id"))
 
 
@@ -40,8 +40,8 @@ REGIONS = """regions AS (SELECT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    """A transcript for every third order, with two exons each."""
-    t = table(spark, d, "orders").where("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey").distinct()
+    """A transcript for every order, with two exons each."""
+    t = table(spark, d, "orders").select("o_orderkey", "o_custkey").distinct()
     exon = lambda k: F.struct(F.lit("exon").alias("featureType"), (F.col("o_orderkey") * 10 + 15 * k).alias("start"), (F.col("o_orderkey") * 10 + 15 * k + 12).alias("end"))
     whole = F.struct(F.lit("transcript").alias("featureType"), (F.col("o_orderkey") * 10).alias("start"), (F.col("o_orderkey") * 10 + 27).alias("end"))
     return t.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("referenceName"), F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("transcriptId"), F.explode(F.array(whole, exon(0), exon(1))).alias("f")).select("referenceName", "transcriptId", "f.*")

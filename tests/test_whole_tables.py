@@ -53,3 +53,15 @@ def test_read_score_agrees_with_its_sql_within_the_cut(spark, duck):
     got = dict(map(tuple, catalogue.read_score(spark, DATA).collect()))
     assert short & set(want) and all(got[k] == want[k] for k in short & set(want))
     assert len(got) == duck.sql("select doc_id from documents").shape[0]
+
+
+CUTS = {
+    "transcript_counts": [" WHERE o_orderkey % 3 = 0"],
+    "interval_subtract": [" WHERE o_custkey % 2 = 0", " WHERE o_custkey % 5 = 0"],
+} | dict.fromkeys(("overlap_join_count", "overlap_semi_distinct", "overlap_left_semi", "region_broadcast_join", "masked_sites", "interval_trim"), [" WHERE o_orderkey % 50 = 0"])
+
+
+@pytest.mark.parametrize("name", sorted(CUTS))
+def test_intervals_of_all_orders(spark, duck, name):
+    assert all(x in catalogue.ORACLES[name] for x in CUTS[name]), "the cut is out of the SQL: drop this case"
+    same_without(spark, duck, name, *CUTS[name])
