@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helixframe.functions.sequence import five_prime, on_strand, read_score
 
@@ -131,13 +136,55 @@ def spread(df: DataFrame, least: int) -> DataFrame:
     return df.repartition(least) if df.rdd.getNumPartitions() < least else df
 
 
+def reference_of(bases: str, start: int, cigar: str, md: str) -> tuple[str, list[int | None]]:
+    """The reference base and place under every base of a read, from CIGAR and MD: '-' and null where it has none."""
+    letters, sites = ["-"] * len(bases), [None] * len(bases)
+    on, at, aligned = 0, start, []
+    for n, kind in re.findall("([0-9]+)([MIDNSHP=X])", cigar):
+        if kind in "M=X":
+            aligned += range(on, on + int(n))
+            sites[on : on + int(n)] = range(at, at + int(n))
+        on += int(n) * (kind in "MIS=X")
+        at += int(n) * (kind in "MDN=X")
+    told = 0
+    for n, gone, other in re.findall(r"([0-9]+)|\^([A-Za-z]+)|([A-Za-z])", md):
+        if gone:
+            continue
+        for k in aligned[told : told + int(n or 1)]:
+            letters[k] = other or bases[k]
+        told += int(n or 1)
+    if on != len(bases) or told != len(aligned):
+        raise ValueError(f"CIGAR {cigar} and MD {md} do not fit {len(bases)} bases")
+    return "".join(letters), sites
+
+
+def with_reference(reads: DataFrame) -> DataFrame:
+    """Adds referenceBases and referenceSites. A mapped read that has bases but no CIGAR or MD is an error."""
+    used = ["readName", "readMapped", "sequence", "start", "cigar", "mismatchingPositions"]
+    schema = T.StructType([*reads.schema.fields, T.StructField("referenceBases", T.StringType()), T.StructField("referenceSites", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            letters, sites = [], []
+            for name, mapped, bases, start, cigar, md in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used), strict=True):
+                if mapped and bases and (start is None or not cigar or not md):
+                    raise ValueError(f"recalibration needs CIGAR and MD (mismatchingPositions): read {name} has none")
+                one = reference_of(bases, start, cigar, md) if mapped and bases else (None, None)
+                letters.append(one[0])
+                sites.append(one[1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(letters, pa.string()), pa.array(sites, pa.list_(pa.int64()))], names=schema.names)
+
+    return reads.mapInArrow(run, schema)
+
+
 def recalibrate(reads: DataFrame, known_sites: DataFrame | None, least_quality: int = 6) -> DataFrame:
     """Base-quality recalibration. Every base of at least `least_quality` outside known sites falls into a covariate cell
     (read group, reported quality, cycle, dinucleotide); mismatches against the read's `referenceBases` give each cell an
-    empirical quality, relative to the group's and quality's own. Reads need referenceBases, as long as sequence."""
+    empirical quality, relative to the group's and quality's own. Reads need referenceBases, as long as sequence, with '-' where
+    a base has none; referenceSites, if there, tells their places where clips and gaps move them."""
     bases = reads.withColumn("_id", F.monotonically_increasing_id())
-    each = F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda k: F.struct(F.substr("sequence", k, F.lit(1)).alias("base"), F.substr("referenceBases", k, F.lit(1)).alias("ref"), (F.ascii(F.substr("qualityScores", k, F.lit(1))) - 33).alias("q"), F.substr("sequence", F.greatest(k - 1, F.lit(1)), F.lit(2)).alias("context"))))
-    cells = bases.select("readGroupId", "referenceName", "start", each.alias("cycle", "b")).select("readGroupId", "referenceName", (F.col("start") + F.col("cycle")).alias("site"), "cycle", "b.*").where(F.col("q") >= least_quality)
+    each = F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda k: F.struct(F.substr("sequence", k, F.lit(1)).alias("base"), F.substr("referenceBases", k, F.lit(1)).alias("ref"), (F.ascii(F.substr("qualityScores", k, F.lit(1))) - 33).alias("q"), F.substr("sequence", F.greatest(k - 1, F.lit(1)), F.lit(2)).alias("context"), (F.get("referenceSites", k - 1) if "referenceSites" in reads.columns else F.col("start") + k - 1).alias("site"))))
+    cells = bases.select("readGroupId", "referenceName", each.alias("cycle", "b")).select("readGroupId", "referenceName", "cycle", "b.*").where((F.col("q") >= least_quality) & (F.col("ref") != "-"))
     if known_sites is not None:
         cells = cells.join(known_sites.select(F.col("contigName").alias("referenceName"), F.col("start").alias("site")).distinct(), ["referenceName", "site"], "left_anti")
     wrong = (F.col("base") != F.col("ref")).cast("long")

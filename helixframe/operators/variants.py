@@ -77,6 +77,20 @@ def gvcf_bands(variants: DataFrame, bounds: list[int]) -> DataFrame:
     return out.drop("island").withColumn("pls", F.when(F.col("homRef"), F.col("pls")).otherwise(F.col("g.phredLikelihoods")))
 
 
+def banded(variants: DataFrame, bounds: list[int]) -> DataFrame:
+    """As gvcf_bands, with the columns of `variants`: a block's genotype has the least quality, depth and likelihoods of its
+    sites, other rows are as they were."""
+    g = F.get("genotypes", F.lit(0))
+    hom_ref = F.forall(F.coalesce(g["calls"], F.array()), lambda c: c == 0) & (F.size("alternateAlleles") == 1) & (F.element_at("alternateAlleles", 1) == NON_REF)
+    flat = variants.select("contigName", "start", "end", F.struct(*variants.columns).alias("row"), hom_ref.alias("homRef"), g["conditionalQuality"].alias("gq"), g["depth"].alias("depth"), g["phredLikelihoods"].alias("pl"), g["sampleId"].alias("sampleId"))
+    least = lambda k: F.min(F.get("pl", F.lit(k)))
+    out = islands(flat, bounds, sample=("sampleId",)).groupBy("contigName", "sampleId", "island").agg(
+        F.min_by("row", "start").alias("row"), F.max("end").alias("end"), F.first("homRef").alias("homRef"), F.min("gq").alias("gq"), F.min("depth").alias("depth"), F.array(*map(least, range(3))).alias("pls")
+    )
+    one = F.get("row.genotypes", F.lit(0)).withField("conditionalQuality", F.col("gq")).withField("depth", F.col("depth")).withField("phredLikelihoods", F.col("pls"))
+    return out.withColumn("row", F.when(F.col("homRef"), F.col("row").withField("end", F.col("end")).withField("genotypes", F.array(one))).otherwise(F.col("row"))).select("row.*")
+
+
 def snp_index(sites: DataFrame) -> DataFrame:
     """(contigName, first, last): places of each contig's sites in the list sorted by contig and start. Counts per contig
     and a running sum over contigs; sites themselves are never numbered."""

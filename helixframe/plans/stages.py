@@ -47,6 +47,10 @@ class Align(Stage):
     def path(self) -> str:
         return f"{self.get(self.outputs[0])}/sampleId={self.sample}"
 
+    @property
+    def aside(self) -> str:
+        return f"{self.get(self.outputs[0])}/_unrecalibrated-{self.sample}"
+
     def init(self) -> None:
         if (self.get("recalibrateBaseQualities") or self.get("functionalEquivalence")) and self.get("referenceGenomeFastaPath") and not self.get("knownSites"):
             raise ValueError("recalibration with a custom reference genome needs knownSites")
@@ -64,12 +68,23 @@ class Align(Stage):
         every = self.get("functionalEquivalence")
         if every or self.get("markDuplicates"):
             reads = ro.to_reads(ro.mark_duplicates(ro.to_fragments(reads)))
+        if every or self.get("recalibrateBaseQualities"):
+            # stored first: the model and the new qualities are two passes that must see the same rows
+            tables.delete(spark, self.aside)
+            ro.with_reference(reads).write.parquet(self.aside)
+            reads = spark.read.parquet(self.aside)
+            known = vcf.read_spans(spark, self.get("knownSites")) if self.get("knownSites") else None
+            told = reads.where("readMapped and coalesce(primaryAlignment, true) and not coalesce(supplementaryAlignment, false) and not coalesce(duplicateRead, false) and not coalesce(failedVendorQualityChecks, false)")
+            reads = ro.apply_recalibration(reads, ro.recalibrate(told, known)).drop("referenceBases", "referenceSites")
         if every or self.get("binQualityScores"):
             reads = reads.withColumn("qualityScores", bin_qualities("qualityScores", self.get("qualityScoreBinSpec")))
         return reads
 
     def execute(self, spark: SparkSession) -> None:
-        alignments.save_reads(self.aligned(spark), self.path)
+        try:
+            alignments.save_reads(self.aligned(spark), self.path)
+        finally:
+            tables.delete(spark, self.aside)
         if self.get("exportBam"):
             rows = spark.read.parquet(self.path)
             head = alignments.sam_header(self.contigs, [{"ID": g[0], "SM": self.sample} for g in self.groups], "coordinate" if self.get("sortOnSave") else "unsorted")
@@ -120,6 +135,8 @@ class CallVariants(Stage):
         return assembly.call_shards(assembly.shards(reads, lengths, s.assemblyBinSize), self.caller, self.schema)
 
     def save(self, spark: SparkSession, calls: DataFrame, value: str) -> None:
+        if bounds := [int(b) for b in self.get("bands").split(",") if b.strip()]:
+            calls = vo.banded(calls, bounds)
         named = calls.withColumn("sampleId", F.lit(value))
         target = self.get("callVariantOutputVCF") if self.get("exportVCF") else None
         tables.save_and_export(named, self.get("callVariantOutput"), "sampleId", [value], [value], target, self.get("exportVCFAsSingleFile"), self.get("vcfCompressionCodec"))

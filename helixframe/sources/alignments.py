@@ -1,4 +1,4 @@
-"""Reads: SAM text and FASTQ in, SAM text, BAM and Parquet out."""
+"""Reads: SAM text, BAM and FASTQ in, SAM text, BAM and Parquet out."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import gzip
 import re
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,12 @@ def reference_length(cigar):  # noqa: ANN001, ANN201
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SAM text to the read model."""
-    rows = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != "")).select(F.split("value", "\t").alias("c"))
+    return of_lines(spark.read.text(path))
+
+
+def of_lines(lines: DataFrame) -> DataFrame:
+    """The read model of SAM lines (`value`)."""
+    rows = lines.where(~F.col("value").startswith("@") & (F.col("value") != "")).select(F.split("value", "\t").alias("c"))
     at = lambda k: F.get("c", F.lit(k))
     known = lambda x, none="*": F.when(x != none, x)
     flags = decode_flags(at(1).cast("int"))
@@ -45,6 +51,89 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(*((got[f.name] if f.name in got else F.lit(None)).cast(f.dataType).alias(f.name) for f in READ.fields))
 
 
+#: Fixed values of the BAM format: one-letter number types of tags.
+NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
+
+
+def sam_line(body: bytes, contigs: list[str]) -> str:
+    """A BAM record, without its length, as a SAM line."""
+    ref, pos, names, mapq, _, ops, flag, bases, mate, mate_pos, size = struct.unpack_from("<iiBBHHHiiii", body)
+    at = 32 + names
+    cigar = "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for x in struct.unpack_from(f"<{ops}I", body, at)) or "*"
+    at += 4 * ops
+    packed = body[at : at + (bases + 1) // 2]
+    at += len(packed)
+    sequence = "".join(BASES[x >> 4] + BASES[x & 15] for x in packed)[:bases] or "*"
+    quality = body[at : at + bases]
+    at += bases
+    tags = []
+    while at < len(body):
+        key, kind = body[at : at + 2].decode(), chr(body[at + 2])
+        at += 3
+        if kind in "ZH":
+            end = body.index(0, at)
+            tags.append(f"{key}:{kind}:{body[at:end].decode()}")
+            at = end + 1
+        elif kind == "A":
+            tags.append(f"{key}:A:{chr(body[at])}")
+            at += 1
+        elif kind == "B":
+            sub, n = chr(body[at]), struct.unpack_from("<i", body, at + 1)[0]
+            values = struct.unpack_from(f"<{n}{NUMBERS[sub]}", body, at + 5)
+            at += 5 + n * struct.calcsize(NUMBERS[sub])
+            tags.append(f"{key}:B:{','.join([sub, *(f'{v:g}' if sub == 'f' else str(v) for v in values)])}")
+        else:
+            v = struct.unpack_from(f"<{NUMBERS[kind]}", body, at)[0]
+            at += struct.calcsize(NUMBERS[kind])
+            tags.append(f"{key}:f:{v:g}" if kind == "f" else f"{key}:i:{v}")
+    name = lambda k: contigs[k] if k >= 0 else "*"
+    told = "=" if mate >= 0 and mate == ref else name(mate)
+    shown = "*" if not bases or quality[0] == 255 else "".join(chr(q + 33) for q in quality)
+    return "\t".join([body[32 : 31 + names].decode(), str(flag), name(ref), str(pos + 1), str(mapq), cigar, told, str(mate_pos + 1), str(size), sequence, shown, *tags])
+
+
+def bam_lines(stream) -> Iterator[str]:  # noqa: ANN001
+    """The SAM lines of an uncompressed BAM stream, without its header."""
+
+    def take(n: int) -> bytes:
+        got = stream.read(n)
+        if len(got) != n:
+            raise ValueError("truncated BAM")
+        return got
+
+    number = lambda: struct.unpack("<i", take(4))[0]
+    if take(4) != b"BAM\1":
+        raise ValueError("not a BAM file")
+    take(number())
+    contigs = []
+    for _ in range(number()):
+        contigs.append(take(number())[:-1].decode())
+        number()
+    while size := stream.read(4):
+        if len(size) != 4:
+            raise ValueError("truncated BAM")
+        yield sam_line(take(struct.unpack("<i", size)[0]), contigs)
+
+
+def read_bam(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """BAM files to the read model, a file a task, read as a stream."""
+    from helixframe.sources.binary import open_fs
+
+    paths = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p in b.column(0).to_pylist():
+                fs, at = open_fs(p)
+                with fs.open_input_stream(at, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
+                    lines = bam_lines(stream)
+                    while held := list(islice(lines, 4096)):
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
+    return of_lines(listed.mapInArrow(run, "value string"))
+
+
 def short_name_of(x):  # noqa: ANN001, ANN201
     return F.substring_index(x, " ", 1)
 
@@ -85,10 +174,12 @@ def read_fastq(spark: SparkSession, path: str | list[str], second: str | list[st
 
 
 def load_reads(spark: SparkSession, path: str, second: str | None = None, stringency: str = "STRICT") -> DataFrame:
-    """By extension: SAM, FASTQ (with an optional second file) or Parquet."""
+    """By extension: SAM, BAM, FASTQ (with an optional second file) or Parquet."""
     name = path.lower().removesuffix(".gz")
     if name.endswith((".fq", ".fastq", ".ifq")):
         return read_fastq(spark, path, second, stringency)
+    if name.endswith(".bam"):
+        return read_bam(spark, path)
     return read_sam(spark, path) if name.endswith(".sam") else spark.read.parquet(path)
 
 

@@ -131,6 +131,13 @@ def read_sites(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(F.get(c, F.lit(0)).alias("contigName"), (F.get(c, F.lit(1)).cast("long") - 1).alias("start"))
 
 
+def read_spans(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(contigName, start) of every place that a site's reference allele covers."""
+    c = F.split("value", "\t")
+    rows = spark.read.text(paths).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(F.get(c, F.lit(0)).alias("contigName"), (F.get(c, F.lit(1)).cast("long") - 1).alias("at"), F.length(F.get(c, F.lit(3))).alias("n"))
+    return rows.select("contigName", F.explode(F.sequence("at", F.col("at") + F.greatest(F.col("n"), F.lit(1)) - 1)).alias("start")).distinct()
+
+
 def header_lines(schema: T.StructType) -> list[str]:
     """Header lines that describe a schema's INFO and genotype columns."""
 
