@@ -7,7 +7,8 @@ match of `least` words is left. Coverage is the share of the item's words that l
 in the document, so reordered passages count like straight ones.
 
 A benchmark of at most `most_bytes` of text goes to every task (its size is measured first); a larger one is joined to the
-documents by seeds, with one row per pair of document and item that share a seed.
+documents by seeds, with one row per pair of document and item that share a seed. There rows and items are known by a digest
+of their texts, so either way each row is judged by its text alone, whatever its id.
 
 Defined cases: null and empty texts match nothing, nor do items of fewer than `least` words; repeated rows each give their
 rows; empty tables give an empty result; columns other than doc_id, item_id and text are ignored.
@@ -141,7 +142,8 @@ def rows_of(found: list[tuple]) -> pa.RecordBatch:
 
 
 def by_seeds(docs: DataFrame, bench: DataFrame, least: int, share: float) -> DataFrame:
-    """The join for benchmarks of any size."""
+    """The join for benchmarks of any size: the columns of MATCHES and `doc_key`, the digest of the document's text."""
+    docs, bench = docs.withColumn("doc_key", F.sha2("text", 256)), bench.withColumn("item_key", F.sha2("text", 256))
 
     def seeds(df: DataFrame, key: str) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,21 +153,23 @@ def by_seeds(docs: DataFrame, bench: DataFrame, least: int, share: float) -> Dat
                 for who, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     ids = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words_of(text)], np.uint64)
                     own = np.unique(rolling(ids, least)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), -1 if who is None else who), pa.int64()), pa.array(own, pa.int64())], names=[key, "seed"])
+                    yield pa.RecordBatch.from_arrays([pa.array([who] * len(own), pa.string()), pa.array(own, pa.int64())], names=[key, "seed"])
 
-        return df.where(f"{key} is not null").mapInArrow(run, f"{key} long, seed long")
+        return df.select(key, "text").mapInArrow(run, f"{key} string, seed long")
 
-    pairs = seeds(docs, "doc_id").join(seeds(bench, "item_id"), "seed").select("doc_id", "item_id").distinct()
-    both = pairs.join(docs, "doc_id").join(bench.withColumnRenamed("text", "item_text"), "item_id").select("doc_id", "text", "item_id", "item_text")
+    pairs = seeds(docs, "doc_key").join(seeds(bench, "item_key"), "seed").select("doc_key", "item_key").distinct()
+    both = pairs.join(docs, "doc_key").join(bench.withColumnRenamed("text", "item_text"), "item_key").select("doc_id", "text", "item_id", "item_text", "doc_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
-            for doc_id, text, item_id, item_text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            found, keys = [], []
+            for doc_id, text, item_id, item_text, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 found += [(doc_id, *x) for x in Benchmark([(item_id, item_text)], least).matches(text, share)]
-            yield rows_of(found)
+                keys += [key] * (len(found) - len(keys))
+            rows = rows_of(found)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.string())], names=[*rows.schema.names, "doc_key"])
 
-    return both.mapInArrow(run, MATCHES)
+    return both.mapInArrow(run, f"{MATCHES}, doc_key string")
 
 
 def small_benchmark(bench: DataFrame, most_bytes: int) -> list[tuple[int, str]] | None:
@@ -182,7 +186,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: f
     bench = bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
     items = small_benchmark(bench, most_bytes)
     if items is None:
-        return by_seeds(docs, bench, least, share)
+        return by_seeds(docs, bench, least, share).drop("doc_key")
     sent = spark.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,10 +201,12 @@ def clean(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float =
     """The rows of `docs`, with all columns, that cover `share` of no item. With a small benchmark no text is shuffled."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    items = small_benchmark(bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")), most_bytes)
+    bench = bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
+    items = small_benchmark(bench, most_bytes)
     if items is None:
-        hit = contaminated(docs, bench, least, share, most_bytes).select("doc_id").distinct()
-        return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+        texts = docs.select(F.lit(None).cast("long").alias("doc_id"), text_or_empty().alias("text"))
+        hit = by_seeds(texts, bench, least, share).select(F.col("doc_key").alias("_text_key")).distinct()
+        return docs.withColumn("_text_key", F.sha2(text_or_empty(), 256)).join(hit, "_text_key", "left_anti").select(*docs.columns)
     sent, at = spark.sparkContext.broadcast(items), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
