@@ -1,7 +1,8 @@
 """Tokenising whole texts with public vocabularies, as bytes of little-endian unsigned 32-bit ids.
 
-Both encoders give the ids of the `tokenizers` library for the vocabulary file they are given; special tokens' strings in
-a text are ordinary text. They differ from a plain call only in how they get there:
+Both encoders give the ids of the `tokenizers` library for the vocabulary file they are given, called with
+add_special_tokens=False: an added token's string in a text becomes that token. A text that holds one goes through the
+library itself. Else they differ from a plain call only in how they get there:
 
 * `ByteEncoder`: byte-level vocabularies, of which the same merges run in tiktoken, about four times as fast. A text that
   its expression engine refuses (over a million white-space characters in a row) goes through the library itself.
@@ -22,15 +23,18 @@ def library(path: str):  # noqa: ANN201
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 def plain(t, texts: list[str]) -> list[bytes]:  # noqa: ANN001
     return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def added(spec: dict) -> re.Pattern[str]:
+    """Finds the strings of a vocabulary's added tokens."""
+    return re.compile("|".join(re.escape(x["content"]) for x in spec.get("added_tokens") or []) or r"(?!)")
+
+
 def bytes_of_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for: printable latin-1 stands for itself, the other
     bytes in ascending order for the code points from 256 on."""
@@ -51,11 +55,15 @@ class ByteEncoder:
         letters = bytes_of_letters()
         ranks = {bytes(letters[c] for c in word): k for word, k in spec["model"]["vocab"].items() if word not in special}
         self.fast = tiktoken.Encoding("public", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.slow, self.path = None, path
+        self.slow, self.path, self.added = None, path, added(spec)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for t in texts:
+            if self.added.search(t):
+                self.slow = self.slow or library(self.path)
+                out += plain(self.slow, [t])
+                continue
             try:
                 out.append(np.array(self.fast.encode_ordinary(t), "<u4").tobytes())
             except BaseException as e:  # the engine panics, which is no Exception, or raises
@@ -81,6 +89,7 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {x["content"] for x in spec.get("added_tokens", [])}
+        self.added = added(spec)
         end, letters = spec["model"]["end_of_word_suffix"], bytes_of_letters()
         ranks = {}
         for word, k in spec["model"]["vocab"].items():
@@ -101,4 +110,4 @@ class WordEncoder:
         return out + " "
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [plain(self.t, [t])[0] if self.ODD.search(t) else np.array(self.fast.encode_ordinary(self.spaced(t)), "<u4").tobytes() for t in texts]
+        return [plain(self.t, [t])[0] if self.ODD.search(t) or self.added.search(t) else np.array(self.fast.encode_ordinary(self.spaced(t)), "<u4").tobytes() for t in texts]
