@@ -89,7 +89,7 @@ def panel_of_normals(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH k AS (SELECT l_linestatus AS library, CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE l_suppkey % 40 END AS l, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_partkey % 5 END AS r,
-  CAST(l_quantity AS INTEGER) AS score, concat(CAST(l_orderkey AS VARCHAR), '_', CAST(l_linenumber AS VARCHAR), '_', CAST(l_partkey AS VARCHAR), '_', CAST(l_suppkey AS VARCHAR)) AS name FROM lineitem WHERE l_orderkey % 4 = 0),
+  CAST(l_quantity AS INTEGER) AS score, concat(CAST(l_orderkey AS VARCHAR), '_', CAST(l_linenumber AS VARCHAR), '_', CAST(l_partkey AS VARCHAR), '_', CAST(l_suppkey AS VARCHAR)) AS name FROM lineitem),
 k2 AS (SELECT DISTINCT * FROM k), u AS (SELECT name, max(score) AS score, any_value(library) AS library, any_value(l) AS l, any_value(r) AS r FROM k2 GROUP BY name),
 p AS (SELECT library, l, count(r) > 0 AS has_pair FROM u GROUP BY 1, 2),
 b AS (SELECT library, l, r, max(score) AS best FROM u GROUP BY 1, 2, 3),
@@ -106,8 +106,8 @@ def mark_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return ro.duplicate_flags(u).select("name", F.col("primaryDup").alias("primary_dup"), F.col("secondaryDup").alias("secondary_dup"))
 
 
-@query("""WITH q AS (SELECT doc_id, replace(replace(substr(text, 1, 200), ' ', '!'), chr(10), '!') AS q FROM documents)
-SELECT doc_id, CAST(coalesce(list_sum(list_filter(list_transform(string_split(q, ''), lambda c: ord(c) - 33), lambda x: x >= 15)), 0) AS INTEGER) AS score FROM q WHERE regexp_full_match(q, '[!-~]+')""")
+@query("""WITH q AS (SELECT doc_id, regexp_replace(text, '[^0-~]', '', 'g') AS q FROM documents)
+SELECT doc_id, CAST(coalesce(list_sum(list_transform(string_split(nullif(q, ''), ''), lambda c: ord(c) - 33)), 0) AS INTEGER) AS score FROM q""")
 def read_score(spark: SparkSession, d: str) -> DataFrame:
     """Of every document's whole text; characters outside the qualities '!' to '~' score 0, null and empty texts 0."""
     t = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^!-~]", "!").alias("q"))
@@ -232,7 +232,7 @@ def interval_trim(spark: SparkSession, d: str) -> DataFrame:
     return oi.trim_to_targets(reads(spark, d).select(*READ_ON, "part"), regions(spark, d), READ_ON).select("referenceName", "part", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"))
 
 
-@query("""WITH t AS (SELECT concat('chr', CAST(o_custkey % 3 AS VARCHAR)) AS c, o_orderkey AS p FROM orders WHERE o_custkey % 2 = 0), x AS (SELECT concat('chr', CAST(o_custkey % 3 AS VARCHAR)) AS c, o_orderkey AS p FROM orders WHERE o_custkey % 5 = 0),
+@query("""WITH t AS (SELECT concat('chr', CAST(o_custkey % 3 AS VARCHAR)) AS c, o_orderkey AS p FROM orders), x AS (SELECT concat('chr', CAST(o_custkey % 3 AS VARCHAR)) AS c, o_orderkey AS p FROM orders),
 a AS (SELECT DISTINCT c, unnest(range(p, p + 9)) AS p FROM t), b AS (SELECT DISTINCT c, unnest(range(p, p + 4)) AS p FROM x), k AS (SELECT * FROM a EXCEPT SELECT * FROM b),
 g AS (SELECT c, p, p - row_number() OVER (PARTITION BY c ORDER BY p) AS island FROM k) SELECT c AS contig, min(p) AS start_pos, max(p) + 1 AS end_pos FROM g GROUP BY c, island""")
 def interval_subtract(spark: SparkSession, d: str) -> DataFrame:

@@ -36,7 +36,7 @@ def regions(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("contigName"), (F.col("o_orderkey") * 10 + 5).alias("start"), (F.col("o_orderkey") * 10 + 30).alias("end"), F.col("o_orderkey").alias("region_id"))
 
 
-REGIONS = """regions AS (SELECT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS contig, o_orderkey * 10 + 5 AS rs, o_orderkey * 10 + 30 AS re, o_orderkey AS region_id FROM orders WHERE o_orderkey % 50 = 0)"""
+REGIONS = """regions AS (SELECT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS contig, o_orderkey * 10 + 5 AS rs, o_orderkey * 10 + 30 AS re, o_orderkey AS region_id FROM orders)"""
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
@@ -47,7 +47,7 @@ def features(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("referenceName"), F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("transcriptId"), F.explode(F.array(whole, exon(0), exon(1))).alias("f")).select("referenceName", "transcriptId", "f.*")
 
 
-FEATURES = """tx AS (SELECT DISTINCT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS contig, concat('t', CAST(o_orderkey AS VARCHAR)) AS transcriptId, o_orderkey * 10 AS ts FROM orders WHERE o_orderkey % 3 = 0),
+FEATURES = """tx AS (SELECT DISTINCT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS contig, concat('t', CAST(o_orderkey AS VARCHAR)) AS transcriptId, o_orderkey * 10 AS ts FROM orders),
 exons AS (SELECT contig, transcriptId, ts + 15 * k AS fs, ts + 15 * k + 12 AS fe FROM tx, (VALUES (0), (1)) v(k))"""
 
 SAMPLES = 4
