@@ -1,16 +1,18 @@
-"""Shared helpers: reading tables, cutting lineage in the shared folder, Arrow plumbing."""
+"""Shared helpers: reading tables, intermediate tables in the shared folder, joins with hot keys, Arrow plumbing."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where intermediate tables go if the session names no shared folder (tests on one machine).
+#: Where intermediate tables go if the session names no shared folder and driver and executors are one process.
 LOCAL_SHARED = "file:///tmp/checkpoints"
+#: A key with more rows than this is dealt over several tasks.
+EACH = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a default where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED).rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir. Without one only a local master can go on."""
+    if path := spark.conf.get("spark.checkpoint.dir", None):
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return LOCAL_SHARED
+    raise RuntimeError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master {master})")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/helixframe/{name}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the shared folder, which goes when the application ends."""
+    sc = spark.sparkContext
+    root = f"{shared_dir(spark)}/helixframe/{sc.applicationId}"
+    if getattr(sc, "_helixframe_scratch", None) != root:
+        p = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        sc._helixframe_scratch = root
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system through Hadoop's client."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -34,32 +56,56 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared file system through Hadoop's client."""
-    jvm, sc = spark._jvm, spark.sparkContext
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+class Scratch:
+    """The intermediate tables of one run of an operator; `result` writes what the run is for and deletes them."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.name, self.root = spark, name, fresh_path(spark, name)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.option("parquet.block.size", 32 << 20).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        out = written(df, f"{self.name}-result")
+        remove_path(self.spark, self.root)
+        return out
+
+
+def skewed_join(left: DataFrame, right: DataFrame, on: list[str], by: list[str], how: str = "inner", each: int | None = None) -> DataFrame:
+    """left join right on `on`, where a value may hold a large part of `left` and `right` has a row or few for a value.
+    Values with more than `each` rows are counted first (at most rows / each of them); their rows are dealt by a hash of
+    `by` over as many parts as needed, and right's rows for them are repeated for each part."""
+    each = each or EACH
+    there = F.lit(True)
+    for c in on:
+        there = there & F.col(c).isNotNull()
+    crowds = left.where(there).groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > each)
+    hot = crowds.select(*on, F.ceil(F.col("_n") / each).cast("long").alias("_parts"))
+    rows = hot.collect()  # at most the rows of `left` divided by `each`
+    if not rows:
+        return left.join(right, on, how)
+    parts = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
+    part = F.coalesce(F.pmod(F.xxhash64(*by), F.col("_parts")), F.lit(0).cast("long"))
+    dealt = left.join(parts, on, "left").withColumn("_part", part).drop("_parts")
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1).cast("long")) - 1)
+    repeated = right.join(parts, on, "left").withColumn("_part", F.explode(every)).drop("_parts")
+    return dealt.join(repeated, [*on, "_part"], how).drop("_part")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces of few rows. Spark bounds a batch's bytes (spark.sql.execution.arrow.maxBytesPerBatch); this
+    bounds how many texts are Python objects at once, whatever the session's settings."""
+    for b in batches:
+        for at in range(0, max(b.num_rows, 1), rows):
+            yield b.slice(at, rows)
+
+
+def text_or_empty(name: str = "text") -> Column:
+    return F.coalesce(F.col(name), F.lit(""))
 
 
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows, so a batch of very long texts still fits a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-
-
-def map_arrow(df: DataFrame, rows: Callable[[dict[str, list]], Iterable[dict[str, list]]], schema: str) -> DataFrame:
-    """mapInArrow over python lists: `rows` gets a batch as {column: list} and yields {column: list or array} pieces."""
-    target = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(target)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in rows(batch.to_pydict()):
-                yield pa.RecordBatch.from_arrays([x if isinstance(x := piece[f.name], pa.Array) else pa.array(x, f.type) for f in arrow], schema=arrow)
-
-    return df.mapInArrow(run, target)
-
-
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))

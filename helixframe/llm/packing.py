@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, table, written
+from helixframe.llm.common import slices, table, written
 from helixframe.llm.tokens import ByteEncoder
 
 SIZE = 1024
@@ -87,14 +87,13 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, int, in
 
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = END, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, the ids (little-endian 32-bit) of every document's pieces."""
-    bounded_batches(docs.sparkSession)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ByteEncoder(tokenizer)
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), encoder.encode([t or "" for t in b.column(1).to_pylist()]), strict=True):
                 ids += tail

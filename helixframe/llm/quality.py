@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, table, written
+from helixframe.llm.common import slices, table, written
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -90,10 +90,9 @@ def measure(text: str | None) -> tuple[list[int], list[float]]:
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id, the base statistics and `features` (array of double in the order of FEATURES) of every row."""
-    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [measure(t) for t in b.column(1).to_pylist()]
             cols = [pa.array([x[0][k] for x in got], pa.int64()) for k in range(len(BASE))]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols, pa.array([x[1] for x in got], pa.list_(pa.float64()))], names=["doc_id", *BASE, "features"])
@@ -195,7 +194,7 @@ def judge(stats: DataFrame, model: FlatTrees, cut: float = 0.0, min_words: int =
     """stats with base_failed, score (log-odds of good quality) and kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = np.array(b.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", *BASE)), pa.array(model.score(x), pa.float64())], names=["doc_id", *BASE, "score"])
 
@@ -219,13 +218,12 @@ def keep(docs: DataFrame, labels: DataFrame, cut: float = 0.0, max_rows: int = 2
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [measure(t) for t in b.column(at).to_pylist()]
             score = model.score(np.array([x[1] for x in got], float).reshape(-1, len(FEATURES)))
             ok = [x[0][0] >= min_words and 100 * x[0][4] <= max_repeat_percent * x[0][0] and bool(s >= cut) for x, s in zip(got, score, strict=True)]
             yield b.filter(pa.array(ok, pa.bool_()))
 
-    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, table
+from helixframe.llm.common import slices, table
 
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "pem")
 BASE_KINDS = KINDS[:3]
@@ -108,11 +108,10 @@ def told(spans: list[tuple[int, int, int]]) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, counts of the base kinds, digest of the base spans, and all spans of every row's whole text."""
-    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keywords = automaton()
-        for b in batches:
+        for b in slices(batches):
             found = [spans_of(t, keywords) for t in b.column(1).to_pylist()]
             counts = [pa.array([sum(x[1] == k for x in f) for f in found], pa.int64()) for k in range(3)]
             digest = pa.array([hashlib.sha256(told([x for x in f if x[1] < 3]).encode()).hexdigest() for f in found], pa.string())
@@ -139,14 +138,13 @@ def redacted(text: str | None, keywords: ahocorasick.Automaton, mark: str = "[SE
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All columns of `docs` in their order, secrets in the text replaced; n_chars, where present, follows the new text."""
-    bounded_batches(docs.sparkSession)
     names = docs.columns
     at, count = names.index(text), names.index("n_chars") if "n_chars" in names else None
     typed = docs.withColumn("n_chars", F.col("n_chars").cast("long")) if count is not None else docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keywords = automaton()
-        for b in batches:
+        for b in slices(batches):
             cols = list(b.columns)
             old = cols[at].to_pylist()
             new = [redacted(t, keywords, mark) for t in old]

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, fresh_path, remove_path, table, text_or_empty
+from helixframe.llm.common import fresh_path, remove_path, slices, table, text_or_empty
 from helixframe.llm.tokens import WordEncoder
 
 END = 1
@@ -145,7 +145,6 @@ NAMES = ("part", "seq", "doc_ids", "doc_tokens", "n_tokens", "block")
 def raw_blocks(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     """Blocks of plain ids, little-endian and 16 bits wide where they fit (each in a row of its own, so a block's length over
     its tokens tells), else 32: documents in ascending doc_id order, each with its end id."""
-    bounded_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     tail = np.array([end], "<u4").tobytes()
     types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
@@ -159,7 +158,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
             data = data.astype("<u2") if data.max() < 1 << 16 else data
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, seq, own, sizes, held, data.tobytes()), types, strict=True)], names=NAMES)
 
-        for b in batches:
+        for b in slices(batches):
             for doc, one in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
                 ids.append(one + tail)
                 own.append(doc)
@@ -184,7 +183,7 @@ def id_counts(blocks: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1, np.int64)
-        for b in batches:
+        for b in slices(batches):
             for one, n in zip(b.column(0), b.column(1).to_pylist(), strict=True):
                 more = np.bincount(plain_ids(one, n), minlength=len(counts))
                 more[: len(counts)] += counts
@@ -210,7 +209,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, lim
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(bits)
-        for b in batches:
+        for b in slices(batches):
             for k in range(b.num_rows):
                 one = b.slice(k, 1)
                 data = code.encode(plain_ids(one.column(5)[0], one.column(4)[0].as_py()))
@@ -248,7 +247,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     at += n
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-        for b in batches:
+        for b in slices(batches):
             some, held = [], 0
             for k in range(b.num_rows):
                 some.append({c: b.column(c)[k].as_py() for c in b.schema.names})

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, fresh_path, table
+from helixframe.llm.common import fresh_path, slices, table
 
 CRLF = "\r\n"
 #: Fixed values of RFC 4648: the base-32 alphabet.
@@ -96,7 +96,6 @@ def read_records(spark: SparkSession, path: str, blocks: bool = True) -> DataFra
     """One row per record of the archives under `path`. A task holds one archive. Digest and size are those of the block
     as read, for a response; a revisit has the digest that it states. Without `blocks`, responses' blocks are dropped
     once measured."""
-    bounded_batches(spark)
     names = [x.strip().split(" ")[0] for x in RECORD.split(",")]
     types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "block": pa.binary()}
     whole = spark.read.format("binaryFile").load(path).select("content")
