@@ -3,15 +3,18 @@
 Words (runs of word characters, lower case) of a document and of a test item are compared. Seeds are the item's runs of
 `least` words under a Karp-Rabin rolling hash; a document is looked at further only if its seeds could cover the required
 share of an item. Then, round by round, the longest match between words that are still free in both is marked, until no
-match of `least` words is left. Coverage is the share of the item's words that lie in marked tiles, wherever the tiles are
-in the document, so reordered passages count like straight ones.
+match of `least` words is left: only the document's words under seeds are looked at, the length of the longest match is
+found by bisection over Karp-Rabin hashes of runs of equal length, and all matches of that length are marked in one sweep,
+so texts that repeat themselves cost little more than others. Hashes propose, words decide. Coverage is the share of the
+item's words that lie in marked tiles, wherever the tiles are in the document, so reordered passages count like straight ones.
 
-A benchmark of at most `most_bytes` of text goes to every task (its size is measured first); a larger one is joined to the
-documents by seeds, with one row per pair of document and item that share a seed. There rows and items are known by a digest
-of their texts, so either way each row is judged by its text alone, whatever its id.
+The benchmark is a set of queries, taken in blocks of about `most_bytes` of text. The driver holds one block at a time, a
+task holds one block, and there is no join: each row is judged by its text alone, in the same way for any size. Benchmarks
+of up to `most_bytes` cost one pass over the documents, larger ones a pass for each block.
 
 Defined cases: null and empty texts match nothing, nor do items of fewer than `least` words; repeated rows each give their
-rows; empty tables give an empty result; columns other than doc_id, item_id and text are ignored.
+rows, and so do items of equal text; ids may be null; empty tables give an empty result; very long texts are tiled whole;
+columns other than doc_id, item_id and text are ignored, and `clean` keeps all columns.
 """
 
 from __future__ import annotations
@@ -24,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import bounded_batches, table, text_or_empty
+from helixframe.llm.common import slices, table, text_or_empty, written
 
 LEAST = 5
 SHARE = 0.5
+MOST_BYTES = 32 << 20
 WORD = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+MIX = np.uint64(0xBF58476D1CE4E5B9)
 MATCHES = "doc_id long, item_id long, item_words int, covered int, n_tiles int, longest int, coverage double"
 
 
@@ -45,10 +50,29 @@ def rolling(ids: np.ndarray, least: int) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(least):
-            out = out * BASE + (ids[k : k + n].astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+            out = out * BASE + (ids[k : k + n].astype(np.uint64) + np.uint64(1)) * MIX
     return out
 
 
+class Runs:
+    """Karp-Rabin hashes of the runs of any length of a sequence, from the hashes of its prefixes."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        n = len(ids)
+        self.power = np.ones(n + 1, np.uint64)
+        self.inverse = np.ones(n + 1, np.uint64)
+        back = np.uint64(pow(int(BASE), -1, 1 << 64))
+        with np.errstate(over="ignore"):
+            self.power[1:] = np.cumprod(np.full(n, BASE))
+            self.inverse[1:] = np.cumprod(np.full(n, back))
+            # sum of id * base ** -place; a run's hash is its part of the sum, shifted to the run's start
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((ids.astype(np.uint64) + np.uint64(1)) * MIX * self.inverse[:-1])])
+
+    def at(self, places: np.ndarray, length: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (self.sums[places + length] - self.sums[places]) * self.power[places]
+
+
 def runs_of(free: np.ndarray, least: int) -> np.ndarray:
     """Whether the `least` places from each place on are all free."""
     n = len(free) - least + 1
@@ -56,50 +80,76 @@ def runs_of(free: np.ndarray, least: int) -> np.ndarray:
     return total[least:] - total[:n] == least
 
 
+def under_seeds(doc: np.ndarray, item: np.ndarray, least: int) -> np.ndarray:
+    """Places of `doc` that lie in a run of `least` ids that the item has too, by hash."""
+    n = len(doc) - least + 1
+    hit = np.flatnonzero(runs_of(doc >= 0, least) & np.isin(rolling(doc, least), rolling(item, least)))
+    edge = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + least, -1)
+    return np.flatnonzero(np.cumsum(edge[:-1]) > 0) if n > 0 else hit
+
+
 def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Tiles (place in doc, place in item, words), longest first. Ids below 0 in `doc` match nothing."""
+    """Tiles (place in doc, place in item, words), longest first; of one length by place in doc, then in item. Ids below 0
+    in `doc` match nothing."""
     tiles: list[tuple[int, int, int]] = []
     if min(len(doc), len(item)) < least:
         return tiles
-    free_d, free_i = doc >= 0, np.ones(len(item), bool)
-    hash_d, hash_i = rolling(doc, least), rolling(item, least)
-    order = np.argsort(hash_i, kind="stable")
-    ordered = hash_i[order]
+    back = under_seeds(doc, item, least)  # only words under seeds can be in a tile
+    if not len(back):
+        return tiles
+    gaps = np.flatnonzero(np.diff(back) > 1) + 1
+    back = np.insert(back, gaps, -1)  # a place of no word between words that are not neighbours
+    own = np.where(back >= 0, doc[back], -1)
+    runs_d, runs_i = Runs(own), Runs(item)
+    free_d, free_i = own >= 0, np.ones(len(item), bool)
+    most = min(len(own), len(item))
+
+    def hashes(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        p, q = np.flatnonzero(runs_of(free_d, length)), np.flatnonzero(runs_of(free_i, length))
+        return p, q, runs_d.at(p, length), runs_i.at(q, length)
+
     while True:
-        p = np.flatnonzero(runs_of(free_d, least))
-        lo, hi = np.searchsorted(ordered, hash_d[p], "left"), np.searchsorted(ordered, hash_d[p], "right")
-        p, lo, n = p[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-        q = order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        p = np.repeat(p, n)
-        ok = runs_of(free_i, least)[q]
-        p, q = p[ok], q[ok]
-        for k in range(least):  # the hash proposes, the words decide
-            same = doc[p + k] == item[q + k]
-            p, q = p[same], q[same]
-        if not len(p):
+        lo, hi = least - 1, most + 1  # some match of lo is left, none of hi
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            _, _, hp, hq = hashes(mid)
+            if len(hp) and len(hq) and np.isin(hq, hp).any():
+                lo = mid
+            else:
+                hi = mid
+        if lo < least:
             return tiles
-        length = np.full(len(p), least)
-        live = np.arange(len(p))
-        while len(live):
-            a, b = p[live] + length[live], q[live] + length[live]
-            inside = (a < len(doc)) & (b < len(item))
-            live, a, b = live[inside], a[inside], b[inside]
-            more = free_d[a] & free_i[b] & (doc[a] == item[b])
-            live = live[more]
-            length[live] += 1
-        best = int(length.max())
-        for k in np.flatnonzero(length == best):
-            a, b = int(p[k]), int(q[k])
-            if free_d[a : a + best].all() and free_i[b : b + best].all():
-                free_d[a : a + best] = False
-                free_i[b : b + best] = False
-                tiles.append((a, b, best))
+        p, q, hp, hq = hashes(lo)
+        waiting: dict[int, list[int]] = {}
+        for h, place in zip(hq[::-1].tolist(), q[::-1].tolist(), strict=True):
+            waiting.setdefault(h, []).append(place)  # the smallest place last
+        end = -1
+        for h, a in zip(hp.tolist(), p.tolist(), strict=True):
+            if a < end:
+                continue
+            left = waiting.get(h, [])
+            refused: list[int] = []
+            while left:
+                b = left.pop()
+                if not free_i[b : b + lo].all():
+                    continue
+                if (own[a : a + lo] == item[b : b + lo]).all():
+                    free_d[a : a + lo] = False
+                    free_i[b : b + lo] = False
+                    tiles.append((int(back[a]), b, lo))
+                    end = a + lo
+                    break
+                refused.append(b)  # equal hash, other words
+            left.extend(reversed(refused))
+        most = lo - 1
 
 
 class Benchmark:
-    """Items as ids of the benchmark's own vocabulary, and their seeds in order."""
+    """A block of items as ids of their own vocabulary, and their seeds in order."""
 
-    def __init__(self, items: list[tuple[int, str]], least: int) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], least: int) -> None:
         self.vocabulary: dict[str, int] = {}
         self.ids, self.least = [i for i, _ in items], least
         self.items = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(t)], np.int64) for _, t in items]
@@ -110,7 +160,7 @@ class Benchmark:
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.owner, self.place = seeds[order], owner[order], place[order]
 
-    def matches(self, text: str | None, share: float) -> Iterator[tuple[int, int, int, int, int, float]]:
+    def matches(self, text: str | None, share: float) -> Iterator[tuple[int | None, int, int, int, int, float]]:
         """item_id, words, covered, tiles, longest, coverage of each item covered by `share` at least."""
         get = self.vocabulary.get
         doc = np.array([get(w, -1) for w in words_of(text)], np.int64)
@@ -121,12 +171,15 @@ class Benchmark:
         lo, hi = np.searchsorted(self.seeds, hashes, "left"), np.searchsorted(self.seeds, hashes, "right")
         n = hi - lo
         hit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        for k in np.unique(self.owner[hit]):
+        if not len(hit):
+            return
+        hit = hit[np.argsort(self.owner[hit], kind="stable")]
+        owners, first = np.unique(self.owner[hit], return_index=True)
+        for k, places in zip(owners.tolist(), np.split(self.place[hit], first[1:]), strict=True):
             item = self.items[k]
             reach = np.zeros(len(item) + 1, np.int64)
-            own = self.place[hit[self.owner[hit] == k]]
-            np.add.at(reach, own, 1)
-            np.add.at(reach, own + self.least, -1)
+            np.add.at(reach, places, 1)
+            np.add.at(reach, places + self.least, -1)
             if (np.cumsum(reach[:-1]) > 0).sum() < share * len(item):
                 continue  # tiles cover no more than the seeds do
             tiles = tile(doc, item, self.least)
@@ -141,80 +194,55 @@ def rows_of(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True) if found else [[]] * len(types), types, strict=True)], names=names)
 
 
-def by_seeds(docs: DataFrame, bench: DataFrame, least: int, share: float) -> DataFrame:
-    """The join for benchmarks of any size: the columns of MATCHES and `doc_key`, the digest of the document's text."""
-    docs, bench = docs.withColumn("doc_key", F.sha2("text", 256)), bench.withColumn("item_key", F.sha2("text", 256))
-
-    def seeds(df: DataFrame, key: str) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            import xxhash
-
-            for b in batches:
-                for who, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    ids = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words_of(text)], np.uint64)
-                    own = np.unique(rolling(ids, least)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([who] * len(own), pa.string()), pa.array(own, pa.int64())], names=[key, "seed"])
+def blocks_of(bench: DataFrame, least: int, most_bytes: int) -> Iterator[Benchmark]:
+    """The items in blocks of at most `most_bytes` of text (a larger item is a block of its own), read one after another."""
+    held: list[tuple[int | None, str]] = []
+    size = 0
+    rows = bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).orderBy("item_id", "text")
+    for r in rows.toLocalIterator():
+        n = len(r.text.encode("utf-8", "surrogatepass"))
+        if held and size + n > most_bytes:
+            yield Benchmark(held, least)
+            held, size = [], 0
+        held.append((r.item_id, r.text))
+        size += n
+    if held:
+        yield Benchmark(held, least)
 
-        return df.select(key, "text").mapInArrow(run, f"{key} string, seed long")
 
-    pairs = seeds(docs, "doc_key").join(seeds(bench, "item_key"), "seed").select("doc_key", "item_key").distinct()
-    both = pairs.join(docs, "doc_key").join(bench.withColumnRenamed("text", "item_text"), "item_key").select("doc_id", "text", "item_id", "item_text", "doc_key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found, keys = [], []
-            for doc_id, text, item_id, item_text, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                found += [(doc_id, *x) for x in Benchmark([(item_id, item_text)], least).matches(text, share)]
-                keys += [key] * (len(found) - len(keys))
-            rows = rows_of(found)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.string())], names=[*rows.schema.names, "doc_key"])
-
-    return both.mapInArrow(run, f"{MATCHES}, doc_key string")
-
-
-def small_benchmark(bench: DataFrame, most_bytes: int) -> list[tuple[int, str]] | None:
-    """The items in order, or None if their texts are larger than `most_bytes`."""
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return [(r.item_id, r.text) for r in bench.orderBy("item_id", "text").collect()] if size <= most_bytes else None
-
-
-def contaminated(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float = SHARE, most_bytes: int = 32 << 20) -> DataFrame:
+def contaminated(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float = SHARE, most_bytes: int = MOST_BYTES) -> DataFrame:
     """One row per document and item of which the document covers `share` at least."""
     spark = docs.sparkSession
-    bounded_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    bench = bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-    items = small_benchmark(bench, most_bytes)
-    if items is None:
-        return by_seeds(docs, bench, least, share).drop("doc_key")
-    sent = spark.sparkContext.broadcast(items)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Benchmark(sent.value, least)
-        for b in batches:
-            yield rows_of([(doc_id, *x) for doc_id, text in zip(*(c.to_pylist() for c in b.columns), strict=True) for x in known.matches(text, share)])
-
-    return docs.mapInArrow(run, MATCHES)
-
-
-def clean(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float = SHARE, most_bytes: int = 32 << 20) -> DataFrame:
-    """The rows of `docs`, with all columns, that cover `share` of no item. With a small benchmark no text is shuffled."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    bench = bench.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-    items = small_benchmark(bench, most_bytes)
-    if items is None:
-        texts = docs.select(F.lit(None).cast("long").alias("doc_id"), text_or_empty().alias("text"))
-        hit = by_seeds(texts, bench, least, share).select(F.col("doc_key").alias("_text_key")).distinct()
-        return docs.withColumn("_text_key", F.sha2(text_or_empty(), 256)).join(hit, "_text_key", "left_anti").select(*docs.columns)
-    sent, at = spark.sparkContext.broadcast(items), docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Benchmark(sent.value, least)
-        for b in batches:
-            yield b.filter(pa.array([next(known.matches(t, share), None) is None for t in b.column(at).to_pylist()], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    out = None
+    for block in blocks_of(bench, least, most_bytes):
+        sent = spark.sparkContext.broadcast(block)  # of at most `most_bytes` of text
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            known = sent.value
+            for b in slices(batches):
+                yield rows_of([(doc_id, *x) for doc_id, text in zip(*(c.to_pylist() for c in b.columns), strict=True) for x in known.matches(text, share)])
+
+        found = texts.mapInArrow(run, MATCHES)
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else spark.createDataFrame([], MATCHES)
+
+
+def clean(docs: DataFrame, bench: DataFrame, least: int = LEAST, share: float = SHARE, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """The rows of `docs`, with all columns, that cover `share` of no item. No text is shuffled. Between blocks of the
+    benchmark the rows that are left are written, so a task holds one block."""
+    spark, at, out, passes = docs.sparkSession, docs.columns.index("text"), docs, 0
+    for block in blocks_of(bench, least, most_bytes):
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            known = sent.value
+            for b in slices(batches):
+                yield b.filter(pa.array([next(known.matches(t, share), None) is None for t in b.column(at).to_pylist()], pa.bool_()))
+
+        out = (written(out, "decontaminated") if passes else out).mapInArrow(run, docs.schema)
+        passes += 1
+    return out
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
