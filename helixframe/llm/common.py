@@ -104,8 +104,3 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows, so a batch of very long texts still fits a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
