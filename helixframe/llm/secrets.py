@@ -5,11 +5,14 @@ accepts), so byte offsets are code points. An Aho-Corasick automaton finds the k
 where a keyword begins. Hexadecimal runs have no keyword: a byte translation that blanks everything else shows at
 once whether a text holds a run that is long enough.
 
-Base kinds: assign, access, hex. Kinds that the method adds: github and npm tokens, of which the last six characters
-must be the base-62 CRC-32 of the rest; jwt, of which the head must decode to a JSON object; pem private keys.
+Base kinds: assign, access, hex. Kinds that the method adds: github tokens (ghp_, gho_, ghu_, ghs_, ghr_) and npm tokens of
+36 characters, of which the last six must be the base-62 CRC-32 of the rest (tokens of other lengths and fine-grained ones
+have no known checksum and are not sought); jwt, of which the head must decode to a JSON object; pem private keys with
+labels of up to 40 characters.
 
 Defined cases: null and empty texts have no spans; repeated rows each give a row; an empty table gives an empty
-result; columns other than doc_id and text are ignored by `scan`.
+result; a text is read in a time linear in its length, however often a keyword comes in it; of matches of a kind that
+overlap the first counts; columns other than doc_id and text are ignored by `scan`.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 GITHUB = re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 NPM = re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 JWT = re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+#: Where an expression fails for want of what must follow a run of these, it fails at every keyword in that run.
+RUN = {"jwt": re.compile(rb"[A-Za-z0-9_-]+")}
 PEM = re.compile(rb"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END \1PRIVATE KEY-----")
 HEX_RUN = re.compile(rb"h{24,}")
 HEX_TABLE = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
@@ -92,10 +97,14 @@ def spans_of(text: str | None, keywords: ahocorasick.Automaton) -> list[tuple[in
     starts = sorted((end - n + 1, k) for end, (k, n) in keywords.iter(low))
     for start, k in starts:
         _, _, kind, pattern, holds = RULES[k]
-        if start >= over.get(kind, 0) and (m := pattern.match(b, start)):
+        if start < over.get(kind, 0):
+            continue
+        if m := pattern.match(b, start):
             over[kind] = m.end()
             if holds(m):
                 out.append((start, KINDS.index(kind), m.end()))
+        elif kind in RUN:
+            over[kind] = RUN[kind].match(b, start).end()
     runs = b.translate(HEX_TABLE)
     if HEX_LEAST in runs:
         out += [(m.start(), 2, m.end()) for m in HEX_RUN.finditer(runs)]
