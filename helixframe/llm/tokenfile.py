@@ -9,8 +9,9 @@ intervals of many blocks in step, one table look-up a code, so it costs a few ve
 The container is Parquet written by Spark (rows: part, seq, doc_ids, doc_tokens, n_tokens, block), beside a code book of
 (id, bits); any store that Spark writes to can hold it.
 
-Defined cases: null and empty texts are the end id alone; null doc_ids come first; rows of equal doc_id follow in order
-of their text; an empty table gives empty files and an empty result; other columns are ignored.
+Defined cases: null and empty texts are the end id alone; null doc_ids come first; rows that share a doc_id stand together,
+those of one file part in order of their text (a doc_id of very many rows takes several parts); very long texts are one
+block; an empty table gives empty files and an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -138,25 +139,28 @@ class Code:
         return [out[cuts[k] : cuts[k + 1]].reshape(-1)[: sizes[k]] for k in range(len(blocks))]
 
 
-BLOCKS = "part int, seq long, doc_ids array<long>, doc_tokens array<long>, n_tokens long, block binary"
-NAMES = ("part", "seq", "doc_ids", "doc_tokens", "n_tokens", "block")
+BLOCKS = "part int, seq long, inside long, doc_ids array<long>, doc_tokens array<long>, n_tokens long, block binary"
+NAMES = ("part", "seq", "inside", "doc_ids", "doc_tokens", "n_tokens", "block")
 
 
 def raw_blocks(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     """Blocks of plain ids, little-endian and 16 bits wide where they fit (each in a row of its own, so a block's length over
-    its tokens tells), else 32: documents in ascending doc_id order, each with its end id."""
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    its tokens tells), else 32: documents in ascending doc_id order, each with its end id. `inside`: ids of the part before
+    the block."""
+    # the second key lets a doc_id of very many rows take several partitions
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("_at", F.monotonically_increasing_id())
+    ordered = numbered.repartitionByRange("doc_id", "_at").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     tail = np.array([end], "<u4").tobytes()
-    types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, seq, inside = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0, 0
         ids, own, sizes, held = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             data = np.frombuffer(b"".join(ids), "<u4")
             data = data.astype("<u2") if data.max() < 1 << 16 else data
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, seq, own, sizes, held, data.tobytes()), types, strict=True)], names=NAMES)
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, seq, inside, own, sizes, held, data.tobytes()), types, strict=True)], names=NAMES)
 
         for b in slices(batches):
             for doc, one in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
@@ -166,7 +170,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
                 held += sizes[-1]
                 if held >= BLOCK:
                     yield block()
-                    ids, own, sizes, held, seq = [], [], [], 0, seq + 1
+                    ids, own, sizes, held, seq, inside = [], [], [], 0, seq + 1, inside + held
         if own:
             yield block()
 
@@ -212,8 +216,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, lim
         for b in slices(batches):
             for k in range(b.num_rows):
                 one = b.slice(k, 1)
-                data = code.encode(plain_ids(one.column(5)[0], one.column(4)[0].as_py()))
-                yield pa.RecordBatch.from_arrays([*one.columns[:5], pa.array([data], pa.binary())], names=NAMES)
+                data = code.encode(plain_ids(one.column(6)[0], one.column(5)[0].as_py()))
+                yield pa.RecordBatch.from_arrays([*one.columns[:6], pa.array([data], pa.binary())], names=NAMES)
 
     plain.mapInArrow(run, BLOCKS).write.parquet(f"{path}/blocks")
     remove_path(spark, f"{path}/plain")
@@ -227,10 +231,9 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
         bits[r.id] = r.bits
     blocks = spark.read.parquet(f"{path}/blocks")
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    # a row for each part, of which there are no more than the writer had tasks
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    inside = blocks.select("part", "seq", (F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")).alias("inside"))
-    starts = inside.join(before, "part").select("part", "seq", (F.col("before") + F.col("inside")).alias("start"))
-    rows = blocks.join(starts, ["part", "seq"]).select("start", "doc_ids", "doc_tokens", "n_tokens", "block")
+    rows = blocks.join(F.broadcast(before), "part").select((F.col("before") + F.col("inside")).alias("start"), "doc_ids", "doc_tokens", "n_tokens", "block")
     names = ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * with_ids
 
