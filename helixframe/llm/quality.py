@@ -3,9 +3,11 @@
 `document_stats` makes one pass over the whole texts. `train` fits boosted trees with monotonic constraints on
 a bounded sample of labelled rows; `FlatTrees.score` walks all trees for a whole batch at once over flat numpy arrays.
 
-Defined cases: a null or empty text has no words (all statistics 0, `base_failed`); repeated rows each give a row; an
-empty table gives an empty result; without labels of both classes the trees accept everything and the base rules decide
-alone; columns other than doc_id and text are ignored, so their names cannot clash.
+Defined cases: a null or empty text has no words (all statistics 0, `base_failed`); repeated rows each give a row; of rows
+that share a labelled doc_id the one of the smallest features counts in training, and of several labels the larger, so a
+fit depends on the tables alone; rows without a doc_id are judged but never learnt from; an empty table gives an empty
+result; without labels of both classes the trees accept everything and the base rules decide alone; very long texts are
+measured whole; columns other than doc_id and text are ignored, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -185,7 +187,8 @@ def fit(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> FlatTree
     training sample). Rows with a null label are ignored; of repeated labels the larger counts."""
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = stats.join(F.broadcast(sample), "doc_id").select("doc_id", "features", "quality").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(max_rows).collect()
+    one = stats.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"), F.max("quality").alias("quality"))
+    rows = sorted(one.collect(), key=lambda r: r.doc_id)  # at most `max_rows`
     x = np.array([r.features for r in rows]).reshape(-1, len(FEATURES))
     return train(x, np.array([float(r.quality > 0) for r in rows]), list(FEATURES.values()))
 
@@ -194,7 +197,7 @@ def judge(stats: DataFrame, model: FlatTrees, cut: float = 0.0, min_words: int =
     """stats with base_failed, score (log-odds of good quality) and kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, 8192):
             x = np.array(b.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", *BASE)), pa.array(model.score(x), pa.float64())], names=["doc_id", *BASE, "score"])
 
