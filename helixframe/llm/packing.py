@@ -6,11 +6,12 @@ length that fits; then its smallest piece is replaced by the two unpacked pieces
 tightly, if there are such. The same bin is repeated as often as the counts allow, so every step uses up at least one
 length and the plan has a few thousand lines at most: it is broadcast, its size bounded by `size` alone.
 
-Pieces are then numbered inside their length (counts per bucket and length give offsets; no group meets in one task) and
+Pieces are then numbered inside their length, equal ones (of repeated rows) counted first, so no group meets in one task, and
 look up their sequence and offset in the plan.
 
 Documents longer than a sequence are cut into full pieces; the remainder comes first. Defined cases: null and empty
-texts are one end token; repeated rows are packed each; an empty table gives an empty result; other columns are ignored.
+texts are one end token; repeated rows are packed each, as are rows without a doc_id; very long texts are cut like others;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,15 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import slices, table, written
+from helixframe.llm.common import Scratch, slices, table
+from helixframe.llm.sharding import numbered, row_key
 from helixframe.llm.tokens import ByteEncoder
 
 SIZE = 1024
 END = 2
-BUCKETS = 256
 
 
 def best_two(counts: np.ndarray, gap: int, least: int) -> tuple[int, int] | None:
@@ -109,37 +110,34 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = E
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
-    """`pieces` (written, with doc_id, piece, length and ids_crc32) with sequence_id and offset."""
-    buckets = max(BUCKETS, pieces.count() // 20_000)
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets))
-    keyed = pieces.withColumn("bucket", bucket)
-    counts = keyed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
+def pack(groups: DataFrame, size: int = SIZE) -> DataFrame:
+    """A row for each copy of a piece, with sequence_id and offset. `groups` (written): doc_id, piece, start, length,
+    ids_crc32 and copies."""
+    names = [c for c in groups.columns if c != "copies"]
+    # at most `size` rows
+    histogram = {r.length: r.n for r in groups.groupBy("length").agg(F.sum("copies").alias("n")).collect()}
     lines: dict[int, list[tuple]] = {}
     for n, *rest in plan(histogram, size):
         lines.setdefault(n, []).append(tuple(rest))
-    before = counts.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    ranked = keyed.withColumn("inside", inside).join(before, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("inside"))
-    names = pieces.columns
     starts = {n: [x[0] for x in own] for n, own in lines.items()}
+    ranked = numbered(groups, row_key("doc_id", "piece", "ids_crc32"), names, within=("length",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             place = []
-            for n, r in zip(b.column("length").to_pylist(), b.column("rank").to_pylist(), strict=True):
+            for n, r in zip(b.column("length").to_pylist(), b.column("row").to_pylist(), strict=True):
                 first, _, sequence, per, offset = lines[n][bisect_right(starts[n], r) - 1]
                 place.append((sequence + (r - first) // per, offset + (r - first) % per * n))
             cols = [pa.array([x[k] for x in place], pa.int64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *cols], names=[*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"{c} {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
-    return ranked.select(*names, "rank").mapInArrow(run, schema)
+    schema = ", ".join(f"{c} {t}" for c, t in groups.dtypes if c != "copies") + ", sequence_id long, offset long"
+    return ranked.select(*names, "row").mapInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = END) -> DataFrame:
-    return pack(written(token_pieces(docs, tokenizer, size, end), "pieces"), size)
+    pieces = token_pieces(docs, tokenizer, size, end)
+    return pack(Scratch(docs.sparkSession, "packing").written(pieces.groupBy(*pieces.columns).agg(F.count("*").alias("copies")), "pieces"), size)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
