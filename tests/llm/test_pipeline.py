@@ -68,3 +68,30 @@ def test_run(spark, sf_dir):
 def test_registry_names_every_operator():
     assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
     assert set(registry.ORACLES) <= set(registry.QUERIES)
+
+
+def brute_kept(texts: list[tuple[int | None, str | None]]) -> list[tuple[int | None, str | None]]:
+    """Of each group of the n-gram join the document of the smallest doc_id, of a doc_id the smallest text."""
+    from tests.llm.test_operators import brute_components
+
+    component = brute_components([x for x in texts if x[0] is not None], 5, 80)
+    kept = [x for x in texts if x[0] is None or not component[x[0]][0] or component[x[0]][1] == x[0]]
+    ids = sorted({i for i, _ in kept if i is not None})
+    return [x for x in kept if x[0] is None] + [(i, min((t for j, t in kept if j == i), key=lambda t: (t is not None, t or ""))) for i in ids]
+
+
+def test_the_jaccard_stage_against_brute_force(spark, sf_dir):
+    rng = random.Random(21)
+    texts: list[tuple[int | None, str | None]] = []
+    for k in range(40):
+        words = prose(rng, 60).split()
+        for j in range(rng.choice([1, 1, 2, 4])):
+            copy = words[:]
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                copy[rng.randrange(60)] = f"w{rng.randrange(99)}"
+            texts.append((1000 - 7 * k - j, " ".join(copy)))
+    texts += [(2000, None), (2001, ""), (2002, "a b"), (2003, "A B"), (2004, None), (2004, None), (2005, prose(rng, 30)), (2005, prose(rng, 31)), (None, "a b"), (None, None)]
+    got = cp.jaccard_stage(spark, docs_of(spark, texts), sf_dir)
+    assert tuple(got.columns) == cp.DOCUMENT
+    order = lambda x: (x[0] is not None, x[0] or 0, x[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=order) == sorted(brute_kept(texts), key=order)
