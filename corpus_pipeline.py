@@ -8,11 +8,11 @@ row of each group; empty tables give empty results; columns beyond those of docu
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import decontaminate, jaccard, packing, quality, secrets
-from helixframe.llm.common import fresh_path, table, written
+from helixframe.llm.common import fresh_path, remove_path, table, written
 from helixframe.session import ship
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,18 +30,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join on five-word shingles at 0.8: of each group the document of the smallest doc_id stays.
-    Documents without words are linked with nothing and all stay."""
+    """N-gram Jaccard join on five-word shingles at 0.8: of each group the document of the smallest doc_id stays, and of
+    rows that share a doc_id that of the smallest text. Documents without words are linked with nothing and all stay."""
     docs = documents(docs)
-    found = written(jaccard.jaccard_components(docs, k=5, percent=80), "pipeline-groups")
+    found = jaccard.jaccard_components(docs, k=5, percent=80)
     others = found.where("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct()
     first = docs.hint("merge").join(others, "doc_id", "left_anti")  # ids of copies grow with the corpus: never broadcast
-    copies = first.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 and doc_id is not null").select("doc_id")
-    if copies.isEmpty():
+    repeated = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
         return first.select(*DOCUMENT)
-    # rows that share the doc_id are one group too: its smallest text stays
-    one = first.join(copies, "doc_id", "left_semi").withColumn("rn", F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source"))).where("rn = 1")
-    return first.join(copies, "doc_id", "left_anti").select(*DOCUMENT).unionByName(one.select(*DOCUMENT))
+    first = written(first.select(*DOCUMENT), "first")  # read twice
+    order = ("text", "source", "lang", "n_chars")
+    one = first.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*order)).alias("row")).select("doc_id", "row.*")
+    return first.hint("merge").join(repeated, "doc_id", "left_anti").select(*DOCUMENT).unionByName(one.select(*DOCUMENT))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,9 +75,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"stage-{name.replace(' ', '-').lower()}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
