@@ -26,10 +26,11 @@ def components(edges: DataFrame, scratch: Scratch | None = None, jumps: int = 2)
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         ranked = lambda c: F.struct(F.xxhash64(c).alias("rank"), F.col(c).alias("to"))
         best = both.groupBy("a").agg(F.min(ranked("b")).alias("near"))
-        to = scratch.written(best.select(F.col("a").alias("node"), F.least(ranked("a"), "near")["to"].alias("to")), "pointers")
+        to = best.select(F.col("a").alias("node"), F.least(ranked("a"), "near")["to"].alias("to"))
         for _ in range(jumps):
             next_to = to.select(F.col("node").alias("to"), F.col("to").alias("further"))
-            to = scratch.written(skewed_join(to, next_to, ["to"], ["node"]).select("node", F.col("further").alias("to")), "pointers")
+            to = skewed_join(to, next_to, ["to"], ["node"]).select("node", F.col("further").alias("to"))
+        to = scratch.written(to, "pointers")
         rounds.append(to)
         a, b = to.select(F.col("node").alias("a"), F.col("to").alias("ta")), to.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         moved = skewed_join(skewed_join(left, a, ["a"], ["b"]), b, ["b"], ["a"])
@@ -40,6 +41,5 @@ def components(edges: DataFrame, scratch: Scratch | None = None, jumps: int = 2)
     for to in rounds[1:]:
         step = to.select(F.col("node").alias("root"), F.col("to").alias("further"))
         labels = skewed_join(labels, step, ["root"], ["node"], "left").select("node", F.coalesce("further", "root").alias("root"))
-    labels = scratch.written(labels, "labels")
     least = labels.groupBy("root").agg(F.min("node").alias("component"))
     return skewed_join(labels, least, ["root"], ["node"]).select("node", "component")

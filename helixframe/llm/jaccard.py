@@ -351,11 +351,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, each: int
     if asked.isEmpty():
         final = group
     else:
-        at_home = scratch.written(labelled.select("node", "grp", "block"), "homes")
+        at_home = labelled.select("node", "grp", "block")
         docs_in = at_home.groupBy(F.col("block").alias("block_a")).agg(F.count("*").alias("docs"))
         loads = skewed_join(asked, docs_in, ["block_a"], ["block_b"], each=each).groupBy("block_b").agg(F.ceil(F.sum("docs") / UNIT).cast("long").alias("parts"))
         unit = lambda part: F.xxhash64("block_b", part).alias("unit")
-        loaded = scratch.written(skewed_join(asked, loads, ["block_b"], ["block_a"], each=each), "loads")
+        loaded = skewed_join(asked, loads, ["block_b"], ["block_a"], each=each)
         by_home = skewed_join(loaded, at_home.withColumnsRenamed({"block": "block_a"}), ["block_a"], ["block_b"], each=each)
         asking = by_home.select(unit(F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(True).alias("asks"), "node", "grp")
         parts = loads.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
