@@ -53,16 +53,52 @@ def overlap_semi(rows: DataFrame, regions: DataFrame, on: Interval = DEFAULT, re
     return overlap_pairs(rows, merged, on, right_on, size).where(F.col("_before") <= F.col(s)).select(*rows.columns)
 
 
+#: Width of the bins in which running values are computed; a contig is many of them, so no task has to hold a whole one.
+RUN_BIN = 1_000_000
+
+
+def running(rows: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, str] | None = None, most: dict[str, str] | None = None, last: dict[str, str] | None = None, following: dict[str, str] | None = None, size: int | None = None) -> DataFrame:
+    """Running values over `rows` of each `keys` in `order` (its first a position), bin by bin: a column of sums up to and
+    with the row, of the most, and of the last value among the rows before it, and of the value in the following row; each
+    dict maps a new column to the one it comes from. Bins are ranked apart; one row a bin carries values across them."""
+    sums, most, last, following = sums or {}, most or {}, last or {}, following or {}
+    binned = rows.withColumn("_bin", F.floor(F.col(order[0]) / (size or RUN_BIN)).cast("long"))
+    own, over = Window.partitionBy(*keys, "_bin").orderBy(*order), Window.partitionBy(*keys).orderBy("_bin")
+    earlier, place = own.rowsBetween(Window.unboundedPreceding, -1), F.struct(*order)
+    totals = binned.groupBy(*keys, "_bin").agg(
+        *(F.sum(c).alias(n) for n, c in sums.items()), *(F.max(c).alias(n) for n, c in most.items()),
+        *(F.max_by(F.struct(c), place)[c].alias(n) for n, c in last.items()), *(F.min_by(F.struct(c), place)[c].alias(n) for n, c in following.items()), F.count("*").alias("_rows"),
+    )
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *keys, "_bin", *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_c_{n}") for n in sums), *(F.max(n).over(before).alias(f"_c_{n}") for n in most),
+        *(F.lag(n).over(over).alias(f"_c_{n}") for n in last), *(F.lead(n).over(over).alias(f"_c_{n}") for n in following),
+    )
+    inside = binned.select(
+        "*", *(F.sum(c).over(own.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_i_{n}") for n, c in sums.items()), *(F.max(c).over(earlier).alias(f"_i_{n}") for n, c in most.items()),
+        *(F.lag(F.struct(c)).over(own).alias(f"_i_{n}") for n, c in last.items()), *(F.lead(F.struct(c)).over(own).alias(f"_i_{n}") for n, c in following.items()),
+    )
+    same = F.lit(True)
+    for c in (*keys, "_bin"):
+        same = same & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    both = inside.alias("x").join(carried.alias("y"), same)
+    whole = lambda n, c: F.when(F.col(f"_i_{n}").isNotNull(), F.col(f"_i_{n}")[c]).otherwise(F.col(f"_c_{n}"))
+    return both.select(
+        *(F.col(f"x.{c}") for c in rows.columns), *((F.col(f"_i_{n}") + F.col(f"_c_{n}")).alias(n) for n in sums), *(F.greatest(F.col(f"_i_{n}"), F.col(f"_c_{n}")).alias(n) for n in most),
+        *(whole(n, c).alias(n) for n, c in (*last.items(), *following.items())),
+    )
+
+
 def merge(regions: DataFrame, on: Interval = DEFAULT, adjoining: bool = True) -> DataFrame:
     """Disjoint regions that cover the same points (with `adjoining` those that touch are joined too), with `_before`: the
     end of the previous."""
     c, s, e = on
-    w = Window.partitionBy(c).orderBy(s, e)
-    seen = regions.where(F.col(s) <= F.col(e)).withColumn("_reach", F.max(e).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    marked = seen.withColumn("_island", F.sum(F.when((F.col("_reach") >= F.col(s)) if adjoining else (F.col("_reach") > F.col(s)), 0).otherwise(1)).over(w))
-    out = marked.groupBy(c, "_island").agg(F.min(s).alias(s), F.max(e).alias(e))
-    before = F.coalesce(F.lag(e).over(Window.partitionBy(c).orderBy(s)), F.lit(-(1 << 62)))
-    return out.withColumn("_before", before).drop("_island")
+    # equal regions are one, so a region's place in the order is its own
+    seen = running(regions.where(F.col(s) <= F.col(e)).select(*on).distinct(), [c], [s, e], most={"_reach": e})
+    apart = ~((F.col("_reach") >= F.col(s)) if adjoining else (F.col("_reach") > F.col(s)))
+    marked = running(seen.withColumn("_new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)), [c], [s, e], sums={"_island": "_new"})
+    out = marked.groupBy(c, "_island").agg(F.min(s).alias(s), F.max(e).alias(e), F.min_by(F.struct("_reach"), F.struct(s, e))["_reach"].alias("_before"))
+    return out.withColumn("_before", F.coalesce("_before", F.lit(-(1 << 62)))).drop("_island")
 
 
 def overlap_semi_distinct(rows: DataFrame, regions: DataFrame, on: Interval = DEFAULT, regions_on: Interval = DEFAULT, size: int = 1000) -> DataFrame:
@@ -104,9 +140,8 @@ def subtract(targets: DataFrame, exclusions: DataFrame, on: Interval = DEFAULT)
     c, s, e = on
     ends = lambda df, t, x: df.where(F.col(s) < F.col(e)).select(F.col(c).alias("c"), F.explode(F.array(F.struct(F.col(s).alias("at"), F.lit(t).alias("t"), F.lit(x).alias("x")), F.struct(F.col(e).alias("at"), F.lit(-t).alias("t"), F.lit(-x).alias("x")))).alias("m")).select("c", "m.*")
     steps = ends(targets, 1, 0).unionByName(ends(exclusions, 0, 1)).groupBy("c", "at").agg(F.sum("t").alias("t"), F.sum("x").alias("x"))
-    w = Window.partitionBy("c").orderBy("at")
-    open_ = steps.select("c", "at", (F.sum("t").over(w) > 0).alias("in_t"), (F.sum("x").over(w) > 0).alias("in_x"), F.lead("at").over(w).alias("next"))
-    kept = open_.where("in_t and not in_x and next is not null").select(F.col("c").alias(c), F.col("at").alias(s), F.col("next").alias(e))
+    swept = running(steps, ["c"], ["at"], sums={"run_t": "t", "run_x": "x"}, following={"next": "at"})
+    kept = swept.where("run_t > 0 and run_x = 0 and next is not null").select(F.col("c").alias(c), F.col("at").alias(s), F.col("next").alias(e))
     return merge(kept, on).select(c, s, e)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.genotypes import has_valid_pls
 from helixframe.functions.intervals import is_duplicate_bin
-from helixframe.operators.intervals import with_bins
+from helixframe.operators.intervals import running, with_bins
 
 NON_REF = "<NON_REF>"
 SPANNING = "*"
@@ -54,11 +54,13 @@ def band_of(quality: Column | str, bounds: list[int]) -> Column:
 
 def islands(sites: DataFrame, bounds: list[int], contig: str = "contigName", start: str = "start", end: str = "end", quality: str = "gq", hom_ref: str = "homRef", sample: tuple[str, ...] = ()) -> DataFrame:
     """Adds `band` and `island`: a new island starts where contig, band or hom-ref-ness changes, at a gap, and at every
-    site that is not hom-ref."""
-    w = Window.partitionBy(contig, *sample).orderBy(start, end)
+    site that is not hom-ref. Sites are ranked in bins of a contig, never a contig as a whole."""
+    keys = [contig, *sample]
     banded = sites.withColumn("band", F.when(F.col(hom_ref), band_of(quality, bounds)).otherwise(-1))
-    new = (F.lag("band").over(w) != F.col("band")) | (F.lag(end).over(w) != F.col(start)) | ~F.col(hom_ref)
-    return banded.withColumn("island", F.sum(F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).over(w))
+    near = running(banded, keys, [start, end], last={"_band": "band", "_end": end})
+    new = (F.col("_band") != F.col("band")) | (F.col("_end") != F.col(start)) | ~F.col(hom_ref)
+    marked = near.withColumn("_new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).drop("_band", "_end")
+    return running(marked, keys, [start, end], sums={"island": "_new"}).drop("_new")
 
 
 def gvcf_bands(variants: DataFrame, bounds: list[int]) -> DataFrame:
@@ -110,15 +112,15 @@ def candidate_loci(rows: DataFrame, polymorphic: str = "polymorphic", contig: st
     """Distinct loci (contig, start) where some sample's latest row at or before the locus still reaches it and is
     polymorphic, with the number of samples whose latest row reaches the locus.
 
-    Loci and rows are sorted together per (contig, sample): each locus takes the sample's latest start by a running
-    maximum, so there is no join of loci with all earlier rows."""
-    loci = rows.select(F.col(contig).alias("c"), F.col(start).alias("at")).distinct()
-    samples = rows.select(F.col(contig).alias("c"), F.col(sample).alias("s")).distinct()
-    probes = loci.join(samples, "c").select("c", "s", "at", F.lit(None).cast("struct<at:bigint,e:bigint,p:boolean>").alias("row"), F.lit(1).alias("probe"))
-    latest = rows.groupBy(F.col(contig).alias("c"), F.col(sample).alias("s"), F.col(start).alias("at")).agg(F.max(end).alias("e"), F.max(F.struct(F.col(polymorphic).cast("boolean").alias("p"), F.col(end).alias("pe"))).alias("m"), F.max(F.when(F.col(polymorphic), F.col(end))).alias("poly_end"))
-    events = latest.select("c", "s", "at", F.struct(F.col("at"), F.col("e"), F.coalesce(F.col("poly_end"), F.lit(-1).cast("long")).alias("pe")).alias("row"), F.lit(0).alias("probe"))
-    probes = probes.withColumn("row", F.lit(None).cast("struct<at:bigint,e:bigint,pe:bigint>"))
-    w = Window.partitionBy("c", "s").orderBy("at", "probe").rowsBetween(Window.unboundedPreceding, 0)
-    seen = events.unionByName(probes).withColumn("last", F.last("row", ignorenulls=True).over(w)).where("probe = 1 and last.e > at")
-    out = seen.groupBy("c", "at").agg(F.max(F.col("last.pe") > F.col("at")).alias("any_poly"), F.count("*").alias("samples"))
-    return out.where("any_poly").select(F.col("c").alias(contig), F.col("at").alias(start), "samples")
+    A sample's row counts from its start to its end or the sample's next row, whichever comes first. These spans are swept:
+    +1 where one opens, -1 where it closes, in running sums over bins of a contig. Loci meet no samples, so a dense contig
+    of many samples costs a few rows for each of theirs."""
+    latest = rows.groupBy(F.col(contig).alias("c"), F.col(sample).alias("s"), F.col(start).alias("at")).agg(F.max(end).alias("e"), F.max(F.when(F.col(polymorphic), F.col(end))).alias("pe"))
+    upto = F.coalesce(F.lead("at").over(Window.partitionBy("c", "s").orderBy("at")), F.lit((1 << 62)))
+    spans = latest.select("c", "at", F.least("e", upto).alias("stop"), F.least("e", "pe", upto).alias("poly_stop"), F.col("pe").isNotNull().alias("poly"))
+    here, poly = F.col("stop") > F.col("at"), F.col("poly") & (F.col("poly_stop") > F.col("at"))
+    one = lambda at, n, p, locus: F.struct(at.alias("at"), n.cast("long").alias("n"), p.cast("long").alias("p"), F.lit(locus).alias("locus"))
+    steps = F.array(one(F.col("at"), F.when(here, 1).otherwise(0), F.when(poly, 1).otherwise(0), 1), one(F.col("stop"), F.when(here, -1).otherwise(0), F.lit(0), 0), one(F.coalesce("poly_stop", "at"), F.lit(0), F.when(poly, -1).otherwise(0), 0))
+    events = spans.select("c", F.explode(steps).alias("x")).groupBy("c", F.col("x.at").alias("at")).agg(F.sum("x.n").alias("n"), F.sum("x.p").alias("p"), F.max("x.locus").alias("locus"))
+    swept = running(events, ["c"], ["at"], sums={"samples": "n", "polymorphic": "p"})
+    return swept.where("locus = 1 and polymorphic > 0").select(F.col("c").alias(contig), F.col("at").alias(start), "samples")
