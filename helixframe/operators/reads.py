@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -182,7 +183,7 @@ def recalibrate(reads: DataFrame, known_sites: DataFrame | None, least_quality:
     (read group, reported quality, cycle, dinucleotide); mismatches against the read's `referenceBases` give each cell an
     empirical quality, relative to the group's and quality's own. Reads need referenceBases, as long as sequence, with '-' where
     a base has none; referenceSites, if there, tells their places where clips and gaps move them."""
-    bases = reads.withColumn("_id", F.monotonically_increasing_id())
+    bases = reads.where(F.length("sequence") > 0)
     each = F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda k: F.struct(F.substr("sequence", k, F.lit(1)).alias("base"), F.substr("referenceBases", k, F.lit(1)).alias("ref"), (F.ascii(F.substr("qualityScores", k, F.lit(1))) - 33).alias("q"), F.substr("sequence", F.greatest(k - 1, F.lit(1)), F.lit(2)).alias("context"), (F.get("referenceSites", k - 1) if "referenceSites" in reads.columns else F.col("start") + k - 1).alias("site"))))
     cells = bases.select("readGroupId", "referenceName", each.alias("cycle", "b")).select("readGroupId", "referenceName", "cycle", "b.*").where((F.col("q") >= least_quality) & (F.col("ref") != "-"))
     if known_sites is not None:
@@ -197,18 +198,76 @@ def recalibrate(reads: DataFrame, known_sites: DataFrame | None, least_quality:
     return model.withColumn("newQuality", F.least(F.greatest(F.col("of_cycle") + F.col("of_context") - F.col("global"), F.lit(1)), F.lit(60)))
 
 
-def apply_recalibration(reads: DataFrame, model: DataFrame) -> DataFrame:
+def cell_codes(groups: list[int], bases: list[bytes], qualities: list[bytes]) -> np.ndarray:
+    """One number for every base of some reads: its cell (group, reported quality, cycle, dinucleotide)."""
+    n = np.array([len(b) for b in bases], np.int64)
+    ends = np.cumsum(n)
+    base, q = np.frombuffer(b"".join(bases), np.uint8).astype(np.int64), np.frombuffer(b"".join(qualities), np.uint8).astype(np.int64) - 33
+    cycle = np.arange(len(base)) - np.repeat(ends - n, n)
+    # the base before and the base itself; a read's first base counts with its second
+    at = np.arange(len(base)) - (cycle > 0)
+    second = np.minimum(at + 1, np.repeat(ends, n) - 1)
+    pair = base[at] * 256 + np.where(second > at, base[second], 0)
+    return ((np.repeat(np.array(groups, np.int64), n) * 128 + q) << 40) + (cycle << 16) + pair
+
+
+def apply_recalibration(reads: DataFrame, model: DataFrame, most: int = 4_000_000) -> DataFrame:
     """Reads with the model's quality for every base whose cell it has; other bases keep theirs. Old qualities go to
-    originalQualityScores. Bases are joined to the model (its size is that of the covariates), then put together by read."""
-    rows = reads.withColumn("_id", F.monotonically_increasing_id())
-    each = F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda k: F.struct((F.ascii(F.substr("qualityScores", k, F.lit(1))) - 33).alias("q"), F.substr("sequence", F.greatest(k - 1, F.lit(1)), F.lit(2)).alias("context"))))
-    bases = rows.where(F.length("sequence") > 0).select("_id", "readGroupId", each.alias("cycle", "b")).select("_id", "readGroupId", "cycle", "b.*")
-    told = bases.join(model.select("readGroupId", "q", "cycle", "context", "newQuality"), ["readGroupId", "q", "cycle", "context"], "left")
-    joined = told.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("cycle", F.coalesce("newQuality", "q").alias("q")))).alias("qs"))
-    text = joined.select("_id", F.array_join(F.transform("qs", lambda x: F.char(x["q"] + 33)), "").alias("_new"))
-    out = rows.join(text, "_id", "left")
-    out = out.withColumn("originalQualityScores", F.col("qualityScores")) if "originalQualityScores" in reads.columns else out
-    return out.withColumn("qualityScores", F.coalesce("_new", "qualityScores")).select(*reads.columns)
+    originalQualityScores. Qualities are looked up inside each row: nothing is exploded, shuffled or joined. The model is sent
+    to the tasks for some read groups at a time, of `most` cells together (a group alone has as many as its reads are
+    long, times qualities and dinucleotides); reads of groups without a model pass as they are. Reads whose qualities and bases
+    differ in length keep their qualities."""
+    spark, schema = reads.sparkSession, reads.schema
+    sizes = model.groupBy("readGroupId").agg(F.count("*").alias("n")).orderBy("readGroupId").collect()  # a row a read group
+    chunks: list[list[str | None]] = []
+    held = most + 1
+    for r in sizes:
+        if held + r.n > most:
+            chunks.append([])
+            held = 0
+        chunks[-1].append(r.readGroupId)
+        held += r.n
+    names = schema.names
+    at = {c: names.index(c) for c in ("readGroupId", "sequence", "qualityScores")}
+    old = names.index("originalQualityScores") if "originalQualityScores" in names else None
+    within = lambda df, ids: df.where(F.col("readGroupId").isin([i for i in ids if i is not None]) | (F.col("readGroupId").isNull() if None in ids else F.lit(False)))
+    out: DataFrame | None = None
+    for ids in chunks:
+        cells = within(model, ids).select("readGroupId", "q", "cycle", "context", "newQuality").collect()
+        number = {g: k for k, g in enumerate(ids)}
+        pair = lambda c: (ord(c[0]) * 256 + (ord(c[1]) if len(c) > 1 else 0)) if c else 0
+        codes = np.array([((number[r.readGroupId] * 128 + r.q) << 40) + (r.cycle << 16) + pair(r.context) for r in cells], np.int64)
+        order = np.argsort(codes)
+        sent = spark.sparkContext.broadcast((number, codes[order], np.array([r.newQuality for r in cells], np.int64)[order]))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            known, codes, new = sent.value
+            for b in batches:
+                cols = list(b.columns)
+                groups, bases, quals = (b.column(at[c]).to_pylist() for c in ("readGroupId", "sequence", "qualityScores"))
+                ok = [k for k, (s, q) in enumerate(zip(bases, quals, strict=True)) if s and q and len(s) == len(q) and s.isascii() and q.isascii()]
+                text = list(quals)
+                if ok:
+                    told = [quals[k].encode() for k in ok]
+                    mine = cell_codes([known[groups[k]] for k in ok], [bases[k].encode() for k in ok], told)
+                    place = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
+                    was = np.frombuffer(b"".join(told), np.uint8)
+                    whole = np.where(codes[place] == mine, new[place] + 33, was).astype(np.uint8).tobytes().decode()
+                    start = 0
+                    for k in ok:
+                        text[k] = whole[start : start + len(quals[k])]
+                        start += len(quals[k])
+                if old is not None:
+                    cols[old] = pa.array(quals, pa.string())
+                cols[at["qualityScores"]] = pa.array(text, pa.string())
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+        part = within(reads, ids).mapInArrow(run, schema)
+        out = part if out is None else out.unionByName(part)
+    every = [i for ids in chunks for i in ids]
+    rest = reads.where(~F.coalesce(F.col("readGroupId").isin([i for i in every if i is not None]), F.lit(None in every)))
+    rest = rest.withColumn("originalQualityScores", F.col("qualityScores")) if old is not None else rest
+    return rest if out is None else out.unionByName(rest)
 
 
 def of_samples(groups: DataFrame, samples: list[str]) -> DataFrame:

@@ -145,28 +145,114 @@ def read_groups(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(of("ID").alias("readGroupId"), of("SM").alias("sample"), of("LB").alias("library"))
 
 
-def read_fastq(spark: SparkSession, path: str | list[str], second: str | list[str] | None = None, stringency: str = "STRICT") -> DataFrame:
-    """Raw reads of FASTQ files (plain or gzip), a file a task. Names end at the first space or /1, /2, which number the
-    read; files given as `second` hold second reads. Malformed records are errors, or are dropped unless STRICT."""
+def fastq_record(lines: list[str], stringency: str) -> tuple[str, int, bytes, str] | None:
+    """The read of four lines; malformed ones are an error, or None unless STRICT."""
+    name, bases, plus, quality = (x.rstrip("\r") for x in lines)
+    if not name.startswith("@") or not plus.startswith("+") or len(bases) != len(quality):
+        if stringency.upper() == "STRICT":
+            raise ValueError(f"malformed FASTQ record {name!r}")
+        return None
+    m = re.match(r"@(\S*?)(?:/([12]))?(?:\s.*)?$", name)
+    return m[1], int(m[2] or 1) - 1, bases.encode(), quality
+
+
+def first_record(lines: list[str]) -> int:
+    """How many of the first lines of a part of a file belong to a record of the part before: the first place from which
+    the lines seen are records (a quality line may begin with @, but two lines on it has no + then)."""
+    told = lambda k: sum(lines[j].startswith("@") and lines[j + 2].startswith("+") and len(lines[j + 1].rstrip("\r")) == len(lines[j + 3].rstrip("\r")) for j in range(k, len(lines) - 3, 4))
+    whole = [told(k) - max(0, (len(lines) - k) // 4) for k in range(min(4, len(lines)))]
+    return max(range(len(whole)), key=lambda k: (whole[k], -k)) if whole else 0
+
+
+def fastq_parts(lines: DataFrame, stringency: str) -> DataFrame:
+    """Reads of FASTQ lines (value, file, block: the offset of the part of the file that a task reads), and, with a null
+    name, what a part has of records that cross its ends."""
+    names = [*RAW_READ.names, "file", "block", "edge", "lines"]
+    types = (pa.string(), pa.int32(), pa.binary(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(types), types, strict=True)], names=names)
+
+        now, held, aligned = None, [], False
+        rows: list[tuple] = []
+
+        def align() -> None:
+            """Take what belongs to an earlier part off the first lines of this one."""
+            nonlocal held, aligned
+            head = first_record(held) if now[1] else 0
+            if now[1]:
+                rows.append((None, None, None, None, *now, "head", held[:head]))
+            held, aligned = held[head:], True
+
+        def drain(end: bool) -> None:
+            nonlocal held
+            if not aligned and end and now[1] and len(held) < 7:  # no record need be whole in so few lines
+                rows.append((None, None, None, None, *now, "middle", held))
+                held = []
+                return
+            if not aligned and (end or len(held) >= 256):
+                align()
+            if aligned:
+                upto = len(held) // 4 * 4
+                for k in range(0, upto, 4):
+                    if r := fastq_record(held[k : k + 4], stringency):
+                        rows.append((*r, *now, None, None))
+                held = held[upto:]
+            if end:
+                rows.append((None, None, None, None, *now, "tail", held))
+                held = []
+
+        for b in batches:
+            for value, file, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if now != (file, block):
+                    if now:
+                        drain(True)
+                    now, aligned = (file, block), False
+                held.append(value)
+                if len(held) >= 4096:
+                    drain(False)
+                if len(rows) >= 4096:
+                    yield out(rows)
+                    rows.clear()
+        if now:
+            drain(True)
+        yield out(rows)
+
+    schema = "readName string, readInFragment int, sequence binary, qualityScores string, file string, block long, edge string, lines array<string>"
+    return lines.mapInArrow(run, schema)
+
+
+def read_fastq(spark: SparkSession, path: str | list[str], second: str | list[str] | None = None, stringency: str = "STRICT") -> DataFrame:
+    """Raw reads of FASTQ files, plain ones in parts of Spark's split size, gzip ones a file a task, all as streams. Names
+    end at the first space or /1, /2, which number the read; files given as `second` hold second reads. Records that cross
+    the ends of parts are put together from a few lines a part. Malformed and cut-off records are errors, or are dropped
+    unless STRICT."""
+
+    def stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data in b.column(0):
-                raw = data.as_py()
-                lines = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("ascii", "replace").split("\n")
-                rows = []
-                for k in range(0, len(lines) - 3, 4):
-                    name, bases, plus, quality = (x.rstrip("\r") for x in lines[k : k + 4])
-                    if not name.startswith("@") or not plus.startswith("+") or len(bases) != len(quality):
-                        if stringency.upper() == "STRICT":
-                            raise ValueError(f"malformed FASTQ record {name!r}")
-                        continue
-                    m = re.match(r"@(\S*?)(?:/([12]))?(?:\s.*)?$", name)
-                    rows.append((m[1], int(m[2] or 1) - 1, bases.encode(), quality))
-                columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.string()), strict=True)], names=RAW_READ.names)
-
-    load = lambda p: spark.read.format("binaryFile").load(p).select("content").mapInArrow(run, RAW_READ)
+            rows = []
+            for edges in b.column(0).to_pylist():
+                lines: list[str] = []
+                for e in edges:  # by part, head before tail
+                    lines += e["lines"]
+                    # a head ends the record that the tail and middles before it began
+                    if e["edge"] == "head" or e is edges[-1]:
+                        whole = [x for x in lines if x] if len(lines) % 4 and not any(lines[len(lines) // 4 * 4 :]) else lines
+                        if len(whole) % 4 and stringency.upper() == "STRICT":
+                            raise ValueError(f"malformed FASTQ record {whole[len(whole) // 4 * 4]!r}: cut off")
+                        rows += [r for k in range(0, len(whole) // 4 * 4, 4) if (r := fastq_record(whole[k : k + 4], stringency))]
+                        lines = []
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.string()), strict=True)], names=RAW_READ.names)
+
+    def load(p: str | list[str]) -> DataFrame:
+        text = spark.read.text(p).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        parts = fastq_parts(text, stringency)
+        edge = F.struct("block", (F.col("edge") != "head").alias("after"), "edge", "lines")
+        edges = parts.where("edge is not null").groupBy("file").agg(F.sort_array(F.collect_list(edge)).alias("edges"))  # a few lines a part
+        return parts.where("edge is null").select(*RAW_READ.names).unionByName(edges.select("edges").mapInArrow(stitched, RAW_READ))
+
     first = load(path)
     if second is None:
         return first

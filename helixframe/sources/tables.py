@@ -40,24 +40,49 @@ def save(df: DataFrame, path: str, mode: str = "append", codec: str = "snappy")
 
 def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence, codec: str = "snappy") -> None:
     """Write `df` partitioned by `column` in place of the partitions of `values`; others stay. Rows of other partitions are
-    an error, and a listed partition without rows is emptied. Rows are written aside and each partition is moved into
-    place, so writers of different partitions do not disturb each other and a failed write changes nothing."""
+    an error, and a listed partition without rows is emptied. Rows are written beside the table; then each partition's old
+    folder is moved aside and the new one into place, and old ones are deleted last. Writers of different partitions do not
+    disturb each other, a failed write changes nothing, and a failed move puts the old folders back."""
     if not values or any(v is None for v in values):
         raise ValueError("partition values must be given and not null")
     spark = df.sparkSession
     wanted = [str(v) for v in values]
     named = F.col(column).cast("string")
     wrong = F.raise_error(F.concat(F.lit("row outside the replaced partitions: "), F.coalesce(named, F.lit("null")))).cast(df.schema[column].dataType)
-    staging = f"{path}/_staging-{uuid.uuid4().hex}"
-    df.withColumn(column, F.when(named.isin(wanted), F.col(column)).otherwise(wrong)).write.option("compression", codec).partitionBy(column).parquet(staging)
+    run = uuid.uuid4().hex
+    staging, aside = f"{path.rstrip('/')}.staging-{run}", f"{path.rstrip('/')}.replaced-{run}"
+    try:
+        df.withColumn(column, F.when(named.isin(wanted), F.col(column)).otherwise(wrong)).write.option("compression", codec).partitionBy(column).parquet(staging)
+    except BaseException:
+        delete(spark, staging)
+        raise
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for v in wanted:
-        folder = f"{escape(column)}={escape(v)}"
-        delete(spark, f"{path}/{folder}")
-        source, fs = _path(spark, f"{staging}/{folder}")
-        if fs.exists(source):
-            fs.rename(source, _path(spark, f"{path}/{folder}")[0])
+    table, fs = _path(spark, path)
+    fs.mkdirs(table)
+    fs.mkdirs(_path(spark, aside)[0])
+
+    def move(source: str, target: str) -> None:
+        if not fs.rename(_path(spark, source)[0], _path(spark, target)[0]):
+            raise OSError(f"cannot move {source} to {target}")
+
+    replaced: list[str] = []
+    try:
+        for v in wanted:
+            folder = f"{escape(column)}={escape(v)}"
+            if exists(spark, f"{path}/{folder}"):
+                move(f"{path}/{folder}", f"{aside}/{folder}")
+                replaced.append(folder)
+            if exists(spark, f"{staging}/{folder}"):
+                move(f"{staging}/{folder}", f"{path}/{folder}")
+    except BaseException:
+        for folder in replaced:  # what cannot be put back stays aside
+            delete(spark, f"{path}/{folder}")
+            move(f"{aside}/{folder}", f"{path}/{folder}")
+        delete(spark, staging)
+        delete(spark, aside)
+        raise
     delete(spark, staging)
+    delete(spark, aside)
     marker, fs = _path(spark, f"{path}/_SUCCESS")
     fs.create(marker, True).close()
 
