@@ -15,6 +15,15 @@ from helixframe.operators.intervals import trim_bins, with_bins
 MAX_REGION, REGION_PADDING = 300, 100
 
 
+def column_names(schema: str) -> list[str]:
+    """The columns of a schema in text, whatever types they nest."""
+    flat, depth = "", 0
+    for x in schema:
+        depth += (x == "<") - (x == ">")
+        flat += "" if depth or x == ">" else x
+    return [x.strip().split(" ")[0] for x in flat.split(",")]
+
+
 def shards(reads: DataFrame, lengths: DataFrame, size: int = 5000, padding: int = MAX_REGION + REGION_PADDING, contig: str = "referenceName") -> DataFrame:
     """Reads dealt to bins of `size`: padded by `padding` on both sides, so a bin holds every read that a region near its
     border needs. Bins beyond the contig's end go; binEnd is cut to it."""
@@ -35,7 +44,7 @@ def call_shards(sharded: DataFrame, caller: Callable[[str, int, int, pd.DataFram
     """Run `caller(contig, binStart, binEnd, reads)` on every shard; of its calls (with `start`, zero-based) those that
     begin in the shard stay, so padded copies are called once. A task holds one shard at a time."""
     rows = sorted_shards(sharded, contig=contig)
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    names = column_names(schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
