@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.intervals import callable_point
 from helixframe.operators.intervals import trim_bins, with_bins
+from helixframe.operators.reads import downsample
 
 #: The largest assembly region and the padding around it.
 MAX_REGION, REGION_PADDING = 300, 100
@@ -34,16 +35,23 @@ def shards(reads: DataFrame, lengths: DataFrame, size: int = 5000, padding: int
     return kept.withColumn("binEnd", F.least(F.col("binStart") + size, F.col("_len"))).drop("_c", "_len")
 
 
+def preprocessed(reads: DataFrame, before: Sequence[Callable[[DataFrame], DataFrame]] = (), keep: Callable[[DataFrame], DataFrame] | None = None, after: Sequence[Callable[[DataFrame], DataFrame]] = (), most: int = 0) -> DataFrame:
+    """What a caller's reads go through, in this order: transforms, a filter, transforms, downsampling per start."""
+    for f in (*before, *([keep] if keep else []), *after):
+        reads = f(reads)
+    return downsample(reads, most)
+
+
 def sorted_shards(sharded: DataFrame, partitions: int | None = None, contig: str = "referenceName") -> DataFrame:
     """Shards together in partitions, their reads in order, without a global sort."""
     dealt = sharded.repartition(partitions, contig, "binId") if partitions else sharded.repartition(contig, "binId")
     return dealt.sortWithinPartitions(contig, "binId", "start", "readName", "readInFragment")
 
 
-def call_shards(sharded: DataFrame, caller: Callable[[str, int, int, pd.DataFrame], pd.DataFrame], schema: str, contig: str = "referenceName") -> DataFrame:
+def call_shards(sharded: DataFrame, caller: Callable[[str, int, int, pd.DataFrame], pd.DataFrame], schema: str, contig: str = "referenceName", partitions: int | None = None) -> DataFrame:
     """Run `caller(contig, binStart, binEnd, reads)` on every shard; of its calls (with `start`, zero-based) those that
     begin in the shard stay, so padded copies are called once. A task holds one shard at a time."""
-    rows = sorted_shards(sharded, contig=contig)
+    rows = sorted_shards(sharded, partitions, contig)
     names = column_names(schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

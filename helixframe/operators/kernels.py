@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import subprocess
 import threading
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -20,7 +20,7 @@ def base_batches(rows: Iterator[tuple], length: int, most: int) -> Iterator[list
     batch, bases = [], 0
     for r in rows:
         batch.append(r)
-        bases += len(r[length])
+        bases += len(r[length] or "")
         if bases >= most:
             yield batch
             batch, bases = [], 0
@@ -28,6 +28,24 @@ def base_batches(rows: Iterator[tuple], length: int, most: int) -> Iterator[list
         yield batch
 
 
+def batched(raw: DataFrame, kernel: Callable[[list[dict]], list[dict]], schema: str, most: int, bases: str = "sequence") -> DataFrame:
+    """Rows that `kernel` makes of batches of reads, each ended once it has `most` bases. The kernel gets and gives rows as
+    dictionaries; a batch is all that a task holds."""
+    target = raw.sparkSession.createDataFrame([], schema).schema
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow, names = to_arrow_schema(target), raw.columns
+    at = names.index(bases)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (tuple(r) for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for batch in base_batches(rows, at, most):
+            out = kernel([dict(zip(names, r, strict=True)) for r in batch])
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return raw.mapInArrow(run, target)
+
+
 def piped(raw: DataFrame, command: list[str]) -> DataFrame:
     """SAM lines from an aligner that reads interleaved FASTQ on its input: one process a partition, fed by a thread, so
     neither side is held as a whole. A process that fails fails the task."""

@@ -132,6 +132,20 @@ def alignment_partitions(configured: int | None, scanned: int, least: int) -> in
     return configured if configured else max(3 * scanned, least)
 
 
+def for_alignment(reads: DataFrame, configured: int = 0, least: int = 0) -> DataFrame:
+    """Reads by name on as many partitions as alignment wants; without a number or a least one the session decides."""
+    if not configured and not least:
+        return by_name(reads)
+    return by_name(reads, alignment_partitions(configured, reads.rdd.getNumPartitions(), least))
+
+
+def by_partition(df: DataFrame, number: str, partitions: int) -> DataFrame:
+    """Every row in the partition that its column `number` names, from 0; a null or a number out of range is an error."""
+    n = F.col(number)
+    wrong = F.raise_error(F.concat(F.lit(f"no partition of {partitions}: "), F.coalesce(n.cast("string"), F.lit("null")))).cast("int")
+    return df.repartitionById(partitions, F.when((n >= 0) & (n < partitions), n.cast("int")).otherwise(wrong))
+
+
 def spread(df: DataFrame, least: int) -> DataFrame:
     """Repartition only where the scan has fewer splits than `least`."""
     return df.repartition(least) if df.rdd.getNumPartitions() < least else df

@@ -376,3 +376,6 @@ def covariates(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("l_quantity").cast("int")
     t = table(spark, d, "lineitem").where(q >= 6).select(F.col("l_returnflag").alias("read_group"), q.alias("quality"), (F.col("l_partkey") % 10 == 0).cast("long").alias("wrong"))
     return t.groupBy("read_group", "quality").agg(F.count("*").alias("bases"), F.sum("wrong").alias("errors"))
+
+
+from helixframe.plans import roundtrips  # noqa: E402, F401  registers its queries here

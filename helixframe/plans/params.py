@@ -63,20 +63,22 @@ def reference_genome(path: str | None = None, genome: str | None = None, folder:
 
 @dataclass(frozen=True)
 class Settings:
-    """Tunables of the engine; each can be overridden in the session as helix.<name>."""
+    """Tunables of the engine; each can be overridden in the session as helix.<name>. Numbers of partitions of 0 are left to
+    the session (spark.sql.shuffle.partitions and adaptive execution)."""
 
     assemblyBinSize: int = 5000
-    assemblyPartitions: int = 1024
-    markDuplicatesPartitions: int = 1024
+    assemblyPartitions: int = 0
+    markDuplicatesPartitions: int = 0
     jointBinSize: int = 5000
     jointPushdownLimit: int = 25
-    jointBinPartitions: int = 6000
-    jointShufflePartitions: int = 3000
+    jointBinPartitions: int = 0
+    jointShufflePartitions: int = 0
     jointRangeJoinBinSize: int = 1000
     jointMaxAltAlleles: int = 49
     concurrentSamples: int = 1
     ingestPartitions: int = 3000
-    alignmentPartitions: int = 1024
+    alignmentPartitions: int = 0
+    alignmentMinPartitions: int = 0
     alignerBatchBases: int = 1_000_000
     targetedRegionBinSize: int = 1000
 

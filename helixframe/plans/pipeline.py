@@ -16,7 +16,7 @@ from typing import Any
 from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
-from helixframe.plans.params import REPLAY, Param, seconds
+from helixframe.plans.params import REPLAY, Param, Settings, seconds
 
 log = logging.getLogger("helixframe")
 REPLAY_MODE = Param("replayMode", "skip a stage whose output exists, or overwrite it", str, "skip")
@@ -163,7 +163,9 @@ class MultiSample:
         if problem:
             raise problem[0]
 
-    def execute(self, spark: SparkSession, concurrent: int = 1) -> None:
+    def execute(self, spark: SparkSession, concurrent: int | None = None) -> None:
+        """`concurrent` samples at a time, as the session's settings say by default."""
+        concurrent = concurrent or Settings.of(spark).concurrentSamples
         todo = self.samples(spark, self.own["manifest"])
         self.failed = {}
         lock = threading.Lock()

@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import DEFAULT_QUALITY_BINS, bin_qualities
-from helixframe.operators import assembly, expression, genotyping
+from helixframe.operators import assembly, callers, expression, genotyping, kernels
 from helixframe.operators import intervals as oi
 from helixframe.operators import reads as ro
 from helixframe.operators import variants as vo
 from helixframe.plans.params import Param, Settings
-from helixframe.plans.pipeline import MultiSample, Pipeline, Stage, stages_of
+from helixframe.plans.pipeline import MultiSample, Pipeline, Stage, extend, save_chain, stages_of
 from helixframe.sources import alignments, features, manifest, tables, vcf
 
+VERSION = "1"
 Aligner = Callable[[DataFrame], DataFrame]
 TEXT = dict(optional=True)
 MODES = ("append", "overwrite", "errorifexists", "ignore")
@@ -62,11 +63,13 @@ class Align(Stage):
         def one(group: str, first: str, second: str | None) -> DataFrame:
             raw = alignments.load_reads(spark, first, second)
             ordered = ro.pair_reads(raw) if self.get("pairedEndMode") and second else raw
-            return self.aligner(ro.by_name(ordered)).withColumn("readGroupId", F.lit(group)).withColumn("readGroupSampleId", F.lit(self.sample))
+            return self.aligner(ro.for_alignment(ordered, s.alignmentPartitions, s.alignmentMinPartitions)).withColumn("readGroupId", F.lit(group)).withColumn("readGroupSampleId", F.lit(self.sample))
 
+        s = Settings.of(spark)
         reads = reduce(DataFrame.unionByName, (one(*g) for g in self.groups))
         every = self.get("functionalEquivalence")
         if every or self.get("markDuplicates"):
+            reads = reads.repartition(s.markDuplicatesPartitions, "readName") if s.markDuplicatesPartitions else reads
             reads = ro.to_reads(ro.mark_duplicates(ro.to_fragments(reads)))
         if every or self.get("recalibrateBaseQualities"):
             # stored first: the model and the new qualities are two passes that must see the same rows
@@ -80,11 +83,28 @@ class Align(Stage):
             reads = reads.withColumn("qualityScores", bin_qualities("qualityScores", self.get("qualityScoreBinSpec")))
         return reads
 
+    def steps(self) -> list[tuple[str, str]]:
+        """What is done to the reads, in order, with the parameters that matter for it."""
+        every = self.get("functionalEquivalence")
+        done = [("align", " ".join(f"{g}={first}{',' + second if second else ''}" for g, first, second in self.groups))]
+        done += [("markDuplicates", "")] * bool(every or self.get("markDuplicates"))
+        done += [("recalibrateBaseQualities", self.get("knownSites"))] * bool(every or self.get("recalibrateBaseQualities"))
+        done += [("binQualityScores", self.get("qualityScoreBinSpec"))] * bool(every or self.get("binQualityScores"))
+        return done
+
+    @property
+    def provenance(self) -> str:
+        return f"{self.get(self.outputs[0])}/_sample-{self.sample}"
+
     def execute(self, spark: SparkSession) -> None:
         try:
             alignments.save_reads(self.aligned(spark), self.path)
         finally:
             tables.delete(spark, self.aside)
+        chain: list = []
+        for program, command in self.steps():
+            chain = extend(chain, program, VERSION, command)
+        save_chain(spark, chain, self.provenance)
         if self.get("exportBam"):
             rows = spark.read.parquet(self.path)
             head = alignments.sam_header(self.contigs, [{"ID": g[0], "SM": self.sample} for g in self.groups], "coordinate" if self.get("sortOnSave") else "unsorted")
@@ -114,25 +134,31 @@ def target_reads(spark: SparkSession, reads: DataFrame, targets: str | None, exc
 
 
 class CallVariants(Stage):
-    """Germline calls of one sample. Only the sample's partition of the table is replaced."""
+    """Germline calls of one sample, by the built-in caller if none is given. Only the sample's partition of the table is
+    replaced."""
 
     name = "CallVariants"
     params = CALL_PARAMS
     outputs = ("callVariantOutput",)
 
-    def __init__(self, sample: str, lengths: DataFrame | Callable[[SparkSession], DataFrame], caller: Callable, schema: str, **values: object) -> None:
+    def __init__(self, sample: str, lengths: DataFrame | Callable[[SparkSession], DataFrame], caller: Callable | None = None, schema: str | None = None, **values: object) -> None:
         super().__init__(**values)
         self.sample, self.lengths, self.caller, self.schema = sample, lengths, caller, schema
 
+    def kernel(self) -> tuple[Callable, str]:
+        if self.caller:
+            return self.caller, self.schema
+        return callers.germline_caller(self.sample, reference_confidence=bool(self.get("bands"))), callers.CALLS
+
     def output_exists(self, spark: SparkSession) -> bool:
         return tables.table_exists(spark, self.get("callVariantOutput"), "sampleId", [self.sample])
 
     def calls(self, spark: SparkSession, reads: DataFrame) -> DataFrame:
         s = Settings.of(spark)
-        reads = ro.quality_filter(target_reads(spark, reads, self.get("targetedRegions"), self.get("excludedRegions"), s.targetedRegionBinSize), self.get("minMappingQuality"))
-        reads = ro.downsample(reads, self.get("maxReadStartsPerPosition"))
+        reads = target_reads(spark, reads, self.get("targetedRegions"), self.get("excludedRegions"), s.targetedRegionBinSize)
+        reads = assembly.preprocessed(reads, keep=lambda r: ro.quality_filter(r, self.get("minMappingQuality")), most=self.get("maxReadStartsPerPosition"))
         lengths = self.lengths(spark) if callable(self.lengths) else self.lengths
-        return assembly.call_shards(assembly.shards(reads, lengths, s.assemblyBinSize), self.caller, self.schema)
+        return assembly.call_shards(assembly.shards(reads, lengths, s.assemblyBinSize), *self.kernel(), partitions=s.assemblyPartitions or None)
 
     def save(self, spark: SparkSession, calls: DataFrame, value: str) -> None:
         if bounds := [int(b) for b in self.get("bands").split(",") if b.strip()]:
@@ -152,10 +178,13 @@ class CallMutations(CallVariants):
     name = "CallMutations"
     params = (*(p for p in CALL_PARAMS if p.name != "alignmentOutput"), Param("alignmentOutputTumor", "reads of the tumour"), Param("alignmentOutputNormal", "reads of the normal", **TEXT), Param("panelOfNormals", "VCF or table of sites", **TEXT))
 
-    def __init__(self, pair: str, tumor: str, normal: str | None, lengths: DataFrame | Callable[[SparkSession], DataFrame], caller: Callable, schema: str, **values: object) -> None:
+    def __init__(self, pair: str, tumor: str, normal: str | None, lengths: DataFrame | Callable[[SparkSession], DataFrame], caller: Callable | None = None, schema: str | None = None, **values: object) -> None:
         super().__init__(pair, lengths, caller, schema, **values)
         self.tumor, self.normal = tumor, normal
 
+    def kernel(self) -> tuple[Callable, str]:
+        return (self.caller, self.schema) if self.caller else (callers.somatic_caller(self.tumor, self.normal), callers.SOMATIC)
+
     def execute(self, spark: SparkSession) -> None:
         reads = spark.read.parquet(f"{self.get('alignmentOutputTumor')}/sampleId={self.tumor}")
         if self.normal:
@@ -248,8 +277,16 @@ class JointlyCallVariants(Stage):
     def execute(self, spark: SparkSession) -> None:
         rows, samples = self.rows(spark)
         s = Settings.of(spark)
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        called = genotyping.genotype(rows, samples, s.jointBinSize, min(s.jointBinPartitions, parts), s.jointMaxAltAlleles)
+        key = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        if s.jointShufflePartitions:
+            spark.conf.set(key, str(s.jointShufflePartitions))
+        try:
+            self.finish(spark, genotyping.genotype(rows, samples, s.jointBinSize, s.jointBinPartitions or None, s.jointMaxAltAlleles), samples)
+        finally:
+            spark.conf.set(key, before)
+
+    def finish(self, spark: SparkSession, called: DataFrame, samples: list[str]) -> None:
         if path := self.get("callVariantOutput"):
             tables.save(called, path, "overwrite")
             called = spark.read.parquet(path)
@@ -258,6 +295,12 @@ class JointlyCallVariants(Stage):
             write(called, self.get("callVariantOutputVCF"), samples, codec=self.get("vcfCompressionCodec"))
 
 
+def batch_aligner(spark: SparkSession, kernel: Callable[[list[dict]], list[dict]], schema: str) -> Aligner:
+    """An aligner that calls `kernel` on batches of the session's alignerBatchBases bases."""
+    most = Settings.of(spark).alignerBatchBases
+    return lambda raw: kernels.batched(raw, kernel, schema, most)
+
+
 def joint_pipeline() -> Pipeline:
     return Pipeline("JointGenotyping", [IngestVariants(), JointlyCallVariants()])
 
@@ -267,7 +310,7 @@ def _samples(spark: SparkSession, sheet: str) -> list[tuple[str, object]]:
     return [(r.sample_id, [(g.read_group_id, g.input, g.secondInput) for g in r.read_groups]) for r in rows]
 
 
-def germline_pipeline(aligner: Aligner, lengths: Callable[[SparkSession], DataFrame], caller: Callable, schema: str, align: bool = True, call: bool = True) -> MultiSample:
+def germline_pipeline(aligner: Aligner, lengths: Callable[[SparkSession], DataFrame], caller: Callable | None = None, schema: str | None = None, align: bool = True, call: bool = True) -> MultiSample:
     def delegate(info: tuple[str, list]) -> Pipeline:
         sample, groups = info
         return Pipeline("DNASeq", stages_of(align, call, lambda: Align(sample, groups, aligner), lambda: CallVariants(sample, lengths, caller, schema)))
@@ -292,7 +335,7 @@ def split_pair(samples: list[tuple[str, str, list]]) -> tuple[tuple[str, list],
     return tumors[0], normals[0] if normals else None
 
 
-def somatic_pipeline(aligner: Aligner, lengths: Callable[[SparkSession], DataFrame], caller: Callable, schema: str) -> MultiSample:
+def somatic_pipeline(aligner: Aligner, lengths: Callable[[SparkSession], DataFrame], caller: Callable | None = None, schema: str | None = None) -> MultiSample:
     def listed(spark: SparkSession, sheet: str) -> list[tuple[str, object]]:
         rows = manifest.load_pairs(spark, sheet).orderBy("pair_id").collect()
         return [(r.pair_id, (r.pair_id, [(s.label, s.sample_id, [(g.read_group_id, g.input, g.secondInput) for g in s.read_groups]) for s in r.samples])) for r in rows]

@@ -13,7 +13,6 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Fixed value: the empty block that ends a blocked gzip file.
 BGZF_END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
@@ -112,7 +111,3 @@ def join_parts(text: DataFrame, path: str, head: str, codec: str = "") -> None:
                 while piece := part.read(1 << 22):
                     out.write(piece)
     fs.delete_dir(root)
-
-
-def line_values(df: DataFrame) -> DataFrame:
-    return df.select(F.col("value").cast("string").alias("value"))

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.model import READ
+from helixframe.operators import assembly, kernels
 from helixframe.operators import reads as ro
 from helixframe.operators import variants as vo
-from helixframe.plans import stages
+from helixframe.plans import pipeline, stages
 from helixframe.sources import alignments, vcf
 
 FLAGS = {"readPaired", "properPair", "mateMapped", "failedVendorQualityChecks", "duplicateRead", "readNegativeStrand", "mateNegativeStrand", "secondaryAlignment", "supplementaryAlignment"}
@@ -77,3 +78,73 @@ def test_bam_input(spark, tmp_path):
         alignments.write_bam(reads.repartition(2), path, ["@HD\tVN:1.6"], [("c", 100), ("d", 100)], single=single)
         back = alignments.load_reads(spark, path if single else f"{path}/*.bam")
         assert sorted(map(repr, back.collect())) == sorted(map(repr, reads.collect()))
+
+
+def test_align_stores_its_provenance(spark, tmp_path):
+    (tmp_path / "a.fq").write_text("".join(f"@r{k}\nACGT\n+\nIIII\n" for k in range(30)))
+    stage = stages.Align("s", [("g", str(tmp_path / "a.fq"), None)], placed("3A0"), alignmentOutput=str(tmp_path / "out"), functionalEquivalence=True)
+    stage.execute(spark)
+    chain = pipeline.load_chain(spark, stage.provenance)
+    assert [s.program for s in chain] == ["align", "markDuplicates", "recalibrateBaseQualities", "binQualityScores"]
+    assert [s.previous_id for s in chain] == [None, *(s.id for s in chain[:-1])] and "a.fq" in chain[0].command
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 30
+
+
+def test_settings_reach_the_stages(spark, tmp_path):
+    (tmp_path / "a.fq").write_text("".join(f"@r{k}\nACGT\n+\nIIII\n" for k in range(30)))
+    seen = []
+
+    def watching(raw):  # noqa: ANN001, ANN202
+        seen.append(raw.rdd.getNumPartitions())
+        return placed("3A0")(raw)
+
+    stage = stages.Align("s", [("g", str(tmp_path / "a.fq"), None)], watching, alignmentOutput=str(tmp_path / "out"), pairedEndMode=False)
+    for key, value, want in (("alignmentPartitions", "7", 7), ("alignmentMinPartitions", "11", 11)):
+        spark.conf.set(f"helix.{key}", value)
+        try:
+            assert stage.aligned(spark).count() == 30
+        finally:
+            spark.conf.unset(f"helix.{key}")
+        assert seen[-1] == want
+    spark.conf.set("helix.concurrentSamples", "3")
+    try:
+        import threading
+
+        gate = threading.Barrier(3, timeout=60)
+
+        class Meet(pipeline.Stage):
+            def execute(self, spark) -> None:  # noqa: ANN001
+                gate.wait()
+
+        m = pipeline.MultiSample("m", lambda s, text: [(x, x) for x in text.split()], lambda x: pipeline.Pipeline(x, [Meet()]))
+        m.init({"manifest": "a b c"}).execute(spark)  # passes only if three run at a time
+    finally:
+        spark.conf.unset("helix.concurrentSamples")
+
+
+def test_kernels_get_batches_of_bases(spark):
+    raw = spark.createDataFrame([(f"r{k}", "A" * (k % 5)) for k in range(40)] + [("none", None)], "readName string, sequence string").coalesce(1)
+    out = kernels.batched(raw, lambda rows: [{"n": len(rows), "bases": sum(len(r["sequence"] or "") for r in rows)}], "n long, bases long", 20).collect()
+    assert sum(r.n for r in out) == 41 and sum(r.bases for r in out) == 80 and all(20 <= r.bases < 25 for r in out[:-1])
+    spark.conf.set("helix.alignerBatchBases", "20")
+    try:
+        aligner = stages.batch_aligner(spark, lambda rows: [{"n": len(rows)}], "n long")
+        assert aligner(raw).count() == len(out)
+    finally:
+        spark.conf.unset("helix.alignerBatchBases")
+
+
+def test_rows_go_to_the_partition_they_name(spark):
+    df = spark.createDataFrame([(k % 4, k) for k in range(40)], "part int, k long")
+    got = ro.by_partition(df, "part", 4).withColumn("at", F.spark_partition_id())
+    assert got.where("at <> part").count() == 0 and got.count() == 40
+    for wrong in (4, -1, None):
+        with pytest.raises(Exception, match="no partition of 4"):
+            ro.by_partition(spark.createDataFrame([(wrong, 1)], "part int, k long"), "part", 4).collect()
+
+
+def test_preprocessing_in_order(spark):
+    df = spark.createDataFrame([("c", 1, f"r{k}", 0, k) for k in range(10)], "referenceName string, start long, readName string, readInFragment int, q int")
+    double = lambda r: r.withColumn("q", F.col("q") * 2)
+    got = assembly.preprocessed(df, [double], lambda r: r.where("q >= 4"), [double], 3).collect()
+    assert sorted(r.q for r in got) == [8, 12, 16]

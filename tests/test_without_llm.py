@@ -10,10 +10,15 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parent.parent
 
 
-def test_entry_without_the_subpackage(tmp_path):
-    for name in ("helixframe", "__spark_entry__.py"):
+def copied(target: Path) -> None:
+    """What is left when both folders and the pipeline are deleted."""
+    for name in ("helixframe", "tests", "__spark_entry__.py", "pytest.ini"):
         source = ROOT / name
-        shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__")) if source.is_dir() else shutil.copy(source, tmp_path / name)
+        shutil.copytree(source, target / name, ignore=shutil.ignore_patterns("llm", "__pycache__")) if source.is_dir() else shutil.copy(source, target / name)
+
+
+def test_entry_without_the_subpackage(tmp_path):
+    copied(tmp_path)
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(k.startswith('op') or k == 'pipeline' for k in e.queries()))"], cwd=tmp_path, capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
     n, m, found = out.stdout.split()
@@ -24,3 +29,11 @@ def test_nothing_else_imports_it():
     for p in (ROOT / "helixframe").rglob("*.py"):
         if "llm" not in p.parts:
             assert "helixframe.llm" not in p.read_text(), p
+
+
+def test_the_other_tests_pass_without_it(tmp_path):
+    copied(tmp_path)
+    out = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only"], cwd=tmp_path, capture_output=True, text=True)
+    assert out.returncode == 0, out.stdout[-2000:]
+    out = subprocess.run([sys.executable, "-m", "pytest", "tests/test_engine.py", "tests/test_stage_parameters.py", "-q", "-x"], cwd=tmp_path, capture_output=True, text=True)
+    assert out.returncode == 0, out.stdout[-2000:]
