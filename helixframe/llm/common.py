@@ -9,8 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where intermediate tables go if the session names no shared folder and driver and executors are one process.
-LOCAL_SHARED = "file:///tmp/checkpoints"
+from helixframe.session import LOCAL_SHARED, shared_dir
+from helixframe.session import scratch_path as fresh_path
+
+__all__ = ["EACH", "LOCAL_SHARED", "Scratch", "fresh_path", "remove_path", "shared_dir", "skewed_join", "slices", "table", "text_or_empty", "written"]
 #: A key with more rows than this is dealt over several tasks.
 EACH = 200_000
 
@@ -19,29 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Without one only a local master can go on."""
-    if path := spark.conf.get("spark.checkpoint.dir", None):
-        return path.rstrip("/")
-    master = spark.sparkContext.master
-    if master == "local" or master.startswith("local["):
-        return LOCAL_SHARED
-    raise RuntimeError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master {master})")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in this application's part of the shared folder, which goes when the application ends."""
-    sc = spark.sparkContext
-    root = f"{shared_dir(spark)}/helixframe/{sc.applicationId}"
-    if getattr(sc, "_helixframe_scratch", None) != root:
-        p = spark._jvm.org.apache.hadoop.fs.Path(root)
-        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
-        fs.mkdirs(p)
-        fs.deleteOnExit(p)
-        sc._helixframe_scratch = root
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system through Hadoop's client."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
