@@ -28,6 +28,12 @@ def place(a: int, b: int) -> int:
     return b * (b + 1) // 2 + a
 
 
+def diploid(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lower and the higher allele of each diploid genotype of n alleles, in order."""
+    b = np.repeat(np.arange(n), np.arange(1, n + 1))
+    return np.arange(len(b)) - b * (b + 1) // 2, b
+
+
 def extended(row: dict, reference: str) -> list[str]:
     """A row's alternates against a longer reference."""
     tail = reference[len(row["ref"]) :]
@@ -57,12 +63,12 @@ def merged_likelihoods(rows: list[dict], start: int, reference: str, alleles: li
         for k, a in enumerate(own):
             index.setdefault(a, k)
         other = next((k for k, a in enumerate(own) if a in SYMBOLS), None)
-        at = [index.get(a, other) for a in alleles]
-        out = np.zeros(len(alleles) * (len(alleles) + 1) // 2)
-        for b in range(len(alleles)):
-            for a in range(b + 1):
-                x, y = at[a], at[b]
-                out[place(a, b)] = max(pls) if x is None or y is None else pls[place(min(x, y), max(x, y))]
+        found = [index.get(a, other) for a in alleles]
+        at = np.array([-1 if k is None else k for k in found])
+        a, b = diploid(len(alleles))
+        x, y = np.minimum(at[a], at[b]), np.maximum(at[a], at[b])
+        known = np.asarray(pls, float)
+        out = np.where(x < 0, known.max(), known[np.where(x < 0, 0, y * (y + 1) // 2 + x)])
         total = out if total is None else total + out
     return None if total is None else total - total.min()
 
@@ -71,21 +77,21 @@ def frequencies(likelihoods: list[np.ndarray], n: int, rounds: int = 50) -> tupl
     """Allele frequencies by expectation-maximisation, and the genotype prior they give."""
     f = np.full(n, 0.1 / max(n - 1, 1))
     f[0] = 0.9 if n > 1 else 1.0
-    pairs = [(a, b) for b in range(n) for a in range(b + 1)]
+    a, b = diploid(n)
+    ways = np.where(a == b, 1, 2)
+    copies = (a[:, None] == np.arange(n)).astype(float) + (b[:, None] == np.arange(n))
+    rows = np.array(likelihoods)
     for _ in range(rounds):
-        prior = np.array([f[a] * f[b] * (1 if a == b else 2) for a, b in pairs])
-        counts = np.full(n, 1e-3)
-        for g in likelihoods:
-            p = prior * g
-            p = p / p.sum() if p.sum() > 0 else prior
-            for k, (a, b) in enumerate(pairs):
-                counts[a] += p[k]
-                counts[b] += p[k]
+        prior = f[a] * f[b] * ways
+        p = rows * prior
+        total = p.sum(1, keepdims=True)
+        p = np.where(total > 0, p / np.where(total > 0, total, 1), prior)
+        counts = 1e-3 + p.sum(0) @ copies
         new = counts / counts.sum()
         if np.abs(new - f).max() < 1e-6:
             break
         f = new
-    return f, np.array([f[a] * f[b] * (1 if a == b else 2) for a, b in pairs])
+    return f, f[a] * f[b] * ways
 
 
 def call_locus(contig: str, start: int, state: dict[str, list[dict]], samples: list[str], most_alts: int = 49, least_quality: float = 10.0) -> dict | None:
@@ -116,11 +122,10 @@ def call_locus(contig: str, start: int, state: dict[str, list[dict]], samples: l
     if qual < least_quality:
         return None
     pairs = [(a, b) for b in range(len(alleles)) for a in range(b + 1)]
-    absent = np.zeros(len(alleles))
-    for g in known.values():
-        p = g * prior / max(float((g * prior).sum()), 1e-300)
-        for k in range(len(alleles)):
-            absent[k] += math.log10(max(float(sum(x for x, ab in zip(p, pairs, strict=True) if k not in ab)), 1e-300))
+    weighed = np.array(list(known.values())) * prior
+    p = weighed / np.maximum(weighed.sum(1, keepdims=True), 1e-300)
+    without = np.array([[k not in ab for k in range(len(alleles))] for ab in pairs], float)
+    absent = np.log10(np.maximum(p @ without, 1e-300)).sum(0)
     # an alternate stays if it is unlikely that no sample has it
     likely = {k for k in range(1, len(alleles)) if -10 * absent[k] >= least_quality} | {0}
     allowed = np.array([a in likely and b in likely for a, b in pairs])
