@@ -73,6 +73,21 @@ def test_people_and_addresses_of_gazetteers(spark):
     assert all(rows[100 + k] == "" for k in range(30))
 
 
+def test_what_a_labeler_says_nothing_of_tells_nothing():
+    """Checksums are known for cards alone: that must not part cards from the rest."""
+    counts = {(0, 1, 1, 0, 0): 186, (1, 1, -1, 0, 0): 26, (1, 1, 1, 0, 0): 154, (2, 1, -1, 0, 1): 13, (2, 1, 1, 0, 1): 161, (3, 1, 1, 0, 0): 157, (4, -1, 1, -1, 0): 40}
+    p, tables = pii.estimate(counts)
+    assert all((x > 0.5) == (v[0] < 4) for v, x in p.items())
+    assert tables[0][1][2] > tables[1][1][2] > 0.8
+
+
+def test_planted_data_is_backed(spark):
+    rng = random.Random(9)
+    bits = ["write to al.b@mail4.example.com now", "from 97.51.17.173 today", "card 4111 1111 1111 1111 here", "at +1 (132) 555-1352 soon"]
+    rows = pii.find(docs_of(spark, [(k, f"{prose(rng, 9)} {bits[k % 4]} {prose(rng, 9)}") for k in range(80)])).collect()
+    assert all(min(map(int, r.confidence.split(","))) > 50 for r in rows)
+
+
 def test_the_classifier_reads_shapes():
     at = len(pii.VOTES) + 1
     counts, p = {}, {}
