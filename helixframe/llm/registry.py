@@ -16,4 +16,4 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
 }
-ORACLES = {"op2_jaccard": jaccard.OP2_SQL, "op4_warc": warc.OP4_SQL, "op10_sharding": sharding.OP10_SQL}
+ORACLES = {"op2_jaccard": jaccard.OP2_SQL, "op4_warc": warc.OP4_SQL, "op5_secret_scan": secrets.OP5_SQL, "op10_sharding": sharding.OP10_SQL}

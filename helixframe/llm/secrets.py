@@ -62,7 +62,7 @@ def jwt_holds(token: bytes) -> bool:
     head = token.split(b".")[0]
     try:
         return isinstance(json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4))), dict)
-    except ValueError:
+    except (ValueError, RecursionError):  # no base 64, no text, no JSON, or JSON nested without end
         return False
 
 
@@ -167,3 +167,45 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+def found_sql(kind: str, expression: str, condition: str) -> str:
+    """Spans of an expression that needs no look-ahead: lengths of the pieces between its matches give their places."""
+    place = f"list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)"
+    return f"""SELECT doc_id, n, '{kind}' AS kind, CAST(a AS BIGINT) AS a, CAST(a + length(m) AS BIGINT) AS e FROM (SELECT doc_id, n, hits[i] AS m, {place} AS a
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT doc_id, n, regexp_extract_all(t, '{expression}') AS hits, string_split_regex(t, '{expression}') AS pieces FROM d WHERE regexp_matches(t, '{expression}')))) WHERE {condition}"""
+
+
+def token_sql(kind: str, prefix: str) -> str:
+    """Tokens of 36 characters after a prefix of four, and no more; one that begins inside the one before is part of it."""
+    place = "list_sum(list_transform(pieces[1:i], lambda x: length(x))) + 4 * (i - 1)"
+    crc = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(substr(m, 5, 30)), '..'), lambda x: ('0x' || x)::BIGINT)), lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)"
+    digits = " || ".join(f"substr('{BASE62}', crc // {62**k} % 62 + 1, 1)" for k in reversed(range(6)))
+    return f"""SELECT doc_id, n, '{kind}' AS kind, CAST(a AS BIGINT) AS a, CAST(a + 40 AS BIGINT) AS e FROM (SELECT *, {crc} AS crc FROM (SELECT *, lag(a) OVER (PARTITION BY n ORDER BY a) AS before
+  FROM (SELECT doc_id, n, a, substr(t, a + 1, 40) AS m, substr(t, a + 41, 1) AS next FROM (SELECT doc_id, n, t, CAST({place} AS BIGINT) AS a FROM (SELECT *, unnest(range(1, len(pieces))) AS i
+  FROM (SELECT doc_id, n, t, string_split_regex(t, '{prefix}') AS pieces FROM d WHERE regexp_matches(t, '{prefix}')))) WHERE regexp_full_match(substr(t, a + 5, 36), '[A-Za-z0-9]{{36}}') AND NOT regexp_full_match(substr(t, a + 41, 1), '[A-Za-z0-9]')) WHERE true) , tab
+  WHERE before IS NULL OR a - before >= 40) WHERE substr(m, 35, 6) = {digits}"""
+
+
+_ASSIGN = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_PEM = "-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----[A-Za-z0-9+/=\\x20\\x09-\\x0D]+-----END ([A-Z ]{0,40})PRIVATE KEY-----"
+_HEAD = "translate(split_part(m, '.', 1), '-_', '+/')"
+_JSON = f"try(decode(from_base64({_HEAD} || repeat('=', CAST((4 - length({_HEAD}) % 4) % 4 AS BIGINT)))))"
+_KIND = "list_position([" + ", ".join(f"'{k}'" for k in KINDS) + "], kind)"
+#: Every kind by its expression, tokens with the CRC-32 of their body in base 62, heads of tokens as JSON.
+OP5_SQL = f"""
+WITH RECURSIVE bits AS (SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i) UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS crcs FROM bits WHERE k = 8),
+d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+s AS ({found_sql('assign', _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6")}
+UNION ALL {found_sql('access', 'AKIA[A-Z0-9]+', 'length(m) >= 20')}
+UNION ALL {found_sql('hex', '[0-9a-f]+', 'length(m) >= 24')}
+UNION ALL {found_sql('jwt', 'eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+[.][A-Za-z0-9_-]+', f"coalesce(CASE WHEN length({_HEAD}) % 4 <> 1 AND json_valid({_JSON}) THEN json_type({_JSON}) = 'OBJECT' END, false)")}
+UNION ALL {found_sql('pem', _PEM, f"regexp_extract(m, '{_PEM}', 1) = regexp_extract(m, '{_PEM}', 2)")}
+UNION ALL {token_sql('github', 'gh[pousr]_')}
+UNION ALL {token_sql('npm', 'npm_')}),
+g AS (SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, {_KIND}) FILTER (kind IN ('assign', 'access', 'hex')) AS base, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, {_KIND}) AS spans FROM s GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (n)
+"""
