@@ -47,6 +47,8 @@ LAP = 4
 HOT = 1 << 18
 #: Cells of a token: from CROWD on they are dealt by size and into chunks of CHUNK.
 CROWD, CHUNK = 256, 2048
+#: How many units' copies of one text a task makes.
+TEXTS = 4096
 KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD)
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -227,7 +229,9 @@ def block_edges(members: DataFrame, texts: DataFrame, k: int, percent: int) -> D
 def opened_edges(roles: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links of asking documents with blocks. `roles`: (unit, asks, node, grp); a unit holds a block's members, then those
     that ask for it, one at a time."""
-    rows = roles.join(texts.hint("merge"), "node").repartition("unit").sortWithinPartitions("unit", "asks").select("unit", "asks", "node", "grp", "text")
+    # a document that many units hold is joined with its text in parts, as every row takes the text along
+    told = skewed_join(roles, texts.hint("merge"), ["node"], ["unit"], each=TEXTS)
+    rows = told.repartition("unit").sortWithinPartitions("unit", "asks").select("unit", "asks", "node", "grp", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(k)

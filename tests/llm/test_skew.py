@@ -29,7 +29,7 @@ def test_components_of_a_hub_and_a_long_chain(spark, monkeypatch):
 
 
 def test_jaccard_with_a_token_in_every_document_and_one_giant_component(spark, monkeypatch):
-    for name, value in (("BLOCK", 6), ("UNIT", 5), ("CROWD", 4), ("CHUNK", 3)):
+    for name, value in (("BLOCK", 6), ("UNIT", 5), ("CROWD", 4), ("CHUNK", 3), ("TEXTS", 3)):
         monkeypatch.setattr(jaccard, name, value)
     monkeypatch.setattr(common, "EACH", 40)
     rng = random.Random(11)
