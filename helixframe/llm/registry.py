@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helixframe.llm import decontaminate, divergence, html, jaccard, packing, pii, quality, secrets, sharding, tokenfile, warc
+from helixframe.llm import decontaminate, divergence, hamming, html, jaccard, packing, pii, quality, secrets, sharding, tokenfile, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
+    "op11_nearest_neighbours": hamming.op11_nearest_neighbours,
     "op12_source_divergence": divergence.op12_source_divergence,
 }
 ORACLES = {"op2_jaccard": jaccard.OP2_SQL, "op4_warc": warc.OP4_SQL, "op5_secret_scan": secrets.OP5_SQL, "op10_sharding": sharding.OP10_SQL, "op12_source_divergence": divergence.OP12_SQL}
