@@ -2,9 +2,10 @@
 set a source apart from its language.
 
 Sort-based streaming. Map tasks combine the rows of a chunk of documents (term, documents, occurrences), so a word that
-every document has is a row for each chunk and source, not one for each document. Rows are dealt by (lang, term) and sorted
-by (lang, term, source, document); a scan of the runs adds documents and occurrences up and writes each term that the
-language keeps as one row with its sources. A row has an entry for each source of a language at most, of which the result
+every document has is a row for each chunk and source, not one for each document. Rows are dealt by (lang, term), chunks of a
+source are merged there (documents are in one chunk each, so their numbers add up), and what is left is sorted by (lang, term,
+source, document); a scan of the runs adds documents and occurrences up and writes each term that the language keeps as one
+row with its sources. A row has an entry for each source of a language at most, of which the result
 has the square. A second scan over these rows emits, for each task, partial sums of pairs of sources and the best terms of
 each group; what is left to add and rank is small.
 
@@ -295,10 +296,11 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, best: int = BEST_T
     plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary").alias(c)
     narrow = docs.select(plain("lang"), plain("source"), F.col("doc_id").cast("long").alias("document"), plain("text"))
     rows = narrow.mapInArrow(combined, "lang binary, term binary, source binary, document long, docs long, count long")
+    dealt = rows.repartition("lang", "term").groupBy("lang", "term", "source")  # chunks of a source meet where they are
+    merged = dealt.agg(F.min("document").alias("document"), F.sum("docs").alias("docs"), F.sum("count").alias("count"))
     # the hash comes first in the order: numbers of 64 bits are compared faster than the first letters of a language
-    dealt = rows.withColumn("hash", F.xxhash64("lang", "term")).repartition("hash")
-    in_order = dealt.sortWithinPartitions("hash", "lang", "term", "source", "document")
-    runs = scratch.written(in_order.drop("hash").mapInArrow(lambda b: scanned(b, least), "lang binary, term binary, sources array<binary>, counts array<long>"), "runs")
+    in_order = merged.withColumn("hash", F.xxhash64("lang", "term")).sortWithinPartitions("hash", "lang", "term", "source", "document").drop("hash")
+    runs = scratch.written(in_order.mapInArrow(lambda b: scanned(b, least), "lang binary, term binary, sources array<binary>, counts array<long>"), "runs")
     groups = group_table(narrow, runs, scratch)
     blocks = max(1, -(-groups.count() // GROUPS))
     groups = groups.withColumn("block", F.pmod(F.xxhash64("lang", "source"), F.lit(blocks)).cast("int"))
