@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from helixframe.operators.intervals import overlap_pairs
 
 
-def count_reads(features: DataFrame, reads: DataFrame, size: int = 1000) -> DataFrame:
-    """(transcriptId, count): overlapping pairs of exon and read. A read that touches two exons of a transcript counts twice."""
+def count_reads(features: DataFrame, reads: DataFrame, size: int = 1000, by: tuple[str, ...] = ()) -> DataFrame:
+    """(transcriptId, count): overlapping pairs of exon and read, for each value of the reads' columns `by` (first in the
+    result). A read that touches two exons of a transcript counts twice."""
     exons = features.where("featureType = 'exon'").select(F.col("referenceName").alias("_f_contig"), F.col("start").alias("_f_start"), F.col("end").alias("_f_end"), "transcriptId")
-    narrow = reads.select(F.col("referenceName").alias("_contig"), F.col("start").alias("_start"), F.col("end").alias("_end"))
-    return overlap_pairs(exons, narrow, ("_f_contig", "_f_start", "_f_end"), ("_contig", "_start", "_end"), size).groupBy("transcriptId").count()
+    narrow = reads.select(F.col("referenceName").alias("_contig"), F.col("start").alias("_start"), F.col("end").alias("_end"), *by)
+    return overlap_pairs(exons, narrow, ("_f_contig", "_f_start", "_f_end"), ("_contig", "_start", "_end"), size).groupBy(*by, "transcriptId").count()
 
 
 def score_transcripts(features: DataFrame, counts: DataFrame, sample: str) -> DataFrame:
