@@ -53,6 +53,22 @@ def vcf_single(spark: SparkSession, d: str) -> DataFrame:
     return told(vcf.read_vcf(spark, path))
 
 
+@query(VCF_SQL)
+def vcf_bgzf_sharded(spark: SparkSession, d: str) -> DataFrame:
+    """Blocked gzip, a file a partition, read in parts."""
+    path = scratch_path(spark, "vcf")
+    vcf.write_sharded(called(spark, d), path, SAMPLES, codec="bgzf")
+    return told(vcf.read_vcf(spark, path))
+
+
+@query(VCF_SQL)
+def vcf_bgzf_single(spark: SparkSession, d: str) -> DataFrame:
+    """One blocked file, read through the loader of tables and VCF."""
+    path = scratch_path(spark, "one") + ".vcf.bgz"
+    vcf.write_single(called(spark, d), path, SAMPLES, codec="bgzf")
+    return told(tables.load_variants(spark, path))
+
+
 @query(f"WITH {VARIANTS} SELECT contigName, s AS start_pos, count(*) AS n FROM (SELECT DISTINCT contigName, s, e, sampleId FROM variants) GROUP BY 1, 2")
 def vcf_sites(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "sites")
@@ -120,6 +136,14 @@ def bam_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return shown(alignments.load_reads(spark, path))
 
 
+@query(READ_SQL)
+def bam_split(spark: SparkSession, d: str) -> DataFrame:
+    """One BAM file, read in parts of 200 KB."""
+    path = scratch_path(spark, "reads") + ".bam"
+    alignments.write_bam(placed(spark, d), path, alignments.sam_header(CONTIGS), CONTIGS, single=True)
+    return shown(alignments.read_bam(spark, path, size=200_000))
+
+
 @query(READ_SQL)
 def parquet_reads(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "reads")

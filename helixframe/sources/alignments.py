@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import gzip
 import re
 import struct
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 from helixframe.functions.sequence import attribute, decode_flags
 from helixframe.model import READ, RAW_READ
 from helixframe.operators.reads import coordinate_sorted
+from helixframe.sources.bgzf import bodies_of, parts_of, read_parts
 
 BASES = "=ACMGRSVTWYHKDBN"
 OPERATIONS = "MIDNSHP=X"
@@ -92,46 +91,16 @@ def sam_line(body: bytes, contigs: list[str]) -> str:
     return "\t".join([body[32 : 31 + names].decode(), str(flag), name(ref), str(pos + 1), str(mapq), cigar, told, str(mate_pos + 1), str(size), sequence, shown, *tags])
 
 
-def bam_lines(stream) -> Iterator[str]:  # noqa: ANN001
-    """The SAM lines of an uncompressed BAM stream, without its header."""
+def bam_part(path: str, start: int, end: int) -> Iterator[bytes]:
+    """The SAM lines of a part of a BAM file."""
+    for body, contigs in bodies_of(path, start, end):
+        yield sam_line(body, contigs).encode()
 
-    def take(n: int) -> bytes:
-        got = stream.read(n)
-        if len(got) != n:
-            raise ValueError("truncated BAM")
-        return got
 
-    number = lambda: struct.unpack("<i", take(4))[0]
-    if take(4) != b"BAM\1":
-        raise ValueError("not a BAM file")
-    take(number())
-    contigs = []
-    for _ in range(number()):
-        contigs.append(take(number())[:-1].decode())
-        number()
-    while size := stream.read(4):
-        if len(size) != 4:
-            raise ValueError("truncated BAM")
-        yield sam_line(take(struct.unpack("<i", size)[0]), contigs)
-
-
-def read_bam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """BAM files to the read model, a file a task, read as a stream."""
-    from helixframe.sources.binary import open_fs
-
-    paths = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for p in b.column(0).to_pylist():
-                fs, at = open_fs(p)
-                with fs.open_input_stream(at, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
-                    lines = bam_lines(stream)
-                    while held := list(islice(lines, 4096)):
-                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
-
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
-    return of_lines(listed.mapInArrow(run, "value string"))
+def read_bam(spark: SparkSession, path: str | list[str], size: int | None = None) -> DataFrame:
+    """BAM files to the read model, in parts of `size` bytes (the session's split size), each a task."""
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    return of_lines(read_parts(parts_of(spark, files, size), bam_part))
 
 
 def short_name_of(x):  # noqa: ANN001, ANN201

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.model import FEATURE
+from helixframe.sources.bgzf import text_of
 
 
 def _columns(spark: SparkSession, path: str | list[str], skip: str) -> DataFrame:
-    lines = spark.read.text(path).where(~F.col("value").rlike(skip) & (F.trim("value") != ""))
+    lines = text_of(spark, path).where(~F.col("value").rlike(skip) & (F.trim("value") != ""))
     return lines.select(F.split("value", "\t").alias("c"))
 
 
@@ -67,7 +68,7 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(contigName, length) of a sequence dictionary or SAM header."""
-    lines = spark.read.text(path).where(F.col("value").startswith("@SQ"))
+    lines = text_of(spark, path).where(F.col("value").startswith("@SQ"))
     return lines.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("contigName"), F.regexp_extract("value", r"\tLN:([0-9]+)", 1).cast("long").alias("length"))
 
 

@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from helixframe.sources.bgzf import SUFFIX, text_of
+
 #: Genotype fields that have names of their own in the row model.
 GENOTYPE_NAMES = {"DP": "depth", "AD": "alleleDepths", "GQ": "conditionalQuality", "PL": "phredLikelihoods", "GL": "genotypeLikelihoods"}
 TYPES = {"Integer": T.IntegerType(), "Float": T.DoubleType(), "String": T.StringType(), "Character": T.StringType(), "Flag": T.BooleanType()}
-EXTENSIONS = {"": "", "bgzf": ".bgz", "gzip": ".gz"}
+EXTENSIONS = {"": "", "bgzf": SUFFIX, "gzip": ".gz"}
 FIELD = re.compile(r"##(INFO|FORMAT)=<ID=([^,>]+),Number=([^,>]+),Type=([^,>]+)(?:,Description=\"((?:[^\"\\]|\\.)*)\")?")
 CALLS = T.ArrayType(T.IntegerType())
 
@@ -63,7 +65,7 @@ class Header:
 
 def header_of(spark: SparkSession, paths: str | list[str]) -> Header:
     """Distinct header lines of all files (also those that no column comes from) and the sorted union of their samples."""
-    lines = spark.read.text(paths).where(F.col("value").startswith("#")).distinct()
+    lines = text_of(spark, paths, head=True).select("value").distinct()
     meta = [r.value for r in lines.where("value like '##%'").orderBy("value").collect()]  # as large as the distinct header lines
     names = lines.where("value like '#CHROM%'").select(F.explode(F.slice(F.split("value", "\t"), 10, 1 << 30)).alias("s")).distinct().orderBy("s")
     return Header(tuple(sorted(meta, key=lambda x: not x.startswith("##fileformat"))), tuple(r.s for r in names.collect()))
@@ -89,10 +91,10 @@ def _typed(text: Column, kind: T.DataType) -> Column:
 
 
 def read_vcf(spark: SparkSession, paths: str | list[str], header: Header | None = None, with_genotypes: bool = True) -> DataFrame:
-    """Variant rows of VCF files (plain or gzip; directories and globs as Spark takes them). A given header saves the pass
+    """Variant rows of VCF files (plain, gzip or blocked gzip; directories and globs as Spark takes them). A given header saves the pass
     that collects it. Files may have different samples: each row's genotypes follow its own file's #CHROM line."""
     header = header or header_of(spark, paths)
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    text = text_of(spark, paths)
     rows = text.where(~F.col("value").startswith("#") & (F.col("value") != "")).withColumn("c", F.split("value", "\t"))
     at = lambda k: F.get("c", F.lit(k))
     optional = lambda x, sep: F.when((x == ".") | (x == ""), F.array().cast("array<string>")).otherwise(F.split(x, sep))
@@ -109,7 +111,7 @@ def read_vcf(spark: SparkSession, paths: str | list[str], header: Header | None
             columns.append((there if f.type == "Flag" else _typed(value(f.id), f.spark_type)).cast(f.spark_type).alias(f"INFO_{f.id}"))
     if not with_genotypes:
         return rows.select(*columns)
-    names = text.where(F.col("value").startswith("#CHROM")).select("file", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("ids")).dropDuplicates(["file"])
+    names = text_of(spark, paths, head=True).where(F.col("value").startswith("#CHROM")).select("file", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("ids")).dropDuplicates(["file"])
     rows = rows.join(names, "file", "left")
     keys = F.split(F.coalesce(at(8), F.lit("")), ":")
 
@@ -128,13 +130,13 @@ def read_vcf(spark: SparkSession, paths: str | list[str], header: Header | None
 def read_sites(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(contigName, start) alone."""
     c = F.split("value", "\t")
-    return spark.read.text(paths).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(F.get(c, F.lit(0)).alias("contigName"), (F.get(c, F.lit(1)).cast("long") - 1).alias("start"))
+    return text_of(spark, paths).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(F.get(c, F.lit(0)).alias("contigName"), (F.get(c, F.lit(1)).cast("long") - 1).alias("start"))
 
 
 def read_spans(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(contigName, start) of every place that a site's reference allele covers."""
     c = F.split("value", "\t")
-    rows = spark.read.text(paths).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(F.get(c, F.lit(0)).alias("contigName"), (F.get(c, F.lit(1)).cast("long") - 1).alias("at"), F.length(F.get(c, F.lit(3))).alias("n"))
+    rows = text_of(spark, paths).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(F.get(c, F.lit(0)).alias("contigName"), (F.get(c, F.lit(1)).cast("long") - 1).alias("at"), F.length(F.get(c, F.lit(3))).alias("n"))
     return rows.select("contigName", F.explode(F.sequence("at", F.col("at") + F.greatest(F.col("n"), F.lit(1)) - 1)).alias("start")).distinct()
 
 

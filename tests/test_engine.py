@@ -225,8 +225,9 @@ def test_vcf_round_trip(spark, trio, tmp_path, codec):
     assert text[[x.startswith("#CHROM") for x in text].index(True)].endswith("S1\tS2\tS4")
     assert all(x[11].startswith("./.") for x in body)  # a sample that no row has
     vcf.write_sharded(rows.repartition(2), str(tmp_path / "shards"), ["S1"], codec=codec)
-    if codec != "bgzf":
-        assert spark.read.text(str(tmp_path / "shards")).where("value not like '#%'").count() == 4
+    for written, samples in ((path, 3), (str(tmp_path / "shards"), 1)):
+        again = vcf.read_vcf(spark, written)
+        assert sorted((r.contigName, r.start, r.end, len(r.genotypes)) for r in again.collect()) == sorted((r.contigName, r.start, r.end, samples) for r in rows.collect())
 
 
 def test_unknown_codec():
