@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,9 +19,9 @@ def quality_filter(reads: DataFrame, least: int = 20) -> DataFrame:
 
 
 def to_fragments(reads: DataFrame) -> DataFrame:
-    """One row per read name: name, readGroupId, insertSize, alignments (in read order)."""
+    """One row per read group and read name: name, readGroupId, insertSize, alignments (in read order)."""
     row = F.struct(*reads.columns)
-    grouped = reads.groupBy(F.col("readName").alias("name")).agg(F.min("readGroupId").alias("readGroupId"), F.max("insertSize").cast("int").alias("insertSize"), F.sort_array(F.collect_list(F.struct(F.col("readInFragment").alias("_k"), F.col("start").alias("_s"), row.alias("_r")))).alias("_all"))
+    grouped = reads.groupBy(F.col("readName").alias("name"), "readGroupId").agg(F.max("insertSize").cast("int").alias("insertSize"), F.sort_array(F.collect_list(F.struct(F.col("readInFragment").alias("_k"), F.col("start").alias("_s"), row.alias("_r")))).alias("_all"))
     return grouped.withColumn("alignments", F.transform("_all", lambda x: x["_r"])).drop("_all")
 
 
@@ -54,25 +53,42 @@ def positions_and_score(alignments: Column | str) -> Column:
     return F.struct(left.alias("left"), right.alias("right"), score.alias("score"))
 
 
-def duplicate_flags(keyed: DataFrame, library: str = "library", left: str = "left", right: str = "right", score: str = "score", tie: str = "name") -> DataFrame:
+def not_duplicates(keyed: DataFrame, library: str, left: str, right: str, score: str, identity: Sequence[str]) -> DataFrame:
+    """The `identity` of fragments that have a left position and are no duplicates: of each library, left and right position the one
+    of the best score (ties: smallest identity), unless it is unpaired and a pair has the same left position. Both steps are
+    aggregates that tasks begin before anything is shuffled, so a position that many fragments share is a row for each task."""
+    best = F.min(F.struct((-F.col(score)).alias("_worse"), *(F.col(c).alias(f"_{k}") for k, c in enumerate(identity))))
+    placed = keyed.where(F.col(left).isNotNull())
+    one = placed.groupBy(F.col(library).alias("_library"), F.col(left).alias("_left"), F.col(right).alias("_right")).agg(best.alias("_best"))
+    pairs = placed.where(F.col(right).isNotNull()).select(F.col(library).alias("_l"), F.col(left).alias("_p")).distinct()
+    beaten = F.col("_library").eqNullSafe(F.col("_l")) & (F.col("_left") == F.col("_p")) & F.col("_right").isNull()
+    return one.join(pairs, beaten, "left_anti").select(*(F.col(f"_best._{k}").alias(c) for k, c in enumerate(identity)))
+
+
+def duplicate_flags(keyed: DataFrame, library: str = "library", left: str = "left", right: str = "right", score: str = "score", identity: Sequence[str] = ("name",)) -> DataFrame:
     """Adds primaryDup and secondaryDup. Fragments of one library and left position: unpaired ones are duplicates if a pair
-    is there; of those that share the right position too, all but the best score (ties: smallest `tie`) are."""
-    here = Window.partitionBy(library, left)
-    best = Window.partitionBy(library, left, right).orderBy(F.col(score).desc(), F.col(tie))
-    placed = F.col(left).isNotNull()
-    has_pair = F.max(F.col(right).isNotNull()).over(here)
-    primary = placed & ((F.col(right).isNull() & has_pair) | (F.row_number().over(best) > 1))
-    return keyed.withColumn("primaryDup", primary).withColumn("secondaryDup", placed)
+    is there; of those that share the right position too, all but the best score (ties: smallest `identity`, which no two
+    rows may share) are. Fragments without a left position are none. Flags come back by identity, never by position."""
+    first = not_duplicates(keyed, library, left, right, score, identity).select(*(F.col(c).alias(f"_id{k}") for k, c in enumerate(identity)), F.lit(True).alias("_first"))
+    same = F.lit(True)
+    for k, c in enumerate(identity):
+        same = same & F.col(c).eqNullSafe(F.col(f"_id{k}"))
+    marked = keyed.join(first, same, "left").withColumn("primaryDup", F.col(left).isNotNull() & F.col("_first").isNull())
+    return marked.withColumn("secondaryDup", F.col(left).isNotNull()).drop("_first", *(f"_id{k}" for k in range(len(identity))))
 
 
 def mark_duplicates(fragments: DataFrame, libraries: DataFrame | None = None) -> DataFrame:
     """Fragments with duplicateRead set on every alignment: mapped primary ones by the fragment's own flag, mapped
     secondary ones wherever the fragment has a position, unmapped ones never. `libraries` maps readGroupId to library;
-    groups without a library count as one. Only names and positions are ranked; alignments join back by name."""
-    keyed = fragments.select("name", "readGroupId", positions_and_score("alignments").alias("p")).select("name", "readGroupId", "p.*")
-    keyed = keyed.join(libraries.select("readGroupId", "library"), "readGroupId", "left") if libraries is not None else keyed.withColumn("library", F.lit(None).cast("string"))
-    flags = duplicate_flags(keyed).select("name", F.col("readGroupId").alias("_rg"), "primaryDup", "secondaryDup")
-    joined = fragments.join(flags, (fragments["name"] == flags["name"]) & fragments["readGroupId"].eqNullSafe(F.col("_rg"))).drop(flags["name"]).drop("_rg")
+    groups without a library count as one. Only names and positions are compared; the fragments that are no duplicates join
+    back by read group and name."""
+    told = fragments.withColumn("_p", positions_and_score("alignments"))
+    if libraries is not None:
+        told = told.join(libraries.select("readGroupId", "library"), "readGroupId", "left")
+    else:
+        told = told.withColumn("library", F.lit(None).cast("string"))
+    told = told.select("*", F.col("_p.left").alias("_left"), F.col("_p.right").alias("_right"), F.col("_p.score").alias("_score"))
+    joined = duplicate_flags(told, "library", "_left", "_right", "_score", ("name", "readGroupId")).drop("_p", "_left", "_right", "_score", "library")
 
     def flagged(r: Column) -> Column:
         mapped, primary = F.coalesce(r["readMapped"], F.lit(False)), F.coalesce(r["primaryAlignment"], F.lit(False))
@@ -192,98 +208,6 @@ def with_reference(reads: DataFrame) -> DataFrame:
     return reads.mapInArrow(run, schema)
 
 
-def recalibrate(reads: DataFrame, known_sites: DataFrame | None, least_quality: int = 6) -> DataFrame:
-    """Base-quality recalibration. Every base of at least `least_quality` outside known sites falls into a covariate cell
-    (read group, reported quality, cycle, dinucleotide); mismatches against the read's `referenceBases` give each cell an
-    empirical quality, relative to the group's and quality's own. Reads need referenceBases, as long as sequence, with '-' where
-    a base has none; referenceSites, if there, tells their places where clips and gaps move them."""
-    bases = reads.where(F.length("sequence") > 0)
-    each = F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda k: F.struct(F.substr("sequence", k, F.lit(1)).alias("base"), F.substr("referenceBases", k, F.lit(1)).alias("ref"), (F.ascii(F.substr("qualityScores", k, F.lit(1))) - 33).alias("q"), F.substr("sequence", F.greatest(k - 1, F.lit(1)), F.lit(2)).alias("context"), (F.get("referenceSites", k - 1) if "referenceSites" in reads.columns else F.col("start") + k - 1).alias("site"))))
-    cells = bases.select("readGroupId", "referenceName", each.alias("cycle", "b")).select("readGroupId", "referenceName", "cycle", "b.*").where((F.col("q") >= least_quality) & (F.col("ref") != "-"))
-    if known_sites is not None:
-        cells = cells.join(known_sites.select(F.col("contigName").alias("referenceName"), F.col("start").alias("site")).distinct(), ["referenceName", "site"], "left_anti")
-    wrong = (F.col("base") != F.col("ref")).cast("long")
-    phred = lambda errors, n: F.round(-10 * F.log10((errors + 1) / (n + 2))).cast("int")
-    table = cells.groupBy("readGroupId", "q", "cycle", "context").agg(F.sum(wrong).alias("errors"), F.count("*").alias("n"))
-    by_quality = table.groupBy("readGroupId", "q").agg(phred(F.sum("errors"), F.sum("n")).alias("global"))
-    cycle = table.groupBy("readGroupId", "q", "cycle").agg(phred(F.sum("errors"), F.sum("n")).alias("of_cycle"))
-    context = table.groupBy("readGroupId", "q", "context").agg(phred(F.sum("errors"), F.sum("n")).alias("of_context"))
-    model = table.select("readGroupId", "q", "cycle", "context").join(by_quality, ["readGroupId", "q"]).join(cycle, ["readGroupId", "q", "cycle"]).join(context, ["readGroupId", "q", "context"])
-    return model.withColumn("newQuality", F.least(F.greatest(F.col("of_cycle") + F.col("of_context") - F.col("global"), F.lit(1)), F.lit(60)))
-
-
-def cell_codes(groups: list[int], bases: list[bytes], qualities: list[bytes]) -> np.ndarray:
-    """One number for every base of some reads: its cell (group, reported quality, cycle, dinucleotide)."""
-    n = np.array([len(b) for b in bases], np.int64)
-    ends = np.cumsum(n)
-    base, q = np.frombuffer(b"".join(bases), np.uint8).astype(np.int64), np.frombuffer(b"".join(qualities), np.uint8).astype(np.int64) - 33
-    cycle = np.arange(len(base)) - np.repeat(ends - n, n)
-    # the base before and the base itself; a read's first base counts with its second
-    at = np.arange(len(base)) - (cycle > 0)
-    second = np.minimum(at + 1, np.repeat(ends, n) - 1)
-    pair = base[at] * 256 + np.where(second > at, base[second], 0)
-    return ((np.repeat(np.array(groups, np.int64), n) * 128 + q) << 40) + (cycle << 16) + pair
-
-
-def apply_recalibration(reads: DataFrame, model: DataFrame, most: int = 4_000_000) -> DataFrame:
-    """Reads with the model's quality for every base whose cell it has; other bases keep theirs. Old qualities go to
-    originalQualityScores. Qualities are looked up inside each row: nothing is exploded, shuffled or joined. The model is sent
-    to the tasks for some read groups at a time, of `most` cells together (a group alone has as many as its reads are
-    long, times qualities and dinucleotides); reads of groups without a model pass as they are. Reads whose qualities and bases
-    differ in length keep their qualities."""
-    spark, schema = reads.sparkSession, reads.schema
-    sizes = model.groupBy("readGroupId").agg(F.count("*").alias("n")).orderBy("readGroupId").collect()  # a row a read group
-    chunks: list[list[str | None]] = []
-    held = most + 1
-    for r in sizes:
-        if held + r.n > most:
-            chunks.append([])
-            held = 0
-        chunks[-1].append(r.readGroupId)
-        held += r.n
-    names = schema.names
-    at = {c: names.index(c) for c in ("readGroupId", "sequence", "qualityScores")}
-    old = names.index("originalQualityScores") if "originalQualityScores" in names else None
-    within = lambda df, ids: df.where(F.col("readGroupId").isin([i for i in ids if i is not None]) | (F.col("readGroupId").isNull() if None in ids else F.lit(False)))
-    out: DataFrame | None = None
-    for ids in chunks:
-        cells = within(model, ids).select("readGroupId", "q", "cycle", "context", "newQuality").collect()
-        number = {g: k for k, g in enumerate(ids)}
-        pair = lambda c: (ord(c[0]) * 256 + (ord(c[1]) if len(c) > 1 else 0)) if c else 0
-        codes = np.array([((number[r.readGroupId] * 128 + r.q) << 40) + (r.cycle << 16) + pair(r.context) for r in cells], np.int64)
-        order = np.argsort(codes)
-        sent = spark.sparkContext.broadcast((number, codes[order], np.array([r.newQuality for r in cells], np.int64)[order]))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            known, codes, new = sent.value
-            for b in batches:
-                cols = list(b.columns)
-                groups, bases, quals = (b.column(at[c]).to_pylist() for c in ("readGroupId", "sequence", "qualityScores"))
-                ok = [k for k, (s, q) in enumerate(zip(bases, quals, strict=True)) if s and q and len(s) == len(q) and s.isascii() and q.isascii()]
-                text = list(quals)
-                if ok:
-                    told = [quals[k].encode() for k in ok]
-                    mine = cell_codes([known[groups[k]] for k in ok], [bases[k].encode() for k in ok], told)
-                    place = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
-                    was = np.frombuffer(b"".join(told), np.uint8)
-                    whole = np.where(codes[place] == mine, new[place] + 33, was).astype(np.uint8).tobytes().decode()
-                    start = 0
-                    for k in ok:
-                        text[k] = whole[start : start + len(quals[k])]
-                        start += len(quals[k])
-                if old is not None:
-                    cols[old] = pa.array(quals, pa.string())
-                cols[at["qualityScores"]] = pa.array(text, pa.string())
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-        part = within(reads, ids).mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    every = [i for ids in chunks for i in ids]
-    rest = reads.where(~F.coalesce(F.col("readGroupId").isin([i for i in every if i is not None]), F.lit(None in every)))
-    rest = rest.withColumn("originalQualityScores", F.col("qualityScores")) if old is not None else rest
-    return rest if out is None else out.unionByName(rest)
-
-
 def of_samples(groups: DataFrame, samples: list[str]) -> DataFrame:
     """The read groups (with `sample`) that belong to one of the samples."""
     return groups.where(F.col("sample").isin(samples))

@@ -106,6 +106,30 @@ def mark_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return ro.duplicate_flags(u).select("name", F.col("primaryDup").alias("primary_dup"), F.col("secondaryDup").alias("secondary_dup"))
 
 
+@query(f"""WITH t AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS rg, l_linestatus AS status, l_quantity, l_extendedprice FROM lineitem),
+n AS (SELECT *, row_number() OVER (PARTITION BY rg, l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, status) - 1 AS k, concat('chr', CAST(l_suppkey % 2 AS VARCHAR)) AS c, l_partkey % 30 * 5 AS s, CAST(l_quantity AS BIGINT) % 4 + 6 AS len, l_partkey % 3 * 2 AS lead, l_suppkey % 3 AS tail, l_linenumber % 2 = 0 AS neg FROM t),
+a AS (SELECT rg, l_orderkey, k, {"{'c': c, 'p': CASE WHEN neg THEN s + len + tail ELSE greatest(s - lead, 0) END, 'o': CASE WHEN neg THEN 'REVERSE' ELSE 'FORWARD' END}"} AS pos, neg, 30 * len AS score FROM n WHERE k < 2),
+f AS (SELECT rg, l_orderkey, max(CASE WHEN k = 0 THEN pos END) AS a0, max(CASE WHEN k = 1 THEN pos END) AS a1, CAST(sum(score) AS INTEGER) AS score FROM a GROUP BY ALL),
+p AS (SELECT rg, l_orderkey, score, CASE WHEN a0.o = 'FORWARD' THEN a0 WHEN a1.o = 'FORWARD' THEN a1 ELSE a0 END AS l, CASE WHEN a1.o = 'REVERSE' THEN a1 WHEN a0.o = 'REVERSE' THEN a0 ELSE a1 END AS r, CASE WHEN rg = 'A' THEN 'one' WHEN rg = 'N' THEN 'two' END AS lib FROM f),
+w AS (SELECT *, row_number() OVER (PARTITION BY lib, l, r ORDER BY score DESC, CAST(l_orderkey AS VARCHAR), rg) AS rn, max(CASE WHEN r IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY lib, l) AS pair FROM p)
+SELECT rg AS read_group, CAST(l_orderkey AS VARCHAR) AS name, (r IS NULL AND pair = 1) OR rn > 1 AS duplicate FROM w""")
+def duplicates_of_reads(spark: SparkSession, d: str) -> DataFrame:
+    """Duplicates from alignments: fragments of one or two reads by read group and name, their positions from starts, clips and
+    strands, scores from qualities, libraries from read groups; names occur in several read groups."""
+    t = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice").distinct()
+    nth = F.row_number().over(Window.partitionBy("l_returnflag", "l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus")) - 1
+    start, size = F.col("l_partkey") % 30 * 5, F.col("l_quantity").cast("long") % 4 + 6
+    clip = lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit("S"))).otherwise("")
+    r = t.withColumn("readInFragment", nth).where("readInFragment < 2").select(
+        F.col("l_orderkey").cast("string").alias("readName"), F.col("l_returnflag").alias("readGroupId"), "readInFragment", F.concat(F.lit("chr"), (F.col("l_suppkey") % 2).cast("string")).alias("referenceName"), start.alias("start"), (start + size).alias("end"),
+        (F.col("l_linenumber") % 2 == 0).alias("readNegativeStrand"), F.concat(clip(F.col("l_partkey") % 3 * 2), size.cast("string"), F.lit("M"), clip(F.col("l_suppkey") % 3)).alias("cigar"), F.repeat(F.lit("?"), size.cast("int")).alias("qualityScores"), F.repeat(F.lit("A"), size.cast("int")).alias("sequence"),
+        F.lit(True).alias("readMapped"), F.lit(True).alias("primaryAlignment"), F.lit(False).alias("supplementaryAlignment"), F.lit(False).alias("duplicateRead"), F.lit(None).cast("long").alias("insertSize"),
+    )
+    libraries = t.select(F.col("l_returnflag").alias("readGroupId"), F.when(F.col("l_returnflag") == "A", "one").when(F.col("l_returnflag") == "N", "two").alias("library")).distinct()
+    marked = ro.mark_duplicates(ro.to_fragments(r), libraries)
+    return marked.select(F.col("readGroupId").alias("read_group"), "name", F.col("alignments")[0]["duplicateRead"].alias("duplicate"))
+
+
 @query("""WITH q AS (SELECT doc_id, regexp_replace(text, '[^0-~]', '', 'g') AS q FROM documents)
 SELECT doc_id, CAST(coalesce(list_sum(list_transform(string_split(nullif(q, ''), ''), lambda c: ord(c) - 33)), 0) AS INTEGER) AS score FROM q""")
 def read_score(spark: SparkSession, d: str) -> DataFrame:
@@ -151,8 +175,8 @@ def five_prime(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, replace({CIGAR_SQL}, 'S', 'H') AS hard, CAST(CASE WHEN l_partkey % 3 = 0 THEN l_partkey % 9 + 1 ELSE 0 END AS INTEGER) AS from_start,
   CAST(CASE WHEN l_partkey % 7 = 0 THEN 2 ELSE 0 END AS INTEGER) AS from_end, repeat('A', CAST(l_quantity AS INTEGER)) AS trimmed FROM lineitem""")
 def trim_supplementary(spark: SparkSession, d: str) -> DataFrame:
-    c = _cigars(spark, d).where("true")
-    soft = F.translate(F.regexp_replace("cigar", "[0-9]+H", ""), "", "")
+    c = _cigars(spark, d)
+    soft = F.regexp_replace("cigar", "[0-9]+H", "")
     bases = F.concat(F.when(F.col("l_suppkey") % 2 == 0, "GGGG").otherwise(""), F.expr("repeat('A', cast(`end` - start as int))"), F.when(F.col("l_linenumber") > 3, F.expr("repeat('C', l_linenumber)")).otherwise(""))
     clips = sequence.hard_clips("cigar")
     return c.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", sequence.soft_to_hard("cigar").alias("hard"), clips["fromStart"].alias("from_start"), clips["fromEnd"].alias("from_end"), sequence.trim_supplementary(bases, soft).alias("trimmed"))
@@ -356,11 +380,11 @@ def insert_size(spark: SparkSession, d: str) -> DataFrame:
     return ro.infer_insert_size(r, "name").select("name", F.col("start").alias("start_pos"), F.col("insertSize").alias("insert_size"))
 
 
-@query(f"WITH {READS} SELECT readName AS name, count(*) AS alignments, min(s) AS first_start, max(s) AS last_start FROM reads GROUP BY 1")
+@query(f"WITH {READS} SELECT readName AS name, library AS read_group, count(*) AS alignments, min(s) AS first_start, max(s) AS last_start FROM reads GROUP BY 1, 2")
 def fragments(spark: SparkSession, d: str) -> DataFrame:
     r = reads(spark, d).withColumn("readGroupId", F.col("library")).withColumn("insertSize", F.lit(None).cast("long"))
-    back = ro.to_reads(ro.to_fragments(r))
-    return back.groupBy(F.col("readName").alias("name")).agg(F.count("*").alias("alignments"), F.min("start").alias("first_start"), F.max("start").alias("last_start"))
+    f = ro.to_fragments(r)
+    return f.select("name", F.col("readGroupId").alias("read_group"), F.explode("alignments").alias("a")).select("name", "read_group", "a.start").groupBy("name", "read_group").agg(F.count("*").alias("alignments"), F.min("start").alias("first_start"), F.max("start").alias("last_start"))
 
 
 @query(f"""WITH {VARIANTS}, b AS (SELECT contigName, sampleId, s, unnest(range(s // 100, (e - 1) // 100 + 1)) AS bin_id FROM variants)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.model import READ
-from helixframe.operators import expression, reads as ro
+from helixframe.operators import expression, reads as ro, recalibration
 from helixframe.plans import stages
 from helixframe.plans.catalogue import query
 from helixframe.plans.inputs import READS, VARIANTS, features, reads, table, variants
@@ -174,12 +174,29 @@ m AS (SELECT g, q, c, context, CAST(least(greatest(oc + ox - a, 1), 60) AS INTEG
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, string_agg(chr(33 + nq), '' ORDER BY b.c) AS qualities FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, g, q, c, context FROM b) b JOIN m USING (g, q, c, context) GROUP BY ALL"""
 
 
-@query(MODEL_SQL)
-def recalibrated_qualities(spark: SparkSession, d: str) -> DataFrame:
+def bases_read(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of four bases from lineitem, with the reference's."""
     t = table(spark, d, "lineitem")
     bases = lambda x: F.translate(F.lpad((x % 10000).cast("string"), 4, "0"), "0123456789", "ACGTACGTAC")
-    rows = t.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_returnflag").alias("readGroupId"), F.lit("c").alias("referenceName"), F.col("l_orderkey").alias("start"), bases(F.col("l_partkey")).alias("sequence"), F.repeat(F.char(F.col("l_linenumber") + 53), F.lit(4)).alias("qualityScores"), bases(F.col("l_partkey") + F.when(F.col("l_suppkey") % 10 == 0, 1).otherwise(0)).alias("referenceBases"))
-    out = ro.apply_recalibration(rows, ro.recalibrate(rows, None))
+    return t.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_returnflag").alias("readGroupId"), F.lit("c").alias("referenceName"), F.col("l_orderkey").alias("start"), bases(F.col("l_partkey")).alias("sequence"), F.repeat(F.char(F.col("l_linenumber") + 53), F.lit(4)).alias("qualityScores"), bases(F.col("l_partkey") + F.when(F.col("l_suppkey") % 10 == 0, 1).otherwise(0)).alias("referenceBases"))
+
+
+@query(MODEL_SQL)
+def recalibrated_qualities(spark: SparkSession, d: str) -> DataFrame:
+    rows = bases_read(spark, d)
+    out = recalibration.apply_recalibration(rows, recalibration.recalibrate(rows, None))
+    return out.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("qualityScores").alias("qualities")).distinct()
+
+
+KNOWN_SQL = MODEL_SQL.replace("k AS (SELECT g, q, c, context,", "s AS (SELECT DISTINCT o_orderkey AS site FROM orders WHERE o_custkey % 3 = 0), k AS (SELECT g, q, c, context,").replace("FROM b GROUP BY ALL),", "FROM b WHERE l_orderkey + c NOT IN (SELECT site FROM s) GROUP BY ALL),").replace("chr(33 + nq)", "chr(33 + coalesce(nq, q))").replace(") b JOIN m USING", ") b LEFT JOIN m USING")
+
+
+@query(KNOWN_SQL)
+def recalibrated_outside_known_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Every third customer's orders are known sites, at which bases do not count."""
+    rows = bases_read(spark, d)
+    sites = table(spark, d, "orders").where("o_custkey % 3 = 0").select(F.lit("c").alias("contigName"), F.col("o_orderkey").alias("start"))
+    out = recalibration.apply_recalibration(rows, recalibration.recalibrate(rows, sites))
     return out.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("qualityScores").alias("qualities")).distinct()
 
 

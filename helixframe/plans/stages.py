@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import DEFAULT_QUALITY_BINS, bin_qualities
-from helixframe.operators import assembly, callers, expression, genotyping, kernels
+from helixframe.operators import assembly, callers, expression, genotyping, kernels, recalibration
 from helixframe.operators import intervals as oi
 from helixframe.operators import reads as ro
 from helixframe.operators import variants as vo
@@ -78,7 +78,7 @@ class Align(Stage):
             reads = spark.read.parquet(self.aside)
             known = vcf.read_spans(spark, self.get("knownSites")) if self.get("knownSites") else None
             told = reads.where("readMapped and coalesce(primaryAlignment, true) and not coalesce(supplementaryAlignment, false) and not coalesce(duplicateRead, false) and not coalesce(failedVendorQualityChecks, false)")
-            reads = ro.apply_recalibration(reads, ro.recalibrate(told, known)).drop("referenceBases", "referenceSites")
+            reads = recalibration.apply_recalibration(reads, recalibration.recalibrate(told, known)).drop("referenceBases", "referenceSites")
         if every or self.get("binQualityScores"):
             reads = reads.withColumn("qualityScores", bin_qualities("qualityScores", self.get("qualityScoreBinSpec")))
         return reads
@@ -127,9 +127,10 @@ def target_reads(spark: SparkSession, reads: DataFrame, targets: str | None, exc
         return oi.overlap_semi_distinct(reads, region, on, on, size)
     if excluded:
         # without targets every read stays but those that lie in an exclusion as a whole
-        inside = oi.overlap_pairs(reads.select(*on, "readName", "readInFragment"), oi.merge(load(excluded), on).select(F.col("referenceName").alias("_c"), F.col("start").alias("_s"), F.col("end").alias("_e")), on, ("_c", "_s", "_e"), size)
-        gone = inside.where("start >= _s and `end` <= _e").select("readName", "readInFragment").distinct()
-        return reads.join(gone, ["readName", "readInFragment"], "left_anti")
+        inside = oi.overlap_pairs(reads.select(*on).distinct(), oi.merge(load(excluded), on).select(F.col("referenceName").alias("_c"), F.col("start").alias("_s"), F.col("end").alias("_e")), on, ("_c", "_s", "_e"), size)
+        # by the alignment's own place: a read may have others elsewhere
+        gone = inside.where("start >= _s and `end` <= _e").select(*on).distinct()
+        return reads.join(gone, list(on), "left_anti")
     return reads
 
 

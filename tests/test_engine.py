@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import genotypes, intervals as fi, sequence
 from helixframe.model import READ
-from helixframe.operators import assembly, genotyping, kernels
+from helixframe.operators import assembly, genotyping, kernels, recalibration
 from helixframe.operators import intervals as oi
 from helixframe.operators import reads as ro
 from helixframe.operators import variants as vo
@@ -159,7 +159,7 @@ def test_recalibration_counts_outside_known_sites(spark):
     rows = [("g", "c", 0, "ACGT", "IIII", "ACGA"), ("g", "c", 0, "ACGT", "IIII", "ACGA")]
     df = spark.createDataFrame(rows, "readGroupId string, referenceName string, start long, sequence string, qualityScores string, referenceBases string")
     sites = spark.createDataFrame([("c", 3)], "contigName string, start long")
-    assert ro.recalibrate(df, None).count() == 4 and ro.recalibrate(df, sites).count() == 3
+    assert recalibration.recalibrate(df, None).count() == 4 and recalibration.recalibrate(df, sites).count() == 3
 
 
 # ---- variants
@@ -558,7 +558,7 @@ def test_sql_functions(spark):
 def test_recalibrated_reads(spark):
     rows = [("g", "c", 0, "ACGT", "IIII", "ACGA"), ("g", "c", 0, "ACGT", "IIII", "ACGA"), ("h", "c", 0, "", "", "")]
     df = spark.createDataFrame(rows, "readGroupId string, referenceName string, start long, sequence string, qualityScores string, referenceBases string")
-    out = ro.apply_recalibration(df, ro.recalibrate(df, None)).collect()
+    out = recalibration.apply_recalibration(df, recalibration.recalibrate(df, None)).collect()
     changed = [r.qualityScores for r in out if r.readGroupId == "g"]
     assert len(changed) == 2 and all(len(q) == 4 and q[3] < q[0] for q in changed)
     assert next(r for r in out if r.readGroupId == "h").qualityScores == ""

@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from helixframe.operators import reads as ro
+from helixframe.operators import recalibration
 from helixframe.sources import alignments, tables
 
 
@@ -77,9 +77,9 @@ def test_qualities_against_the_model(spark, most):
         rows.append((k, rng.choice(["g", "h", None]), "c", 0, seq, "".join(rng.choice("5I") for _ in range(n)), "".join(c if rng.random() < 0.8 else "A" for c in seq), None))
     rows += [(100, "g", "c", 0, "AC", "I", "AC", "old"), (101, "other", "c", 0, "ACGT", "IIII", "ACGT", None), (102, "g", "c", 0, None, None, None, None)]
     df = spark.createDataFrame(rows, "k long, readGroupId string, referenceName string, start long, sequence string, qualityScores string, referenceBases string, originalQualityScores string").repartition(5)
-    model = ro.recalibrate(df.where("k < 100"), None)
+    model = recalibration.recalibrate(df.where("k < 100"), None)
     cells = {(r.readGroupId, r.q, r.cycle, r.context): r.newQuality for r in model.collect()}
-    got = {r.k: r for r in ro.apply_recalibration(df, model, most).collect()}
+    got = {r.k: r for r in recalibration.apply_recalibration(df, model, most).collect()}
     assert len(got) == len(rows)
     for k, g, _, _, seq, qual, _, _ in rows:
         assert got[k].originalQualityScores == qual
