@@ -1,8 +1,12 @@
 """Joins and filters on genomic intervals.
 
 Spark has no range join of its own beyond a nested loop, so both sides are cut into bins and joined on (contig, bin) with
-the overlap as residual condition. A pair that shares several bins is kept in the first of them only, so binning adds no
-copies and needs no distinct. Hot bins are left to adaptive skew handling; sides are broadcast by Spark's own size checks.
+the overlap as residual condition. Bins come in levels, each eight times as wide as the one before: an interval lives in the
+lowest level whose bins are as long as it, so it is in two bins at most however long it is, and it visits the bins around it of
+those higher levels that the other side has intervals of. Which levels there are is asked first, in a pass over the ends
+alone; where all intervals are short there is one level and one kind of row. A pair meets in the higher of its two levels, and if
+it shares both bins there, in the first of them only, so binning adds no copies and needs no distinct. Hot bins
+are left to adaptive skew handling; sides are broadcast by Spark's own size checks.
 """
 
 from __future__ import annotations
@@ -20,23 +24,67 @@ DEFAULT: Interval = ("contigName", "start", "end")
 PUSHDOWN_LIMIT = 25
 
 
-def with_bins(df: DataFrame, size: int, on: Interval = DEFAULT, name: str = "binId", points: bool = False) -> DataFrame:
+def with_bins(df: DataFrame, size: int, on: Interval = DEFAULT, name: str = "binId") -> DataFrame:
     """A row for each bin that the interval touches; rows with a null end point have none, nor have those whose last point
-    lies in an earlier bin than their first. With `points` an interval without length is in the bin of its start."""
+    lies in an earlier bin than their first."""
     _, start, end = on
     first = truncated_div(start, size)
-    last = truncated_div(F.greatest(F.col(end) - 1, F.col(start)) if points else F.col(end) - 1, size)
+    last = truncated_div(F.col(end) - 1, size)
     return df.where(last >= first).withColumn(name, F.explode(F.sequence(first, last)))
 
 
+#: Levels of bins, and how many times wider each is than the one before.
+LEVELS, FACTOR = 10, 8
+
+
+def level_of(start: Column | str, end: Column | str, size: int) -> Column:
+    """The lowest level whose bins are as long as the interval (a point if it has no length)."""
+    length = F.greatest(F.col(end) - F.col(start) if isinstance(start, str) else end - start, F.lit(1))
+    return sum((F.when(length > size * FACTOR**k, 1).otherwise(0) for k in range(LEVELS - 1)), F.lit(0))
+
+
+def levels_there(left: DataFrame, right: DataFrame, left_on: Interval, right_on: Interval, size: int) -> tuple[list[int], list[int]]:
+    """The levels that intervals of each side live in, in one pass over their ends."""
+    of = lambda df, on, side: df.where(F.col(on[1]).isNotNull() & F.col(on[2]).isNotNull()).select(F.lit(side).alias("side"), level_of(on[1], on[2], size).alias("level"))
+    found = of(left, left_on, 0).unionByName(of(right, right_on, 1)).distinct().collect()  # at most twice LEVELS rows
+    return sorted(r.level for r in found if r.side == 0), sorted(r.level for r in found if r.side == 1)
+
+
+def in_levels(df: DataFrame, on: Interval, size: int, own: list[int], others: list[int], first: bool) -> DataFrame:
+    """A row for each bin that an interval is in or visits: _kind (of the meeting), _width and _bin. Pairs meet at the level of the
+    longer one: kind k where that is the first side's level k, LEVELS + k where it is the second side's alone."""
+    _, start, end = on
+    last = F.greatest(F.col(end) - 1, F.col(start))
+    at = lambda kind, k: F.struct(F.lit(kind).alias("kind"), F.lit(size * FACTOR**k).alias("width"))
+    level = level_of(start, end, size)
+    meets: list[Column] = []
+    for k in range(LEVELS):
+        if first:
+            meets += [F.when(level == k, at(k, k))] if k in own and any(o <= k for o in others) else []
+            meets += [F.when(level < k, at(LEVELS + k, k))] if k in others and any(o < k for o in own) else []
+        else:
+            meets += [F.when(level <= k, at(k, k))] if k in others and any(o <= k for o in own) else []
+            meets += [F.when(level == k, at(LEVELS + k, k))] if k in own and any(o < k for o in others) else []
+    rows = df.where(F.col(start).isNotNull() & F.col(end).isNotNull())
+    if own == others and len(own) == 1:  # one level, one kind of row
+        width = size * FACTOR ** own[0]
+        rows = rows.withColumn("_kind", F.lit(own[0])).withColumn("_width", F.lit(width))
+        return rows.withColumn("_bin", F.explode(F.sequence(truncated_div(start, width), truncated_div(last, width))))
+    rows = rows.withColumn("_m", F.explode(F.array_compact(F.array(*meets)) if meets else F.array().cast("array<struct<kind:int,width:bigint>>")))
+    rows = rows.withColumn("_kind", F.col("_m.kind")).withColumn("_width", F.col("_m.width").cast("long")).drop("_m")
+    return rows.withColumn("_bin", F.explode(F.sequence(truncated_div(start, F.col("_width")), truncated_div(last, F.col("_width")))))
+
+
 def overlap_pairs(left: DataFrame, right: DataFrame, left_on: Interval, right_on: Interval, size: int = 1000) -> DataFrame:
-    """Inner join of all columns (which must differ in name) on overlap."""
+    """Inner join of all columns (which must differ in name) on overlap. Bins of the lowest level are `size` wide."""
     lc, ls, le = left_on
     rc, rs, re = right_on
-    a, b = with_bins(left, size, left_on, "_bin_l", True), with_bins(right, size, right_on, "_bin_r", True)
-    first_shared = F.greatest(truncated_div(ls, size), truncated_div(rs, size))
-    on = (F.col(lc) == F.col(rc)) & (F.col("_bin_l") == F.col("_bin_r")) & overlaps(ls, le, rs, re) & (F.col("_bin_l") == first_shared)
-    return a.join(b, on).drop("_bin_l", "_bin_r")
+    left_levels, right_levels = levels_there(left, right, left_on, right_on, size)
+    a = in_levels(left, left_on, size, left_levels, right_levels, True).withColumnsRenamed({"_kind": "_kind_l", "_bin": "_bin_l"})
+    b = in_levels(right, right_on, size, right_levels, left_levels, False).withColumnsRenamed({"_kind": "_kind_r", "_bin": "_bin_r"}).drop("_width")
+    first_shared = F.greatest(truncated_div(ls, F.col("_width")), truncated_div(rs, F.col("_width")))
+    on = (F.col(lc) == F.col(rc)) & (F.col("_kind_l") == F.col("_kind_r")) & (F.col("_bin_l") == F.col("_bin_r")) & overlaps(ls, le, rs, re) & (F.col("_bin_l") == first_shared)
+    return a.join(b, on).drop("_bin_l", "_bin_r", "_kind_l", "_kind_r", "_width")
 
 
 def _apart(regions: DataFrame, on: Interval) -> tuple[DataFrame, Interval]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.functions.sequence import five_prime, on_strand, read_score
+from helixframe.session import scratch_path
 
 
 def quality_filter(reads: DataFrame, least: int = 20) -> DataFrame:
@@ -137,6 +138,29 @@ def coordinate_sorted(reads: DataFrame) -> DataFrame:
     return reads.orderBy(F.asc_nulls_last("referenceName"), F.asc_nulls_last("start"), "readName", "readInFragment")
 
 
+def with_ordinals(rows: DataFrame, order: Sequence[Column | str], within: str | None = None, name: str = "ordinal", path: str | None = None) -> DataFrame:
+    """Rows with their place, from 1, in a global order, or in that of each value of `within`, by which the order must begin. Ranges of
+    the order are sorted in parallel and stored, each row with its range and place there; the rows of each range are counted,
+    and the sums of earlier ranges added. No task holds more than a range, whatever the values of `within` are."""
+    spark = rows.sparkSession
+    path = path or scratch_path(spark, "ordinals")
+    inside = F.monotonically_increasing_id()
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_.withColumn("_range", F.shiftright(inside, 33)).withColumn("_place", inside.bitwiseAND((1 << 33) - 1)).write.parquet(path)
+    stored = spark.read.schema(sorted_.schema.add("_range", "long").add("_place", "long")).parquet(path)
+    counts = stored.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect()  # a row a range
+    before, sums = 0, []
+    for r in counts:
+        sums.append((r["_range"], before))
+        before += r.n
+    found = stored.join(F.broadcast(spark.createDataFrame(sums, "_range long, _before long")), "_range").withColumn(name, F.col("_before") + F.col("_place") + 1)
+    found = found.drop("_range", "_place", "_before")
+    if within is None:
+        return found
+    first = found.groupBy(F.col(within).alias("_within")).agg(F.min(name).alias("_first"))
+    return found.join(first, F.col(within).eqNullSafe(F.col("_within"))).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_within", "_first")
+
+
 def by_name(reads: DataFrame, partitions: int | None = None) -> DataFrame:
     """Reads of one name together and in read order, without a global sort."""
     dealt = reads.repartition(partitions, "readName") if partitions else reads.repartition("readName")

@@ -40,6 +40,21 @@ def overlap_join_count(spark: SparkSession, d: str) -> DataFrame:
     return pairs.groupBy("region_id", "contig").agg(F.count("*").alias("n"))
 
 
+LONG_SQL = """WITH g AS (SELECT s_suppkey AS region_id, concat('chr', CAST(s_suppkey % 3 AS VARCHAR)) AS contig, s_suppkey * 3001 % 900000 AS rs, s_suppkey * 3001 % 900000 + CAST(power(10, s_suppkey % 8) AS BIGINT) AS re FROM supplier),
+r AS (SELECT concat('chr', CAST(o_custkey % 3 AS VARCHAR)) AS c, o_orderkey * 10 AS s, o_orderkey * 10 + CAST(power(7, o_custkey % 6) AS BIGINT) AS e FROM orders)"""
+
+
+@query(LONG_SQL + " SELECT region_id, contig, count(*) AS n, CAST(sum(least(e, re) - greatest(s, rs)) AS BIGINT) AS covered FROM g JOIN r ON contig = c AND s < re AND e > rs GROUP BY 1, 2")
+def mixed_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Regions of 1 to 10,000,000 places against intervals of 1 to 16,807."""
+    k, n = F.col("s_suppkey"), F.col("o_custkey")
+    contig = lambda x: F.concat(F.lit("chr"), (x % 3).cast("string"))
+    g = table(spark, d, "supplier").select(k.alias("region_id"), contig(k).alias("contig"), (k * 3001 % 900_000).alias("rs")).withColumn("re", F.col("rs") + F.pow(F.lit(10), F.col("region_id") % 8).cast("long"))
+    r = table(spark, d, "orders").select(contig(n).alias("c"), (F.col("o_orderkey") * 10).alias("s"), F.pow(F.lit(7), n % 6).cast("long").alias("length"))
+    pairs = oi.overlap_pairs(r.select("c", "s", (F.col("s") + F.col("length")).alias("e")), g, ("c", "s", "e"), ("contig", "rs", "re"))
+    return pairs.groupBy("region_id", "contig").agg(F.count("*").alias("n"), F.sum(F.least("e", "re") - F.greatest("s", "rs")).alias("covered"))
+
+
 @query(f"WITH {READS}, {REGIONS} SELECT DISTINCT referenceName, s AS start_pos, e AS end_pos, mappingQuality FROM reads WHERE EXISTS (SELECT 1 FROM regions WHERE contig = referenceName AND s < re AND e > rs)")
 def overlap_semi_distinct(spark: SparkSession, d: str) -> DataFrame:
     rows = reads(spark, d).select(*READ_ON, "mappingQuality")
@@ -313,8 +328,8 @@ def manifest_groups(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {READS}, r AS (SELECT DISTINCT referenceName, s, readName, readInFragment FROM reads) SELECT referenceName, s AS start_pos, readName, readInFragment, row_number() OVER (PARTITION BY referenceName ORDER BY s NULLS LAST, readName, readInFragment) AS ordinal FROM r")
 def coordinate_sort_rank(spark: SparkSession, d: str) -> DataFrame:
     r = reads(spark, d).select("referenceName", "start", "readName", "readInFragment").distinct()
-    w = Window.partitionBy("referenceName").orderBy(F.asc_nulls_last("start"), "readName", "readInFragment")
-    return r.withColumn("ordinal", F.row_number().over(w).cast("long")).withColumnRenamed("start", "start_pos")
+    order = (F.asc_nulls_last("referenceName"), F.asc_nulls_last("start"), "readName", "readInFragment")
+    return ro.with_ordinals(r, order, "referenceName").withColumnRenamed("start", "start_pos")
 
 
 @query(f"WITH {READS} SELECT referenceName, s AS start_pos, part FROM reads WHERE library = 'O' UNION ALL SELECT referenceName, s, part FROM reads WHERE readNegativeStrand")

@@ -3,7 +3,7 @@ the format's reader, and compared with the SQL over the tables themselves."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.model import READ
@@ -414,8 +414,8 @@ def explicit_partitions(spark: SparkSession, d: str) -> DataFrame:
 def coordinate_order(spark: SparkSession, d: str) -> DataFrame:
     """Places in global coordinate order, from ranges sorted in parallel."""
     r = reads(spark, d).select("referenceName", "start", "readName", "readInFragment", "part")
-    w = Window.partitionBy("referenceName").orderBy("start", "readName", "readInFragment", "part")
-    return ro.coordinate_sorted(r).withColumn("place", F.row_number().over(w).cast("long")).select(F.col("readName").alias("name"), "place", "referenceName")
+    order = (F.asc_nulls_last("referenceName"), F.asc_nulls_last("start"), "readName", "readInFragment", "part")
+    return ro.with_ordinals(r, order, "referenceName", "place").select(F.col("readName").alias("name"), "place", "referenceName")
 
 
 @query(f"""WITH {READS}, tx AS (SELECT DISTINCT concat('t', CAST(o_orderkey AS VARCHAR)) AS transcript FROM orders) SELECT transcript FROM tx ORDER BY transcript LIMIT 10""")
