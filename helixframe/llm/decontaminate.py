@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words (runs of word characters, lower case) of a document and of a test item are compared. Seeds are the item's runs of
+Words (runs of word characters, lower case; in scripts that put no spaces between words each character) of a document
+and of a test item are compared. Seeds are the item's runs of
 `least` words under a Karp-Rabin rolling hash; a document is looked at further only if its seeds could cover the required
 share of an item. Then, round by round, the longest match between words that are still free in both is marked, until no
 match of `least` words is left: only the document's words under seeds are looked at, the length of the longest match is
@@ -8,11 +9,14 @@ found by bisection over Karp-Rabin hashes of runs of equal length, and all match
 so texts that repeat themselves cost little more than others. Hashes propose, words decide. Coverage is the share of the
 item's words that lie in marked tiles, wherever the tiles are in the document, so reordered passages count like straight ones.
 
+An item of fewer than `least` words is found as a whole: its words in a row anywhere in the document, or, for an item
+of a single word, a document of no other word.
+
 The benchmark is a set of queries, taken in blocks of about `most_bytes` of text. The driver holds one block at a time, a
 task holds one block, and there is no join: each row is judged by its text alone, in the same way for any size. Benchmarks
 of up to `most_bytes` cost one pass over the documents, larger ones a pass for each block.
 
-Defined cases: null and empty texts match nothing, nor do items of fewer than `least` words; repeated rows each give their
+Defined cases: null and empty texts match nothing, nor do texts without a word; repeated rows each give their
 rows, and so do items of equal text; ids may be null; empty tables give an empty result; very long texts are tiled whole;
 columns other than doc_id, item_id and text are ignored, and `clean` keeps all columns.
 """
@@ -32,7 +36,9 @@ from helixframe.llm.common import slices, table, text_or_empty, written
 LEAST = 5
 SHARE = 0.5
 MOST_BYTES = 32 << 20
-WORD = re.compile(r"[^\W_]+")
+#: Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana, and ideographs.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{UNSPACED}](?<=\w)|[^\W_{UNSPACED}]+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 MATCHES = "doc_id long, item_id long, item_words int, covered int, n_tiles int, longest int, coverage double"
@@ -153,6 +159,10 @@ class Benchmark:
         self.vocabulary: dict[str, int] = {}
         self.ids, self.least = [i for i, _ in items], least
         self.items = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(t)], np.int64) for _, t in items]
+        self.short: dict[int, dict[tuple[int, ...], list[int]]] = {}  # items below `least` by their words
+        for k, x in enumerate(self.items):
+            if 0 < len(x) < least:
+                self.short.setdefault(len(x), {}).setdefault(tuple(x.tolist()), []).append(k)
         hashes = [rolling(x, least) for x in self.items]
         seeds = np.concatenate([np.zeros(0, np.uint64), *hashes])
         owner = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
@@ -160,10 +170,23 @@ class Benchmark:
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.owner, self.place = seeds[order], owner[order], place[order]
 
+    def whole(self, doc: np.ndarray) -> Iterator[int]:
+        """The items of fewer than `least` words that `doc` has as a whole."""
+        for n, known in self.short.items():
+            if n > len(doc) or n == 1 and len(doc) > 1:
+                continue
+            first = np.isin(doc, [x[0] for x in known])  # an item may begin here
+            at = np.flatnonzero(first[: len(doc) - n + 1] & runs_of(doc >= 0, n))
+            found = {tuple(x) for x in doc[at[:, None] + np.arange(n)].tolist()}
+            for words in found & known.keys() if len(found) < len(known) else known.keys() & found:
+                yield from known[words]
+
     def matches(self, text: str | None, share: float) -> Iterator[tuple[int | None, int, int, int, int, float]]:
         """item_id, words, covered, tiles, longest, coverage of each item covered by `share` at least."""
         get = self.vocabulary.get
         doc = np.array([get(w, -1) for w in words_of(text)], np.int64)
+        for k in self.whole(doc):
+            yield self.ids[k], len(self.items[k]), len(self.items[k]), 1, len(self.items[k]), 1.0
         if len(doc) < self.least or not len(self.seeds):
             return
         at = np.flatnonzero(runs_of(doc >= 0, self.least))
