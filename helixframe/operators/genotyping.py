@@ -1,7 +1,8 @@
 """Joint genotyping of gVCF rows, a bin at a time.
 
-Rows of a (contig, bin) are read in order of start. Each sample keeps the rows of its latest start; at the end of a locus
-those that still reach it are merged: the longest reference is the locus's, shorter ones are extended by its tail, a row
+Rows of a (contig, bin) are read in order of start. Each sample keeps the rows of its latest start while they reach the
+locus: a heap of ends tells which samples to forget, and a set which have an alternate allele, so a locus that no alternate
+reaches costs nothing, and others what reaches them, however many samples there are. At the end of a locus what reaches it is merged: the longest reference is the locus's, shorter ones are extended by its tail, a row
 that begins before the locus and deletes it gives '*'. Genotype likelihoods are carried over by allele, the general
 <NON_REF> allele standing in for what a sample has not seen. Allele frequencies come from expectation-maximisation over
 the likelihoods under Hardy-Weinberg proportions, the site's quality from the posterior that all samples are reference.
@@ -9,13 +10,16 @@ the likelihoods under Hardy-Weinberg proportions, the site's quality from the po
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from helixframe.operators.variants import NON_REF, SPANNING, bin_variants
 
@@ -96,7 +100,7 @@ def frequencies(likelihoods: list[np.ndarray], n: int, rounds: int = 50) -> tupl
 
 def call_locus(contig: str, start: int, state: dict[str, list[dict]], samples: list[str], most_alts: int = 49, least_quality: float = 10.0) -> dict | None:
     """The site's row, or None: no real alternate allele reaches it, there are too many, or no sample is called variant."""
-    relevant = {s: [r for r in rows if r["end"] > start] for s, rows in state.items()}
+    relevant = {s: [r for r in state[s] if r["end"] > start] for s in sorted(state)}  # alternates in the order of samples
     here = [r for rows in relevant.values() for r in rows]
     if not any(is_real(a) for r in here for a in r["alts"]):
         return None
@@ -155,14 +159,46 @@ def call_locus(contig: str, start: int, state: dict[str, list[dict]], samples: l
     return {"contigName": contig, "start": start, "end": start + len(named[0]), "referenceAllele": named[0], "alternateAlleles": named[1:], "qual": float(qual), "genotypes": rows}
 
 
+class Active:
+    """The rows of each sample's latest start, as long as one of them reaches the locus."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, list[dict]] = {}
+        self.real: set[str] = set()  # samples with an alternate allele
+        self.ends: list[tuple[int, str]] = []  # when to look at a sample again
+
+    def add(self, r: dict) -> None:
+        s = r["sample"]
+        held = self.rows.get(s)
+        if held and held[0]["start"] == r["start"]:
+            held.append(r)
+        else:
+            self.rows[s] = [r]
+            self.real.discard(s)
+        if any(map(is_real, r["alts"])):
+            self.real.add(s)
+        heapq.heappush(self.ends, (r["end"], s))
+
+    def upto(self, start: int) -> None:
+        """Forget samples of which no row reaches `start`."""
+        while self.ends and self.ends[0][0] <= start:
+            _, s = heapq.heappop(self.ends)
+            if s in self.rows and all(r["end"] <= start for r in self.rows[s]):
+                del self.rows[s]
+                self.real.discard(s)
+
+
 def call_bin(rows: Iterator[dict], samples: list[str], **options: float) -> Iterator[dict]:
     """Calls of one (contig, bin)'s rows in order of start. Loci that an earlier bin has (duplicates) feed the state alone."""
     known = set(samples)
-    state: dict[str, list[dict]] = {}
+    active = Active()
     locus: tuple[str, int, bool] | None = None
 
     def done() -> dict | None:
-        return None if locus is None or locus[2] else call_locus(locus[0], locus[1], state, samples, **options)
+        if locus is None:
+            return None
+        active.upto(locus[1])
+        return None if locus[2] or not active.real else call_locus(locus[0], locus[1], active.rows, samples, **options)
 
     for r in rows:
         if r["sample"] not in known:
@@ -171,11 +207,7 @@ def call_bin(rows: Iterator[dict], samples: list[str], **options: float) -> Iter
             if out := done():
                 yield out
             locus = (r["contig"], r["start"], bool(r["duplicate"]))
-        held = state.get(r["sample"])
-        if held and held[0]["start"] == r["start"]:
-            held.append(r)
-        else:
-            state[r["sample"]] = [r]
+        active.add(r)
     if out := done():
         yield out
 
@@ -185,29 +217,17 @@ def genotype(variants: DataFrame, samples: list[str], size: int = 5000, partitio
     sample, not a bin."""
     fields = variants.schema["genotypes"].dataType.elementType.fieldNames()
     g = F.get("genotypes", F.lit(0))
-    depth = g["depth"] if "depth" in fields else F.lit(None).cast("int")
-    flat = bin_variants(variants, size, partitions).select("contigName", "binId", "isDuplicate", "start", "end", "referenceAllele", "alternateAlleles", "sampleId", g["phredLikelihoods"].alias("pls"), depth.alias("depth"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                yield from b.itertuples(index=False)
-
-        def of_bin(first: tuple, rest: Iterator[tuple], left: list) -> Iterator[dict]:
-            r = first
-            while r is not None:
-                yield {"contig": r.contigName, "start": r.start, "end": r.end, "ref": r.referenceAllele, "alts": list(r.alternateAlleles), "sample": r.sampleId, "duplicate": r.isDuplicate, "pls": None if r.pls is None else list(r.pls), "depth": None if r.depth is None or pd.isna(r.depth) else int(r.depth)}
-                nxt = next(rest, None)
-                if nxt is None or (nxt.contigName, nxt.binId) != (first.contigName, first.binId):
-                    left[0] = nxt
-                    return
-                r = nxt
-
-        stream = rows()
-        left = [next(stream, None)]
-        while left[0] is not None:
-            out = list(call_bin(of_bin(left[0], stream, left), samples, most_alts=most_alts))
-            if out:
-                yield pd.DataFrame(out)
-
-    return flat.mapInPandas(run, CALLED)
+    depth = g["depth"] if "depth" in fields else F.lit(None)
+    flat = bin_variants(variants, size, partitions).select("contigName", "binId", "isDuplicate", "start", "end", "referenceAllele", "alternateAlleles", "sampleId", g["phredLikelihoods"].cast("array<int>").alias("pls"), depth.cast("int").alias("depth"))
+    names = ("contig", "bin", "duplicate", "start", "end", "ref", "alts", "sample", "pls", "depth")
+    target = variants.sparkSession.createDataFrame([], CALLED).schema
+    arrow = to_arrow_schema(target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (dict(zip(names, r, strict=True)) for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for _, own in groupby(rows, key=lambda r: (r["contig"], r["bin"])):
+            calls = call_bin(own, samples, most_alts=most_alts)
+            while held := list(islice(calls, 256)):
+                yield pa.RecordBatch.from_pylist(held, schema=arrow)
+
+    return flat.mapInArrow(run, target)

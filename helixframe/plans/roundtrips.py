@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.model import READ
-from helixframe.operators import expression, reads as ro, recalibration
+from helixframe.operators import expression, genotyping, reads as ro, recalibration
 from helixframe.plans import stages
 from helixframe.plans.catalogue import query
 from helixframe.plans.inputs import READS, VARIANTS, features, reads, table, variants
@@ -352,6 +352,36 @@ def quantify_stage(spark: SparkSession, d: str) -> DataFrame:
     return tables.load(spark, f"{path}/out/sampleId=sam1").select(F.col("transcriptId").alias("transcript"), F.col("referenceName").alias("contig"), "score", "source")
 
 
+GENOME = "ACGTTGCAATC"
+JOINT_SQL = f"""WITH {VARIANTS}, o AS (SELECT contigName, s, sampleId, max(key) AS key FROM variants GROUP BY ALL),
+g AS (SELECT v.contigName, v.s, v.e, v.sampleId, v.polymorphic AS poly, v.e - v.s > 1 AS del, substr(repeat('{GENOME}', 8), CAST(v.s % 11 + 1 AS BIGINT), CASE WHEN v.polymorphic THEN v.e - v.s ELSE 1 END) AS ref, v.cust FROM variants v JOIN o ON v.contigName = o.contigName AND v.s = o.s AND v.sampleId = o.sampleId AND v.key = o.key),
+a AS (SELECT *, CASE WHEN del THEN left(ref, 1) WHEN cust % 2 = 0 THEN translate(ref, 'ACGT', 'CGTA') ELSE translate(ref, 'ACGT', 'GTAC') END AS alt FROM g),
+l AS (SELECT contigName, s, max(ref) FILTER (length(ref) = longest) AS reference FROM (SELECT *, max(length(ref)) OVER (PARTITION BY contigName, s) AS longest FROM a) GROUP BY contigName, s HAVING bool_or(poly)),
+n AS (SELECT l.contigName, l.s, a.sampleId, max(a.s) AS latest FROM l JOIN a ON a.contigName = l.contigName AND a.s <= l.s GROUP BY ALL),
+h AS (SELECT n.contigName, n.s, n.sampleId, a.s AS at, a.e, a.poly, a.del, a.ref, a.alt FROM n JOIN a ON a.contigName = n.contigName AND a.sampleId = n.sampleId AND a.s = n.latest WHERE a.e > n.s),
+x AS (SELECT h.contigName, h.s, CASE WHEN h.at = h.s THEN concat(h.alt, substr(l.reference, length(h.ref) + 1)) ELSE '*' END AS alt FROM h JOIN l ON h.contigName = l.contigName AND h.s = l.s WHERE h.poly AND (h.at = h.s OR h.del)),
+m AS (SELECT contigName, s, string_agg(DISTINCT alt, ',' ORDER BY alt) AS alternates FROM x GROUP BY ALL)
+SELECT l.contigName, l.s AS start_pos, l.s + length(l.reference) AS end_pos, l.reference, m.alternates, k.sampleId, h.sampleId IS NOT NULL AS called
+FROM l JOIN m ON l.contigName = m.contigName AND l.s = m.s CROSS JOIN (SELECT unnest(['S0', 'S1', 'S2', 'S3']) AS sampleId) k LEFT JOIN h ON h.contigName = l.contigName AND h.s = l.s AND h.sampleId = k.sampleId"""
+
+
+@query(JOINT_SQL)
+def joint_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Joint genotyping of four samples' gVCF rows: alleles of each site against its longest reference, spanning deletions, and
+    which samples have no call. Likelihoods leave no doubt, so all alleles stay."""
+    v = variants(spark, d)
+    v = v.join(v.groupBy("contigName", "start", "sampleId").agg(F.max("key").alias("key")), ["contigName", "start", "sampleId", "key"])
+    poly, deletion = F.col("polymorphic"), F.col("end") - F.col("start") > 1
+    ref = F.substr(F.repeat(F.lit(GENOME), F.lit(8)), (F.col("start") % 11 + 1).cast("int"), F.when(poly, F.col("end") - F.col("start")).otherwise(1).cast("int"))
+    rows = v.withColumn("referenceAllele", ref)
+    alt = F.when(deletion, F.left("referenceAllele", F.lit(1))).when(F.col("cust") % 2 == 0, F.translate("referenceAllele", "ACGT", "CGTA")).otherwise(F.translate("referenceAllele", "ACGT", "GTAC"))
+    pls = F.when(poly, F.array(*map(F.lit, (300, 0, 300, 300, 300, 300)))).otherwise(F.array(*map(F.lit, (0, 300, 300))))
+    g = F.struct("sampleId", F.array(F.lit(0), F.when(poly, 1).otherwise(0)).alias("calls"), pls.alias("phredLikelihoods"))
+    rows = rows.select("contigName", "start", "end", "referenceAllele", F.when(poly, F.array(alt, F.lit("<NON_REF>"))).otherwise(F.array(F.lit("<NON_REF>"))).alias("alternateAlleles"), F.array(g).alias("genotypes"))
+    out = genotyping.genotype(rows, SAMPLES, size=1_000_000)
+    return out.select("contigName", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), F.col("referenceAllele").alias("reference"), F.array_join(F.array_sort("alternateAlleles"), ",").alias("alternates"), F.explode("genotypes").alias("g")).select("contigName", "start_pos", "end_pos", "reference", "alternates", F.col("g.sampleId").alias("sampleId"), (F.col("g.calls")[0] >= 0).alias("called"))
+
+
 class Filtered(Stage):
     """Rows of orders of one status."""
 
