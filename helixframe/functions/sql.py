@@ -12,7 +12,14 @@ FUNCTIONS = {
 }
 
 
+#: Functions that give rows, for FROM and LATERAL. Spark joins their rows back to distinct arguments; over very many
+#: different ones LATERAL VIEW inline(bins(...)) needs no join.
+TABLES = {
+    "bins_of": "(a_start BIGINT, a_end BIGINT, size BIGINT) RETURNS TABLE (binId INT, isLastBin BOOLEAN) RETURN SELECT cast(b AS INT), b = (a_end - 1) div size FROM explode(sequence(a_start div size, greatest((a_end - 1) div size, a_start div size))) AS t(b) WHERE (a_end - 1) div size >= a_start div size",
+}
+
+
 def register(spark: SparkSession) -> None:
-    """Make overlaps, genotype_count, has_valid_pls and bins callable in spark.sql."""
-    for name, body in FUNCTIONS.items():
+    """Make overlaps, genotype_count, has_valid_pls, bins and the table function bins_of callable in spark.sql."""
+    for name, body in (FUNCTIONS | TABLES).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.functions import genotypes, intervals as fi, sequence
+from helixframe.functions import genotypes, intervals as fi, sequence, sql
 from helixframe.operators import assembly, expression, reads as ro, variants as vo
 from helixframe.operators import intervals as oi
 from helixframe.plans.inputs import FEATURES, READS, REGIONS, VARIANTS, features, reads, regions, table, variants
@@ -33,6 +33,14 @@ def interval_bins(spark: SparkSession, d: str) -> DataFrame:
     return b.groupBy("referenceName", F.col("binId").alias("bin_id")).agg(F.count("*").alias("n"), F.count(F.when(F.col("isLastBin"), 1)).alias("n_last"), F.count(F.when(fi.is_duplicate_bin("start", "binId", 100), 1)).alias("n_duplicate"))
 
 
+@query(f"""WITH {READS}, b AS (SELECT referenceName, s, unnest(range(s // 100, (e - 1) // 100 + 1)) AS bin_id, (e - 1) // 100 AS last FROM reads WHERE e > s)
+SELECT referenceName, CAST(bin_id AS INTEGER) AS bin_id, count(*) AS n, count(*) FILTER (bin_id = last) AS n_last FROM b GROUP BY 1, 2""")
+def lateral_bins(spark: SparkSession, d: str) -> DataFrame:
+    """The table function of bins in SQL text."""
+    sql.register(spark)
+    return spark.sql("SELECT referenceName, b.binId AS bin_id, count(*) AS n, count_if(b.isLastBin) AS n_last FROM {reads} AS r, LATERAL bins_of(r.start, r.end, 100L) AS b GROUP BY ALL", reads=reads(spark, d))
+
+
 @query(f"WITH {READS}, {REGIONS} SELECT region_id, contig, count(*) AS n FROM regions JOIN reads ON contig = referenceName AND s < re AND e > rs GROUP BY 1, 2")
 def overlap_join_count(spark: SparkSession, d: str) -> DataFrame:
     r = regions(spark, d).select(F.col("contigName").alias("contig"), F.col("start").alias("rs"), F.col("end").alias("re"), "region_id")

@@ -17,6 +17,7 @@ from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 from helixframe.plans.params import REPLAY, Param, Settings, seconds
+from helixframe.session import own_session
 
 log = logging.getLogger("helixframe")
 REPLAY_MODE = Param("replayMode", "skip a stage whose output exists, or overwrite it", str, "skip")
@@ -90,9 +91,12 @@ class Pipeline:
                     found.setdefault(p.name, p)
         return [{"name": n, "description": p.doc, "type": p.kind.__name__, "default": None if p.default is None else str(p.default), "required": p.required} for n, p in sorted(found.items())]
 
-    def execute(self, spark: SparkSession) -> None:
+    def execute(self, spark: SparkSession, stop: threading.Event | None = None) -> None:
+        """Run the stages in order. Once `stop` is set, no further stage begins."""
         produced: dict[str, Any] = {}
         for stage in self.stages:
+            if stop is not None and stop.is_set():
+                raise InterruptedError(f"{self.name} was stopped before {stage.name}")
             values = {**self.given, **produced}  # what earlier stages produced counts over what was given
             for p in stage.all_params():
                 if p.name in values:
@@ -146,11 +150,14 @@ class MultiSample:
     def run_sample(self, spark: SparkSession, sample: str, info: Any) -> None:
         group, problem = f"{self.name}-{sample}-{uuid.uuid4().hex[:8]}", []
 
+        stop = threading.Event()
+
         def work() -> None:
             try:
                 spark.sparkContext.setJobGroup(group, f"{self.name}: {sample}", interruptOnCancel=True)
                 gc.collect()
-                self.delegate(info).init(self.given).execute(spark)
+                # a session of its own: settings that a stage changes are not seen by other samples
+                self.delegate(info).init(self.given).execute(own_session(spark), stop)
             except BaseException as e:  # noqa: BLE001  told to the waiting thread
                 problem.append(e)
 
@@ -158,7 +165,9 @@ class MultiSample:
         t.start()
         t.join(self.own["seconds"])
         if t.is_alive():
-            spark.sparkContext.cancelJobGroup(group)
+            # the sample's thread cannot be killed, but it gets no further: no stage begins, and no job of its stage runs or begins
+            stop.set()
+            spark.sparkContext._jsc.sc().cancelJobGroupAndFutureJobs(group)
             raise TimeoutError(f"{sample}: over its limit of {self.own['perSampleTimeout']}")
         if problem:
             raise problem[0]

@@ -16,6 +16,7 @@ from helixframe.operators import reads as ro
 from helixframe.operators import variants as vo
 from helixframe.plans.params import Param, Settings
 from helixframe.plans.pipeline import MultiSample, Pipeline, Stage, extend, save_chain, stages_of
+from helixframe.session import own_session
 from helixframe.sources import alignments, features, manifest, tables, vcf
 
 VERSION = "1"
@@ -276,16 +277,11 @@ class JointlyCallVariants(Stage):
         return ingest(spark, paths, self.get("targetedRegions"), self.get("performValidation"), self.get("validationStringency")), vcf.sample_ids(spark, paths)
 
     def execute(self, spark: SparkSession) -> None:
-        rows, samples = self.rows(spark)
-        s = Settings.of(spark)
-        key = "spark.sql.shuffle.partitions"
-        before = spark.conf.get(key)
+        s, own = Settings.of(spark), own_session(spark)  # whose number of partitions nobody else sees
         if s.jointShufflePartitions:
-            spark.conf.set(key, str(s.jointShufflePartitions))
-        try:
-            self.finish(spark, genotyping.genotype(rows, samples, s.jointBinSize, s.jointBinPartitions or None, s.jointMaxAltAlleles), samples)
-        finally:
-            spark.conf.set(key, before)
+            own.conf.set("spark.sql.shuffle.partitions", str(s.jointShufflePartitions))
+        rows, samples = self.rows(own)
+        self.finish(own, genotyping.genotype(rows, samples, s.jointBinSize, s.jointBinPartitions or None, s.jointMaxAltAlleles), samples)
 
     def finish(self, spark: SparkSession, called: DataFrame, samples: list[str]) -> None:
         if path := self.get("callVariantOutput"):

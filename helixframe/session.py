@@ -38,6 +38,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of its own in the same application, which begins with the settings, views and functions of `spark`; what is
+    set in one does not show in the other."""
+    return SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so their Python workers can import it."""
     sc = spark.sparkContext
