@@ -10,7 +10,7 @@ from helixframe.model import READ
 from helixframe.operators import expression, genotyping, reads as ro, recalibration
 from helixframe.plans import stages
 from helixframe.plans.catalogue import query
-from helixframe.plans.inputs import READS, VARIANTS, features, reads, table, variants
+from helixframe.plans.inputs import FEATURES, READS, VARIANTS, features, reads, table, variants
 from helixframe.plans.params import Param
 from helixframe.plans.pipeline import Pipeline, Stage, extend, load_chain, save_chain
 from helixframe.session import scratch_path
@@ -305,15 +305,20 @@ def save_modes(spark: SparkSession, d: str) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
-@query("SELECT * FROM (VALUES ('missing', false, false), ('unfinished', true, false), ('finished', true, true)) t(state, there, complete) WHERE EXISTS (SELECT 1 FROM region)")
+@query("SELECT r_regionkey AS region, r_regionkey <> 0 AS there, r_regionkey > 1 AS complete, CAST(CASE WHEN r_regionkey > 0 THEN (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) ELSE 0 END AS BIGINT) AS nations FROM region")
 def commit_markers(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "marker")
-    seen = [("missing", tables.exists(spark, path), tables.complete(spark, path))]
-    tables.save(table(spark, d, "region"), path)
-    done = ("finished", tables.exists(spark, path), tables.complete(spark, path))
-    tables.delete(spark, f"{path}/_SUCCESS")
-    seen += [("unfinished", tables.exists(spark, path), tables.complete(spark, path)), done]
-    return spark.createDataFrame(seen, "state string, there boolean, complete boolean")
+    """The nations of each region are a table: one is never written, one loses its marker, the others are finished."""
+    path, seen = scratch_path(spark, "markers"), []
+    for r in table(spark, d, "region").collect():  # five regions
+        k, one = r.r_regionkey, f"{path}/{r.r_regionkey}"
+        if k:
+            tables.save(table(spark, d, "nation").where(F.col("n_regionkey") == k), one)
+        if k == 1:
+            tables.delete(spark, f"{one}/_SUCCESS")
+        seen.append((k, tables.exists(spark, one), tables.complete(spark, one)))
+    counts = tables.load(spark, f"{path}/*").groupBy(F.col("n_regionkey").alias("region")).agg(F.count("*").alias("nations"))
+    told = spark.createDataFrame(seen, "region int, there boolean, complete boolean")
+    return told.join(counts, "region", "left").withColumn("nations", F.coalesce("nations", F.lit(0).cast("long")))
 
 
 # ---- stages and pipelines
@@ -426,9 +431,18 @@ def stored_provenance(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(k, s.id, s.previous_id, s.version) for k, s in enumerate(load_chain(spark, path))], "ordinal int, id string, previous_id string, version string")
 
 
-@query("SELECT name, visible_default, required FROM (VALUES ('alignmentOutput', NULL, true), ('gtfPath', NULL, true), ('quantificationOutput', NULL, true), ('replayMode', 'skip', false)) v(name, visible_default, required) WHERE EXISTS (SELECT 1 FROM region)")
+@query("""SELECT lower(replace(n_name, ' ', '_')) AS name, CASE WHEN n_regionkey > 0 THEN CAST(n_nationkey AS VARCHAR) END AS visible_default, n_regionkey = 0 AS required FROM nation WHERE n_regionkey < 4
+UNION ALL SELECT 'replayMode', 'skip', false FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'table_' || r_regionkey, NULL, true FROM region""")
 def visible_parameters(spark: SparkSession, d: str) -> DataFrame:
-    found = Pipeline("count", [stages.Count("s")]).visible_params()
+    """Parameters of a pipeline whose stages are the regions and whose parameters their nations; those of one region are hidden."""
+
+    def stage(region: int, own: list) -> Stage:
+        kinds = [Param(r.n_name.lower().replace(" ", "_"), "a nation", int if region else str, r.n_nationkey if region else None, visible=region < 4) for r in own]
+        return type("OfRegion", (Stage,), {"params": (*kinds, Param(f"table_{region}", "output")), "outputs": (f"table_{region}",)})()
+
+    nations = table(spark, d, "nation").orderBy("n_nationkey").collect()  # 25 nations
+    regions_ = [r.r_regionkey for r in table(spark, d, "region").collect()]
+    found = Pipeline("nations", [stage(k, [r for r in nations if r.n_regionkey == k]) for k in regions_]).visible_params()
     return spark.createDataFrame([(p["name"], p["default"], p["required"]) for p in found], "name string, visible_default string, required boolean")
 
 
@@ -448,8 +462,10 @@ def coordinate_order(spark: SparkSession, d: str) -> DataFrame:
     return ro.with_ordinals(r, order, "referenceName", "place").select(F.col("readName").alias("name"), "place", "referenceName")
 
 
-@query(f"""WITH {READS}, tx AS (SELECT DISTINCT concat('t', CAST(o_orderkey AS VARCHAR)) AS transcript FROM orders) SELECT transcript FROM tx ORDER BY transcript LIMIT 10""")
+@query(f"""WITH {READS}, {FEATURES}, c AS (SELECT transcriptId, count(*) AS n FROM exons JOIN reads ON contig = referenceName AND s < fe AND e > fs GROUP BY 1)
+SELECT transcriptId AS transcript, CAST(n AS DOUBLE) AS score FROM c ORDER BY n DESC, transcriptId LIMIT 10""")
 def first_transcripts(spark: SparkSession, d: str) -> DataFrame:
-    """A top-k report, where the limit is the feature."""
-    scored = expression.score_transcripts(features(spark, d), spark.createDataFrame([], "transcriptId string, count long"), "s")
-    return scored.select(F.col("transcriptId").alias("transcript")).distinct().orderBy("transcript").limit(10)
+    """A top-k report over all transcripts, where the limit is the feature."""
+    f = features(spark, d)
+    scored = expression.score_transcripts(f, expression.count_reads(f, reads(spark, d)), "s")
+    return scored.select(F.col("transcriptId").alias("transcript"), "score").orderBy(F.desc("score"), "transcript").limit(10)
