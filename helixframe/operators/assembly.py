@@ -35,11 +35,11 @@ def shards(reads: DataFrame, lengths: DataFrame, size: int = 5000, padding: int
     return kept.withColumn("binEnd", F.least(F.col("binStart") + size, F.col("_len"))).drop("_c", "_len")
 
 
-def preprocessed(reads: DataFrame, before: Sequence[Callable[[DataFrame], DataFrame]] = (), keep: Callable[[DataFrame], DataFrame] | None = None, after: Sequence[Callable[[DataFrame], DataFrame]] = (), most: int = 0) -> DataFrame:
-    """What a caller's reads go through, in this order: transforms, a filter, transforms, downsampling per start."""
+def preprocessed(reads: DataFrame, before: Sequence[Callable[[DataFrame], DataFrame]] = (), keep: Callable[[DataFrame], DataFrame] | None = None, after: Sequence[Callable[[DataFrame], DataFrame]] = (), most: int = 0, thin: Callable[[DataFrame, int], DataFrame] = downsample) -> DataFrame:
+    """What a caller's reads go through, in this order: transforms, a filter, transforms, downsampling (`thin`, per start)."""
     for f in (*before, *([keep] if keep else []), *after):
         reads = f(reads)
-    return downsample(reads, most)
+    return thin(reads, most)
 
 
 def sorted_shards(sharded: DataFrame, partitions: int | None = None, contig: str = "referenceName") -> DataFrame:

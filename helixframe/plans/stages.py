@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import DEFAULT_QUALITY_BINS, bin_qualities
-from helixframe.operators import assembly, callers, expression, genotyping, kernels, recalibration
+from helixframe.operators import assembly, callers, expression, genotyping, kernels, recalibration, somatic
 from helixframe.operators import intervals as oi
 from helixframe.operators import reads as ro
 from helixframe.operators import variants as vo
 from helixframe.plans.params import Param, Settings
 from helixframe.plans.pipeline import MultiSample, Pipeline, Stage, extend, save_chain, stages_of
 from helixframe.session import own_session
-from helixframe.sources import alignments, features, manifest, tables, vcf
+from helixframe.sources import alignments, fasta, features, manifest, tables, vcf
 
 VERSION = "1"
 Aligner = Callable[[DataFrame], DataFrame]
@@ -155,10 +155,14 @@ class CallVariants(Stage):
     def output_exists(self, spark: SparkSession) -> bool:
         return tables.table_exists(spark, self.get("callVariantOutput"), "sampleId", [self.sample])
 
+    def treatment(self, spark: SparkSession) -> dict[str, object]:
+        """What reads go through besides the filter: `after` and `thin` of assembly.preprocessed."""
+        return {}
+
     def calls(self, spark: SparkSession, reads: DataFrame) -> DataFrame:
         s = Settings.of(spark)
         reads = target_reads(spark, reads, self.get("targetedRegions"), self.get("excludedRegions"), s.targetedRegionBinSize)
-        reads = assembly.preprocessed(reads, keep=lambda r: ro.quality_filter(r, self.get("minMappingQuality")), most=self.get("maxReadStartsPerPosition"))
+        reads = assembly.preprocessed(reads, keep=lambda r: ro.quality_filter(r, self.get("minMappingQuality")), most=self.get("maxReadStartsPerPosition"), **self.treatment(spark))
         lengths = self.lengths(spark) if callable(self.lengths) else self.lengths
         return assembly.call_shards(assembly.shards(reads, lengths, s.assemblyBinSize), *self.kernel(), partitions=s.assemblyPartitions or None)
 
@@ -178,12 +182,17 @@ class CallMutations(CallVariants):
     """Somatic calls of a tumour, with a normal if there is one, without sites of a panel of normals."""
 
     name = "CallMutations"
-    params = (*(p for p in CALL_PARAMS if p.name != "alignmentOutput"), Param("alignmentOutputTumor", "reads of the tumour"), Param("alignmentOutputNormal", "reads of the normal", **TEXT), Param("panelOfNormals", "VCF or table of sites", **TEXT))
+    params = (*(p for p in CALL_PARAMS if p.name != "alignmentOutput"), Param("alignmentOutputTumor", "reads of the tumour"), Param("alignmentOutputNormal", "reads of the normal", **TEXT), Param("panelOfNormals", "VCF or table of sites", **TEXT), Param("referenceFasta", "FASTA of the reference, for artefacts of palindromes to be clipped", **TEXT), Param("maxSuspiciousReadsPerAlignmentStart", "poorly mapped reads from which on a pile is left out, 0 for none", int, 0), Param("downsamplingStride", "alignment starts that are thinned together", int, 1))
 
     def __init__(self, pair: str, tumor: str, normal: str | None, lengths: DataFrame | Callable[[SparkSession], DataFrame], caller: Callable | None = None, schema: str | None = None, **values: object) -> None:
         super().__init__(pair, lengths, caller, schema, **values)
         self.tumor, self.normal = tumor, normal
 
+    def treatment(self, spark: SparkSession) -> dict[str, object]:
+        clip = lambda reads: somatic.clip_palindromes(reads, fasta.read_fasta(spark, self.get("referenceFasta")))
+        thin = lambda reads, most: somatic.thin_piles(reads, most, self.get("maxSuspiciousReadsPerAlignmentStart"), self.get("downsamplingStride"))
+        return {"after": [clip] if self.get("referenceFasta") else [], "thin": thin}
+
     def kernel(self) -> tuple[Callable, str]:
         return (self.caller, self.schema) if self.caller else (callers.somatic_caller(self.tumor, self.normal), callers.SOMATIC)
 
