@@ -24,6 +24,7 @@ classifier decides nothing.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -52,6 +53,20 @@ PROVIDERS = "aol comcast fastmail free gmail gmx googlemail hotmail icloud lapos
 ENDINGS = "at au be br ca ch cn com cz de dk edu es eu fi fr gov ie in info io it jp mil mx net nl no nz org pl pt ru se uk us".split()
 TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora"
 ROADS = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Court|Ct|Square|Terrace"
+#: The lists that a gazetteer table may give, and how many names each may have: they become parts of expressions.
+LISTS = {"given": GIVEN, "places": PLACES, "providers": PROVIDERS, "endings": ENDINGS}
+MOST_NAMES = 5000
+
+
+def named(names: list[str]) -> str:
+    """An expression of any of the names, longer ones first; one that nothing matches if there are none."""
+    return "|".join(re.escape(n) for n in sorted(set(names), key=lambda n: (-len(n), n))) or "(?!)"
+
+
+def person_pattern(given: list[str]) -> str:
+    return rf"(?<![A-Za-z])(?=[A-Z])(?:(?:{TITLES})\.? (?:{named(given)}|[A-Z][a-z]++)|(?:{named(given)}))(?: [A-Z]\.)? [A-Z][a-z]++(?![A-Za-z])"
+
+
 #: Equal in matches to the base expressions, for card but for runs too short to pass its condition.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9-](?:(?!\.(?![A-Za-z0-9-]))[A-Za-z0-9.-])*+",
@@ -62,8 +77,8 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "local": r"(?<![0-9+().-])(?<![0-9+)] )(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])",
     "obfuscated": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++ ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]++ ?(?:\[dot\]|\(dot\)) ?[A-Za-z]{2,}+",
-    "person": rf"(?<![A-Za-z])(?=[A-Z])(?:(?:{TITLES})\.? (?:{'|'.join(GIVEN)}|[A-Z][a-z]{{1,30}}+)|(?:{'|'.join(GIVEN)}))(?: [A-Z]\.)? [A-Z][a-z]{{1,30}}+(?![A-Za-z])",
-    "address": rf"(?<![0-9A-Za-z])[0-9]{{1,5}}+ (?:[A-Z][a-z]{{1,30}}+ ){{1,3}}?(?:{ROADS})(?![A-Za-z])",
+    "person": person_pattern(GIVEN),
+    "address": rf"(?<![0-9A-Za-z])[0-9]{{1,5}}+ (?:[A-Z][a-z]++ ){{1,3}}?(?:{ROADS})(?![A-Za-z])",
 }
 #: A cheap condition on the text before an expression is tried for offsets.
 NEEDS = {"email": "@", "phone": "+", "ip": ".", "ssn": "-", "obfuscated": "at"}
@@ -80,19 +95,22 @@ STRICT = {
     "person": rf"^(?:(?:{TITLES})\.? )?[A-Z][a-z]+(?: [A-Z]\.)? [A-Z][a-z]+$",
     "address": rf"^[1-9][0-9]{{0,4}} (?:[A-Z][a-z]+ )+(?:{ROADS})$",
 }
-#: What the gazetteers say of a kind, with private networks, issuers, calling codes and IBAN countries.
-GAZETTEER = {
-    "email": rf"(?i)@(?:{'|'.join(PROVIDERS)})\.|\.(?:{'|'.join(ENDINGS)})$",
-    "ip": r"^(?!0\.|255\.|127\.|22[4-9]\.|2[3-5][0-9]\.)",
-    "card": r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|35|30|36|38)",
-    "phone": r"^\+(1|7|20|27|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])",
-    "ssn": r"^(?!123-45-6789|078-05-1120|219-09-9999)",
-    "iban": r"^(AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|CH|CR|CY|CZ|DE|DK|DO|EE|ES|FI|FO|FR|GB|GE|GI|GL|GR|GT|HR|HU|IE|IL|IS|IT|JO|KW|KZ|LB|LI|LT|LU|LV|MC|MD|ME|MK|MR|MT|MU|NL|NO|PK|PL|PS|PT|QA|RO|RS|SA|SE|SI|SK|SM|TN|TR|UA|VG|XK)",
-    "local": r"^\(?(?!555|911|000)[2-9][0-8][0-9]",
-    "obfuscated": rf"(?i)(?:{'|'.join(ENDINGS)})$",
-    "person": rf"\b(?:{'|'.join(GIVEN)})\b",
-    "address": rf"^[ ,;.]*(?:[0-9]{{4,5}} )?(?:{'|'.join(PLACES)})\b",  # of the text after it
-}
+def gazetteer_patterns(lists: dict[str, list[str]]) -> dict[str, str]:
+    """What the gazetteers say of a kind, with private networks, issuers, calling codes and IBAN countries."""
+    return {
+        "email": rf"(?i)@(?:{named(lists['providers'])})\.|\.(?:{named(lists['endings'])})$",
+        "ip": r"^(?!0\.|255\.|127\.|22[4-9]\.|2[3-5][0-9]\.)",
+        "card": r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|35|30|36|38)",
+        "phone": r"^\+(1|7|20|27|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])",
+        "ssn": r"^(?!123-45-6789|078-05-1120|219-09-9999)",
+        "iban": r"^(AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|CH|CR|CY|CZ|DE|DK|DO|EE|ES|FI|FO|FR|GB|GE|GI|GL|GR|GT|HR|HU|IE|IL|IS|IT|JO|KW|KZ|LB|LI|LT|LU|LV|MC|MD|ME|MK|MR|MT|MU|NL|NO|PK|PL|PS|PT|QA|RO|RS|SA|SE|SI|SK|SM|TN|TR|UA|VG|XK)",
+        "local": r"^\(?(?!555|911|000)[2-9][0-8][0-9]",
+        "obfuscated": rf"(?i)(?:{named(lists['endings'])})$",
+        "person": rf"\b(?:{named(lists['given'])})\b",
+        "address": rf"^[ ,;.]*(?:[0-9]{{4,5}} )?(?:{named(lists['places'])})\b",  # of the text after it
+    }
+
+
 #: Words of the context that speak for a kind, and words that speak against personal data.
 CONTEXT = {
     "email": r"(?i)\b(e-?mail|mail|contact|write|correo|courriel|schreib)",
@@ -185,12 +203,12 @@ def neighbour(c: Column) -> Column:
     return F.when(c == "", 0).when(c.rlike(r"^\s$"), 1).when(c.rlike(r"^[\p{L}\p{N}]$"), 2).otherwise(3)
 
 
-def voted(kind: str, x: Column, longest: int) -> Column:
+def voted(kind: str, x: Column, longest: int, listed_as: dict[str, str]) -> Column:
     """A span with the four votes on it and its shape."""
     m, before, after = x["m"], x["before"], x["after"]
     yes_no = lambda c: F.when(c, 1).otherwise(-1)
     form = F.when(F.length(m) > longest, -1).otherwise(yes_no(m.rlike(STRICT[kind])))
-    listed = yes_no((after if kind == "address" else m).rlike(GAZETTEER[kind]))
+    listed = yes_no((after if kind == "address" else m).rlike(listed_as[kind]))
     context = F.when(before.rlike(CONTEXT[kind]), 1).when(before.rlike(AGAINST), -1).otherwise(0)
     checksum = yes_no(mod97(m)) if kind == "iban" else F.lit(1 if kind == "card" else 0)
     n = F.length(m)
@@ -203,8 +221,23 @@ def keeps(kind: str) -> Callable[[Column], Column]:
     return lambda x: holds(kind, x["m"])
 
 
-def votes_on(kind: str, longest: int) -> Callable[[Column], Column]:
-    return lambda x: voted(kind, x, longest)
+def votes_on(kind: str, longest: int, listed_as: dict[str, str]) -> Callable[[Column], Column]:
+    return lambda x: voted(kind, x, longest, listed_as)
+
+
+def lists_of(gazetteer: DataFrame | None) -> dict[str, list[str]]:
+    """The lists of names: those of a table with the columns list (given, places, providers or endings) and name instead of the
+    built-in ones of the same list. Lists that the table lacks are built in; null names and other lists are ignored."""
+    if gazetteer is None:
+        return LISTS
+    rows = gazetteer.where(F.col("list").isin(*LISTS) & F.col("name").isNotNull() & (F.col("name") != "")).select("list", "name").distinct()
+    got = rows.limit(MOST_NAMES * len(LISTS) + 1).collect()  # bounded
+    out: dict[str, list[str]] = {}
+    for r in got:
+        out.setdefault(r["list"], []).append(r["name"])
+    if any(len(x) > MOST_NAMES for x in out.values()):
+        raise ValueError(f"a list of a gazetteer has more than {MOST_NAMES} names")
+    return LISTS | out
 
 
 def apart(added: Column, base: Column) -> Column:
@@ -217,14 +250,15 @@ def apart(added: Column, base: Column) -> Column:
     return bound(blocks, lambda bs: F.filter(added, lambda x: ~F.exists(bs, meets(x))))
 
 
-def candidates(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
+def candidates(docs: DataFrame, longest: int = LONGEST, gazetteer: DataFrame | None = None) -> DataFrame:
     """doc_id and the voted spans of every row, by kind, then start. Added kinds leave out what a base span covers."""
-    text = F.col("text")
+    text, lists = F.col("text"), lists_of(gazetteer)
+    listed_as, patterns = gazetteer_patterns(lists), PATTERNS | {"person": person_pattern(lists["given"])}
     none = F.array().cast(f"array<{SPAN}>")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    for kind, pattern in PATTERNS.items():
+    for kind, pattern in patterns.items():
         there = text.rlike(pattern) if kind not in NEEDS else F.contains(text, F.lit(NEEDS[kind])) & text.rlike(pattern)
-        found = F.transform(F.filter(proposals(text, pattern), keeps(kind)), votes_on(kind, longest))
+        found = F.transform(F.filter(proposals(text, pattern), keeps(kind)), votes_on(kind, longest, listed_as))
         rows = rows.withColumn(kind, F.when(there, found).otherwise(none))
     base, added = F.concat(*BASE_KINDS), F.concat(*KINDS[4:])
     free = F.when(F.size(added) == 0, none).when(F.size(base) == 0, added).otherwise(bound(F.struct(added.alias("added"), base.alias("base")), lambda z: apart(z["added"], z["base"])))
@@ -301,10 +335,10 @@ def score_of(weights: list[float]) -> Callable[[Column], Column]:
     return score
 
 
-def find(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
+def find(docs: DataFrame, longest: int = LONGEST, gazetteer: DataFrame | None = None) -> DataFrame:
     """One row per document: counts and digest of the base kinds, all spans, and the classifier's confidence in each of
-    them in percent."""
-    found = written(candidates(docs, longest), "pii-candidates")
+    them in percent. `gazetteer`: a table of names, as lists_of reads it."""
+    found = written(candidates(docs, longest, gazetteer), "pii-candidates")
     # at most kinds * 3 ** votes * shapes rows
     combos = found.select(F.explode("found").alias("x")).groupBy("x.kind", *(f"x.{v}" for v in (*VOTES, *SHAPE))).agg(F.count("*").alias("n")).collect()
     counts = {tuple(r)[:-1]: r["n"] for r in combos}

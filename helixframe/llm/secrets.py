@@ -41,7 +41,7 @@ NPM = re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 JWT = re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
 #: Where an expression fails for want of what must follow a run of these, it fails at every keyword in that run.
 RUN = {"jwt": re.compile(rb"[A-Za-z0-9_-]+")}
-PEM = re.compile(rb"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END \1PRIVATE KEY-----")
+PEM = re.compile(rb"-----BEGIN ([A-Z ]*)PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END \1PRIVATE KEY-----")
 HEX_RUN = re.compile(rb"h{24,}")
 HEX_TABLE = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 HEX_LEAST = b"h" * 24
@@ -188,7 +188,7 @@ def token_sql(kind: str, prefix: str) -> str:
 
 
 _ASSIGN = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
-_PEM = "-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----[A-Za-z0-9+/=\\x20\\x09-\\x0D]+-----END ([A-Z ]{0,40})PRIVATE KEY-----"
+_PEM = "-----BEGIN ([A-Z ]*)PRIVATE KEY-----[A-Za-z0-9+/=\\x20\\x09-\\x0D]+-----END ([A-Z ]*)PRIVATE KEY-----"
 _HEAD = "translate(split_part(m, '.', 1), '-_', '+/')"
 _JSON = f"try(decode(from_base64({_HEAD} || repeat('=', CAST((4 - length({_HEAD}) % 4) % 4 AS BIGINT)))))"
 _KIND = "list_position([" + ", ".join(f"'{k}'" for k in KINDS) + "], kind)"

@@ -42,3 +42,9 @@ def test_heads_that_cannot_be_read():
     for head in (b"{" * 200_000, b"\xff\xfe\x00", b"", b'{"a":1}x', b"[" * 300_000):
         assert not secrets.jwt_holds(jwt(b'{"x"' + head).encode()) or head == b""
         secrets.jwt_holds(jwt(head).encode())
+
+
+def test_labels_of_any_length():
+    label = "VERY LONG LABEL " * 10
+    text = f"x -----BEGIN {label}PRIVATE KEY-----\nabc\n-----END {label}PRIVATE KEY----- y"
+    assert f"pem:2:{len(text) - 2}" in secrets.told(secrets.spans_of(text, secrets.automaton()))
