@@ -14,12 +14,13 @@ from collections.abc import Callable
 
 import pandas as pd
 
+from helixframe.operators import annotations
 from helixframe.operators.assembly import column_names
 from helixframe.operators.reads import reference_of
 from helixframe.operators.variants import NON_REF
 
 GENOTYPE = "struct<sampleId:string,phased:boolean,calls:array<int>,depth:int,alleleDepths:array<int>,conditionalQuality:int,phredLikelihoods:array<int>>"
-CALLS = f"contigName string, start bigint, end bigint, names array<string>, referenceAllele string, alternateAlleles array<string>, qual double, filters array<string>, INFO_DP int, genotypes array<{GENOTYPE}>"
+CALLS = f"contigName string, start bigint, end bigint, names array<string>, referenceAllele string, alternateAlleles array<string>, qual double, filters array<string>, INFO_DP int, {annotations.COLUMNS}, genotypes array<{GENOTYPE}>"
 SOMATIC = "contigName string, start bigint, end bigint, names array<string>, referenceAllele string, alternateAlleles array<string>, qual double, filters array<string>, INFO_TLOD double, INFO_NLOD double, genotypes array<struct<sampleId:string,phased:boolean,calls:array<int>,depth:int,alleleDepths:array<int>>>"
 #: The chance that an insertion or deletion in a read is an artefact.
 GAP_ERROR = 10**-4.0
@@ -27,22 +28,25 @@ GAP_ERROR = 10**-4.0
 Seen = tuple[str, float, str | None]  # allele, its error, sample
 
 
-def columns(reads: pd.DataFrame, lo: int, hi: int) -> tuple[dict[int, str], dict[int, list[Seen]], dict[int, list[tuple[str, str, str | None]]]]:
-    """Of places in [lo, hi): reference bases, observed bases, and gaps (reference allele, alternate, sample) anchored at
-    the base before them. Reads without CIGAR, MD or qualities are left out."""
+def columns(reads: pd.DataFrame, lo: int, hi: int) -> tuple[dict[int, str], dict[int, list[Seen]], dict[int, list[tuple[str, str, str | None]]], dict[int, list[annotations.Note]]]:
+    """Of places in [lo, hi): reference bases, observed bases, gaps (reference allele, alternate, sample) anchored at
+    the base before them, and a note for each observed base. Reads without CIGAR, MD or qualities are left out."""
+    notes: dict[int, list[annotations.Note]] = defaultdict(list)
     reference: dict[int, Counter] = defaultdict(Counter)
     bases: dict[int, list[Seen]] = defaultdict(list)
     gaps: dict[int, list[tuple[str, str, str | None]]] = defaultdict(list)
-    samples = reads["readGroupSampleId"] if "readGroupSampleId" in reads else [None] * len(reads)
-    for start, cigar, seq, quality, mapping, md, sample in zip(reads["start"], reads["cigar"], reads["sequence"], reads["qualityScores"], reads["mappingQuality"], reads["mismatchingPositions"], samples, strict=True):
+    samples, strands = (reads[c] if c in reads else [None] * len(reads) for c in ("readGroupSampleId", "readNegativeStrand"))
+    for start, cigar, seq, quality, mapping, md, sample, reverse in zip(reads["start"], reads["cigar"], reads["sequence"], reads["qualityScores"], reads["mappingQuality"], reads["mismatchingPositions"], samples, strands, strict=True):
         if not (cigar and seq and quality and md) or len(seq) != len(quality):
             continue
         letters, sites = reference_of(seq, int(start), cigar, md)
-        worst = 10 ** (-(mapping if mapping is not None and not pd.isna(mapping) else 60) / 10)
+        mapped = int(mapping) if mapping is not None and not pd.isna(mapping) else 60
+        worst = 10 ** (-mapped / 10)
         for k, at in enumerate(sites):
             if at is not None and lo <= at < hi:
                 reference[at][letters[k]] += 1
                 bases[at].append((seq[k], max(10 ** (-(ord(quality[k]) - 33) / 10), worst, 1e-6), sample))
+                notes[at].append((bool(reverse), ord(quality[k]) - 33, mapped, min(k, len(seq) - 1 - k)))
         gone = iter(re.findall(r"\^([A-Za-z]+)", md))
         on, at = 0, int(start)
         for n, kind in ((int(n), kind) for n, kind in re.findall("([0-9]+)([MIDNSHP=X])", cigar)):
@@ -52,7 +56,7 @@ def columns(reads: pd.DataFrame, lo: int, hi: int) -> tuple[dict[int, str], dict
                 gaps[at - 1].append((anchor, anchor + seq[on : on + n], sample) if kind == "I" else (anchor + deleted, anchor, sample))
             on += n * (kind in "MIS=X")
             at += n * (kind in "MDN=X")
-    return {at: c.most_common(1)[0][0] for at, c in reference.items()}, bases, gaps
+    return {at: c.most_common(1)[0][0] for at, c in reference.items()}, bases, gaps, notes
 
 
 def diploid(errors: list[tuple[bool, bool, float]]) -> list[float]:
@@ -88,7 +92,7 @@ def germline_caller(sample: str, least_quality: float = 10.0, heterozygosity: fl
     the alternates, as gVCF banding and joint genotyping need it."""
     names = column_names(CALLS)
 
-    def row(contig: str, at: int, ref: str, alts: list[str], ll: list[float], depth: int, counts: list[int], qual: float | None) -> tuple:
+    def row(contig: str, at: int, ref: str, alts: list[str], ll: list[float], depth: int, counts: list[int], qual: float | None, raw: dict | None = None) -> tuple:
         pl = phred(ll)
         order = sorted(pl)
         place = pl.index(0)
@@ -97,10 +101,10 @@ def germline_caller(sample: str, least_quality: float = 10.0, heterozygosity: fl
             b += 1
         call = [place - b * (b + 1) // 2, b]
         g = {"sampleId": sample, "phased": False, "calls": call, "depth": depth, "alleleDepths": counts, "conditionalQuality": min(99, order[1]), "phredLikelihoods": pl}
-        return (contig, at, at + len(ref), [], ref, alts, qual, [], depth, [g])
+        return (contig, at, at + len(ref), [], ref, alts, qual, [], depth, *annotations.columns_of(raw), [g])
 
     def call(contig: str, lo: int, hi: int, reads: pd.DataFrame) -> pd.DataFrame:
-        reference, bases, gaps = columns(reads, lo, hi)
+        reference, bases, gaps, notes = columns(reads, lo, hi)
         more = [NON_REF] if reference_confidence else []
         out = []
         for at in sorted(bases):
@@ -113,7 +117,7 @@ def germline_caller(sample: str, least_quality: float = 10.0, heterozygosity: fl
                 qual = variant_quality(ll, heterozygosity)
                 if qual >= least_quality:
                     other = diploid([(b == ref, False, e) for b, e, _ in seen])
-                    out.append(row(contig, at, ref, [alt, *more], with_other(ll, other) if more else ll, len(seen), [counts[ref], counts[alt], *([0] * len(more))], qual))
+                    out.append(row(contig, at, ref, [alt, *more], with_other(ll, other) if more else ll, len(seen), [counts[ref], counts[alt], *([0] * len(more))], qual, annotations.raw_of((b == ref, b == alt, x) for (b, _, _), x in zip(seen, notes[at], strict=True))))
                     found = True
             if own := Counter((r, a) for r, a, _ in gaps.get(at, [])):
                 (long, short), n = max(own.items(), key=lambda x: (x[1], x[0]))
@@ -158,7 +162,7 @@ def somatic_caller(tumor: str, normal: str | None = None, least_tumor: float = 6
         return (contig, at, at + len(ref), [], ref, [alt], 10 * tlod, filters, tlod, nlod, genotypes)
 
     def call(contig: str, lo: int, hi: int, reads: pd.DataFrame) -> pd.DataFrame:
-        reference, bases, gaps = columns(reads, lo, hi)
+        reference, bases, gaps, _ = columns(reads, lo, hi)
         out = []
         for at in sorted(bases):
             ref, seen = reference[at], bases[at]

@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from helixframe.operators import annotations
 from helixframe.operators.variants import NON_REF, SPANNING, bin_variants
 
-CALLED = "contigName string, start bigint, end bigint, referenceAllele string, alternateAlleles array<string>, qual double, genotypes array<struct<sampleId:string,calls:array<int>,phredLikelihoods:array<int>,depth:int,conditionalQuality:int>>"
+CALLED = "contigName string, start bigint, end bigint, referenceAllele string, alternateAlleles array<string>, qual double, " + annotations.COLUMNS + ", genotypes array<struct<sampleId:string,calls:array<int>,phredLikelihoods:array<int>,depth:int,conditionalQuality:int>>"
 SYMBOLS = (NON_REF, "<*>")
 
 
@@ -156,7 +157,10 @@ def call_locus(contig: str, start: int, state: dict[str, list[dict]], samples: l
         gq = sorted(out)[1] if len(out) > 1 else 99
         depth = next((r["depth"] for r in relevant[s] if r["depth"] is not None), None)
         rows.append({"sampleId": s, "calls": [renumber[x] for x in genotypes[s]], "phredLikelihoods": out, "depth": depth, "conditionalQuality": min(99, gq)})
-    return {"contigName": contig, "start": start, "end": start + len(named[0]), "referenceAllele": named[0], "alternateAlleles": named[1:], "qual": float(qual), "genotypes": rows}
+    # reads of the samples that have a row with an alternate here; blocks of reference keep none
+    raw = annotations.combined(r["raw"] for r in starting if r.get("raw") and any(map(is_real, r["alts"])))
+    told = dict(zip([f"INFO_{n}" for n in (*annotations.RAW, *annotations.VALUES)], annotations.columns_of(raw), strict=True))
+    return {"contigName": contig, "start": start, "end": start + len(named[0]), "referenceAllele": named[0], "alternateAlleles": named[1:], "qual": float(qual), **told, "genotypes": rows}
 
 
 class Active:
@@ -218,13 +222,14 @@ def genotype(variants: DataFrame, samples: list[str], size: int = 5000, partitio
     fields = variants.schema["genotypes"].dataType.elementType.fieldNames()
     g = F.get("genotypes", F.lit(0))
     depth = g["depth"] if "depth" in fields else F.lit(None)
-    flat = bin_variants(variants, size, partitions).select("contigName", "binId", "isDuplicate", "start", "end", "referenceAllele", "alternateAlleles", "sampleId", g["phredLikelihoods"].cast("array<int>").alias("pls"), depth.cast("int").alias("depth"))
-    names = ("contig", "bin", "duplicate", "start", "end", "ref", "alts", "sample", "pls", "depth")
+    flat = bin_variants(variants, size, partitions).select("contigName", "binId", "isDuplicate", "start", "end", "referenceAllele", "alternateAlleles", "sampleId", g["phredLikelihoods"].cast("array<int>").alias("pls"), depth.cast("int").alias("depth"), *((F.col(f"INFO_{n}") if f"INFO_{n}" in variants.columns else F.lit(None)).cast("array<int>").alias(n) for n in annotations.RAW))
+    names = ("contig", "bin", "duplicate", "start", "end", "ref", "alts", "sample", "pls", "depth", *annotations.RAW)
     target = variants.sparkSession.createDataFrame([], CALLED).schema
     arrow = to_arrow_schema(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (dict(zip(names, r, strict=True)) for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        rows = ({**r, "raw": {n: r[n] for n in annotations.RAW}} for r in rows)
         for _, own in groupby(rows, key=lambda r: (r["contig"], r["bin"])):
             calls = call_bin(own, samples, most_alts=most_alts)
             while held := list(islice(calls, 256)):
