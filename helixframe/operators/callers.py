@@ -74,6 +74,12 @@ def phred(ll: list[float]) -> list[int]:
     return [int(round(min(-10 * (x - best), 32_000))) for x in ll]
 
 
+def genotypes_of(seen: list[Seen], alleles: list[str]) -> list[float]:
+    """log10 likelihoods of the diploid genotypes of `alleles`, in order; <NON_REF> is what no read supports."""
+    chance = [[1 - e if b == a else e / 3 for a in alleles] for b, e, _ in seen]
+    return [sum(math.log10((p[x] + p[y]) / 2) for p in chance) for y in range(len(alleles)) for x in range(y + 1)]
+
+
 def with_other(ll: list[float], other: list[float]) -> list[float]:
     """Likelihoods of 0/0, 0/1, 1/1, 0/2, 1/2, 2/2 where allele 2 stands for anything unseen, which no read supports."""
     return [*ll, other[1], (ll[2] + other[2]) / 2, other[2]]
@@ -113,11 +119,17 @@ def germline_caller(sample: str, least_quality: float = 10.0, heterozygosity: fl
             found = False
             alt = max((b for b in counts if b not in (ref, "N")), key=lambda b: (counts[b], b), default=None)
             if alt is not None:
-                ll = diploid([(b == ref, b == alt, e) for b, e, _ in seen])
+                alts, ll = [alt], diploid([(b == ref, b == alt, e) for b, e, _ in seen])
                 qual = variant_quality(ll, heterozygosity)
                 if qual >= least_quality:
-                    other = diploid([(b == ref, False, e) for b, e, _ in seen])
-                    out.append(row(contig, at, ref, [alt, *more], with_other(ll, other) if more else ll, len(seen), [counts[ref], counts[alt], *([0] * len(more))], qual, annotations.raw_of((b == ref, b == alt, x) for (b, _, _), x in zip(seen, notes[at], strict=True))))
+                    for b in sorted((b for b in counts if b not in (ref, alt, "N")), key=lambda b: (-counts[b], b)):
+                        # a further alternate must explain the reads so much better that it is worth another variant
+                        further = genotypes_of(seen, [ref, *alts, b])
+                        if 10 * (max(further) - max(ll) + math.log10(heterozygosity)) >= least_quality:
+                            alts, ll = [*alts, b], further
+                    ll = genotypes_of(seen, [ref, *alts, *more])
+                    raw = annotations.raw_of((b == ref, b in alts, x) for (b, _, _), x in zip(seen, notes[at], strict=True))
+                    out.append(row(contig, at, ref, [*alts, *more], ll, len(seen), [counts[ref], *(counts[a] for a in alts), *([0] * len(more))], qual, raw))
                     found = True
             if own := Counter((r, a) for r, a, _ in gaps.get(at, [])):
                 (long, short), n = max(own.items(), key=lambda x: (x[1], x[0]))
@@ -167,15 +179,13 @@ def somatic_caller(tumor: str, normal: str | None = None, least_tumor: float = 6
         for at in sorted(bases):
             ref, seen = reference[at], bases[at]
             alts = Counter(b for b, _, s in seen if s == tumor and b not in (ref, "N"))
-            if alts:
-                alt = max(alts, key=lambda b: (alts[b], b))
+            for alt in sorted(alts, key=lambda b: (-alts[b], b)):
                 of: dict[str | None, list] = defaultdict(list)
                 for b, e, s in seen:
                     of[s].append((b == ref, b == alt, e))
                 out.append(judged(contig, at, ref, alt, of))
             own = Counter((r, a) for r, a, s in gaps.get(at, []) if s == tumor)
-            if own:
-                (long, short), _ = max(own.items(), key=lambda x: (x[1], x[0]))
+            for long, short in sorted(own, key=lambda x: (-own[x], x)):
                 have = Counter(s for r, a, s in gaps[at] if (r, a) == (long, short))
                 depth = Counter(s for _, _, s in seen)
                 of = {s: [(False, True, GAP_ERROR)] * have[s] + [(True, False, GAP_ERROR)] * max(0, depth[s] - have[s]) for s in depth}

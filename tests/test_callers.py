@@ -128,3 +128,35 @@ def test_no_reads_and_reads_without_md(spark):
     shards = assembly.shards(frame(spark, rows), lengths(spark), 500)
     assert assembly.call_shards(shards, callers.germline_caller("s", reference_confidence=True), callers.CALLS).count() == 0
     assert assembly.call_shards(shards.where("false"), callers.somatic_caller("s"), callers.SOMATIC).count() == 0
+
+
+def two_alternates(rng: random.Random, at: int, sample: str, ref_share: float = 0.0) -> list[dict]:
+    """Reads over a place where one copy has one alternate and the other another."""
+    rows = []
+    for r in simulated(rng, {}, sample, depth=30, errors=0.001):
+        if r["start"] <= at < r["start"] + 100 and r["cigar"] == "100M":
+            k = at - r["start"]
+            base = GENOME[at] if rng.random() < ref_share else rng.choice([b for b in "ACGT" if b != GENOME[at]][:2])
+            seq = GENOME[r["start"] : at] + base + GENOME[at + 1 : r["start"] + 100]
+            r |= {"sequence": seq, "mismatchingPositions": "100" if base == GENOME[at] else f"{k}{GENOME[at]}{99 - k}"}
+        rows.append(r)
+    return rows
+
+
+@pytest.mark.parametrize("confidence", [False, True])
+def test_both_alternates_of_a_site_are_called(spark, confidence):
+    at = 1500
+    shards = assembly.shards(frame(spark, two_alternates(random.Random(3), at, "s")), lengths(spark), 500)
+    rows = assembly.call_shards(shards, callers.germline_caller("s", reference_confidence=confidence), callers.CALLS).where("size(filter(alternateAlleles, x -> x <> '<NON_REF>')) > 0").collect()
+    assert [r.start for r in rows] == [at]
+    alts = [b for b in "ACGT" if b != GENOME[at]][:2]
+    assert sorted(rows[0].alternateAlleles) == sorted([*alts, *(["<NON_REF>"] if confidence else [])]) and rows[0].genotypes[0].calls == [1, 2]
+    assert len(rows[0].genotypes[0].phredLikelihoods) == (10 if confidence else 6)
+
+
+def test_each_somatic_alternate_has_a_row(spark):
+    at = 1500
+    rng = random.Random(4)
+    reads = simulated(rng, {}, "n") + two_alternates(rng, at, "t", 0.4)
+    got = assembly.call_shards(assembly.shards(frame(spark, reads), lengths(spark), 500), callers.somatic_caller("t", "n"), callers.SOMATIC).collect()
+    assert sorted((r.start, r.alternateAlleles[0]) for r in got) == sorted((at, b) for b in [b for b in "ACGT" if b != GENOME[at]][:2])
