@@ -14,7 +14,7 @@ from helixframe.plans.inputs import FEATURES, READS, VARIANTS, features, reads,
 from helixframe.plans.params import Param
 from helixframe.plans.pipeline import Pipeline, Stage, extend, load_chain, save_chain
 from helixframe.session import scratch_path
-from helixframe.sources import alignments, features as sf, manifest, tables, vcf
+from helixframe.sources import alignments, features as sf, manifest, tables, vcf, vcf_source
 
 SAMPLES = ["S0", "S1", "S2", "S3"]
 
@@ -69,6 +69,15 @@ def vcf_bgzf_single(spark: SparkSession, d: str) -> DataFrame:
     return told(tables.load_variants(spark, path))
 
 
+@query(VCF_SQL + " HAVING contigName = 'chr1' AND s >= 700")
+def vcf_source_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Written and read as a data source; tests of contig and start are pushed down to it."""
+    path = scratch_path(spark, "source")
+    vcf_source.register(spark)
+    called(spark, d).write.format("vcf").option("samples", ",".join(SAMPLES)).option("compression", "bgzf").mode("append").save(path)
+    return told(spark.read.format("vcf").load(path).where("contigName = 'chr1' and start >= 700"))
+
+
 @query(f"WITH {VARIANTS} SELECT contigName, s AS start_pos, count(*) AS n FROM (SELECT DISTINCT contigName, s, e, sampleId FROM variants) GROUP BY 1, 2")
 def vcf_sites(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "sites")
