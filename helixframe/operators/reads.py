@@ -14,9 +14,15 @@ from helixframe.functions.sequence import five_prime, on_strand, read_score
 from helixframe.session import scratch_path
 
 
+def good_read(least: int = 20) -> Column:
+    """Whether a read is mapped, no secondary line, no duplicate, passed vendor checks and has at least the mapping quality; null
+    where one of these is unknown."""
+    return (F.col("mappingQuality") >= least) & F.col("readMapped") & ~F.col("secondaryAlignment") & ~F.col("duplicateRead") & ~F.col("failedVendorQualityChecks")
+
+
 def quality_filter(reads: DataFrame, least: int = 20) -> DataFrame:
     """Mapped, primary-line, non-duplicate reads that passed vendor checks, of at least the mapping quality; null drops."""
-    return reads.where((F.col("mappingQuality") >= least) & F.col("readMapped") & ~F.col("secondaryAlignment") & ~F.col("duplicateRead") & ~F.col("failedVendorQualityChecks"))
+    return reads.where(good_read(least))
 
 
 def to_fragments(reads: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from helixframe.operators.expression import count_reads  # noqa: E402
-from helixframe.operators.reads import quality_filter  # noqa: E402
+from helixframe.operators.reads import good_read, quality_filter  # noqa: E402
 from jobs.common import configured, log, new_folder, started  # noqa: E402
 
 NAME = "expression"
@@ -59,8 +59,7 @@ def run(spark: SparkSession, tables: str, output: str, config: dict | None = Non
     reads = reads_of(read("lineitem"), read("supplier"), read("nation"), c["samples"])
     features = transcripts_of(read("orders"))
     kept = quality_filter(reads, c["least_mapping_quality"])
-    good = quality_filter(reads.select("*", F.lit(1).alias("one")), c["least_mapping_quality"]).groupBy("sample").agg(F.count("*").alias("n_kept"))
-    totals = reads.groupBy("sample").agg(F.count("*").alias("n_reads")).join(good, "sample", "left").withColumn("n_kept", F.coalesce("n_kept", F.lit(0)))
+    totals = reads.groupBy("sample").agg(F.count("*").alias("n_reads"), F.count_if(good_read(c["least_mapping_quality"])).alias("n_kept"))
     counts = count_reads(features, kept, c["bin_size"], by=("sample",))
     pairs = counts.groupBy("sample").agg(F.sum("count").alias("n_pairs"))
     place = features.where("featureType = 'transcript'").drop("featureType")
