@@ -6,7 +6,7 @@ number of rows and the key is needed to compute either, and counts of shards dif
 
 Equal rows (doc_id, size, crc) are counted first, in every task, and only their numbers are told apart in the end, so a doc_id or
 a text that a large part of all rows shares is no load. The leading digits of the MD5 deal rows into buckets of equal
-size, whose counts give every bucket its first number; inside a bucket, rows (no texts) are ranked. There is no global sort.
+size, whose counts give every bucket its first number (summed in two steps); inside a bucket, rows (no texts) are ranked. There is no global sort.
 
 Defined cases: a null text has size 1 and the CRC of no bytes; null doc_ids are numbered like others; repeated rows get
 different places; an empty table gives an empty result; very long texts are measured whole; other columns are ignored.
@@ -64,7 +64,12 @@ def numbered(groups: DataFrame, key: Column, order: list[str], within: tuple[str
     width = max(2, math.ceil(math.log(max(total.n, 1) / 50_000 + 1, 16)))
     keyed = groups.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, width))
     counts = keyed.groupBy(*within, "_bucket").agg(F.sum("copies").alias("_n"))
-    before = counts.select(*within, "_bucket", (F.sum("_n").over(Window.partitionBy(*within).orderBy("_bucket")) - F.col("_n")).alias("_before"))
+    # sums of earlier buckets in two steps, by the first half of the digits and inside it, so no task sees all buckets
+    halves = counts.withColumn("_half", F.substring("_bucket", 1, width // 2))
+    over = lambda c, *part: F.sum(c).over(Window.partitionBy(*within, *part).orderBy("_bucket" if part else "_half")) - F.col(c)
+    earlier = halves.groupBy(*within, "_half").agg(F.sum("_n").alias("_m"))
+    earlier = earlier.select(*within, "_half", over("_m").alias("_earlier"))
+    before = halves.withColumn("_own", over("_n", "_half")).join(earlier, [*within, "_half"]).select(*within, "_bucket", (F.col("_earlier") + F.col("_own")).alias("_before"))
     inside = F.sum("copies").over(Window.partitionBy(*within, "_bucket").orderBy("_key", *order)) - F.col("copies")
     rows = keyed.withColumn("_inside", inside).join(before, [*within, "_bucket"]).withColumn("row", F.col("_before") + F.col("_inside"))
     if (total.most or 1) > common.EACH:  # parts of a large group go to different tasks
