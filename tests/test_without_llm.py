@@ -19,6 +19,8 @@ def copied(target: Path, left: tuple[str, ...] = LEFT) -> None:
     """What is left when both folders are deleted, and the pipeline unless it is in `left`."""
     for name in left:
         source = ROOT / name
+        if not source.exists():  # it is deleted already
+            continue
         shutil.copytree(source, target / name, ignore=shutil.ignore_patterns("llm", "__pycache__")) if source.is_dir() else shutil.copy(source, target / name)
 
 
@@ -47,6 +49,7 @@ def test_nothing_else_imports_it():
             assert "helixframe.llm" not in p.read_text(), p
 
 
+@pytest.mark.skipif(not (ROOT / "helixframe/llm").exists(), reason="this is the rest")
 def test_the_other_tests_pass_without_it(tmp_path):
     copied(tmp_path)
     out = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only"], cwd=tmp_path, capture_output=True, text=True)
