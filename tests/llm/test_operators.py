@@ -497,12 +497,12 @@ def test_leaks_straight_reordered_and_clean(spark, no_docs):
     texts = [(1, prose(rng, 30) + " " + " ".join(item) + " " + prose(rng, 30)), (2, " ".join(turned)), (3, prose(rng, 200)), (4, " ".join(item[:12])), (5, None), (6, ""), (7, " ".join(w.upper() + "," for w in item)), (8, "a b"), (9, " ".join(item) * 300)]
     docs = docs_of(spark, texts)
     rows = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
-    assert set(rows) == {(1, 1), (2, 1), (7, 1), (9, 1)}
+    assert set(rows) == {(1, 1), (2, 1), (7, 1), (8, 3), (9, 1)}  # a short item is found as a whole
     assert rows[(2, 1)].n_tiles == 3 and rows[(2, 1)].coverage == 1.0
     joined = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench, most_bytes=0).collect()}
     assert joined == rows
     for most in (1 << 20, 0):
-        assert {r.doc_id for r in decontaminate.clean(docs, bench, most_bytes=most).collect()} == {3, 4, 5, 6, 8}
+        assert {r.doc_id for r in decontaminate.clean(docs, bench, most_bytes=most).collect()} == {3, 4, 5, 6}
     assert decontaminate.contaminated(no_docs, bench).count() == 0
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
