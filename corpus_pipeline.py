@@ -1,7 +1,8 @@
 """Corpus pipeline: five stages over `documents`, each written as Parquet and read again as the next one's input.
 
 Every stage works on all documents that its predecessor kept, and all but the last return the columns of documents.
-Null texts stay null where a stage keeps them; repeated rows are judged each, except that the n-gram Jaccard join keeps one
+Very long texts are worked on whole. Ties: of linked documents the smallest doc_id stays, of rows that share a doc_id the smallest text (then
+source, lang and n_chars); a score equal to the cut is kept, a coverage equal to the share goes. Null texts stay null where a stage keeps them; repeated rows are judged each, except that the n-gram Jaccard join keeps one
 row of each group; empty tables give empty results; columns beyond those of documents are dropped by the first stage.
 """
 
