@@ -64,7 +64,7 @@ class Shingler:
         if not words:
             return np.zeros(0, np.int64)
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > 150_000:
             known.clear()
         ids = [known.get(w) for w in words]
         if None in ids:
@@ -128,7 +128,7 @@ def group_block(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[
     return out
 
 
-def summaries(docs: DataFrame, k: int, flush: int = 3_000_000) -> DataFrame:
+def summaries(docs: DataFrame, k: int, flush: int = 1_500_000) -> DataFrame:
     """Rows of documents (doc_id, n, digest) and, with a null digest, rows of tokens that are frequent in a task (doc_id
     is the token, n its documents there)."""
     names = ["doc_id", "n", "digest"]
