@@ -87,6 +87,31 @@ def overlap_pairs(left: DataFrame, right: DataFrame, left_on: Interval, right_on
     return a.join(b, on).drop("_bin_l", "_bin_r", "_kind_l", "_kind_r", "_width")
 
 
+def overlap_totals(intervals: DataFrame, regions: DataFrame, on: Interval = DEFAULT, regions_on: Interval = DEFAULT) -> DataFrame:
+    """Each region with `n`, how many intervals overlap it, and `covered`, their common points added up; those without any are
+    left out, as are intervals and regions that end before they start. No pair is formed: of the intervals that start before a
+    region's end all overlap it but those that end by its start, and both are running sums over end points, so the work
+    grows with rows and not with overlaps."""
+    c, s, e = on
+    rc, rs, re = regions_on
+    zero, empty = F.lit(0).cast("long"), (F.col(s) == F.col(e)).cast("long")
+    at = lambda x, begun, done, first, last, none, asked: F.struct(*(v.cast("long").alias(n) for v, n in zip((x, begun, done, first, last, none, asked), names, strict=True)))
+    names = ("_at", "_begun", "_done", "_from", "_to", "_none", "_asked")
+    ends = intervals.where(F.col(s) <= F.col(e)).select(F.col(c).alias("_c"), F.explode(F.array(at(F.col(s), F.lit(1), zero, F.col(s), zero, zero, zero), at(F.col(e), zero, F.lit(1), zero, F.col(e), empty, zero))).alias("_m"))
+    asked = regions.where(F.col(rs) <= F.col(re)).select(F.col(rc).alias("_c"), F.explode(F.array(*(at(F.col(x), zero, zero, zero, zero, zero, F.lit(1)) for x in (rs, re)))).alias("_m"))
+    steps = ends.unionByName(asked).where("_c is not null").select("_c", "_m.*").groupBy("_c", "_at").agg(*(F.sum(n).alias(n) for n in names[1:]))
+    swept = running(steps, ["_c"], ["_at"], sums={f"{n}_sum": n for n in ("_begun", "_done", "_from", "_to")}).where("_asked > 0")
+    before = F.col("_begun_sum") - F.col("_begun")  # intervals that start before the point, and those that end by it
+    reach = F.col("_to_sum") + F.col("_at") * (before - F.col("_done_sum")) - (F.col("_from_sum") - F.col("_from"))  # their points before it
+    known = swept.select("_c", "_at", before.alias("_before"), F.col("_done_sum").alias("_ended"), reach.alias("_reach"), "_none")
+    side = lambda k: known.select(F.col("_c").alias(f"_c{k}"), *(F.col(n).alias(f"{n}{k}") for n in ("_at", "_before", "_ended", "_reach", "_none")))
+    here = lambda k, x: (F.col(rc) == F.col(f"_c{k}")) & (F.col(x) == F.col(f"_at{k}"))
+    both = regions.where(F.col(rs) <= F.col(re)).join(side(0), here(0, rs)).join(side(1), here(1, re))
+    # an empty interval at an empty region has ended there without having begun before it
+    n = F.col("_before1") - F.col("_ended0") + F.when(F.col(rs) == F.col(re), F.col("_none0")).otherwise(0)
+    return both.select(*regions.columns, n.alias("n"), (F.col("_reach1") - F.col("_reach0")).alias("covered")).where("n > 0")
+
+
 def _apart(regions: DataFrame, on: Interval) -> tuple[DataFrame, Interval]:
     names = ("_r_contig", "_r_start", "_r_end")
     return regions.select(*(F.col(c).alias(n) for c, n in zip(on, names, strict=True))), names
