@@ -141,3 +141,14 @@ def test_wrappers_and_names(markup, want):
 def test_articles_are_whole_however_many_pages_a_host_has(spark, pages):
     rows = [(k, f"http://h/{k}", f"<div>site</div><article><p>a block of all pages</p><p>text {k}</p></article>") for k in range(pages)]
     assert texts(spark, rows) == {k: f"a block of all pages\ntext {k}" for k in range(pages)}
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_the_template_judges_articles(spark, shared):
+    """A card that all pages of a host repeat is no text, though it is an article; a block they repeat within an article is."""
+    card = "<article><h2>Join us</h2><p>Read more of what we offer</p></article>"
+    inner = lambda k: f"<p>{'a block of all pages' if shared else f'block {k}'}</p><p>text {k}</p><section><article><p>inner</p></article></section>"
+    rows = [(k, f"http://h/{k}", f"<div>site</div>{card}<article>{inner(k)}</article>") for k in range(8)]
+    assert texts(spark, rows) == {k: f"{'a block of all pages' if shared else f'block {k}'}\ntext {k}\ninner" for k in range(8)}
+    # where nothing else is there, it is the page's text
+    assert texts(spark, [*rows, (9, "http://h/9", f"<div>site</div>{card}")])[9] == "Join us\nRead more of what we offer"
