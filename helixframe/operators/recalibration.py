@@ -17,22 +17,56 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.session import scratch_path
+
 #: Places of a bin, reads of a part of a bin, and cells that a task holds before it emits them.
 SITE_BIN, PART_ROWS, HELD = 100_000, 200_000, 1_000_000
 CELLS = "readGroupId string, q int, cycle int, context string, errors long, n long"
 
 
-def cell_codes(groups: np.ndarray | list[int], bases: list[bytes], qualities: list[bytes]) -> np.ndarray:
-    """One number for every base of some reads: its cell (group, reported quality, cycle, dinucleotide)."""
-    n = np.array([len(b) for b in bases], np.int64)
+def cell_codes(groups: np.ndarray, n: np.ndarray, bases: np.ndarray, qualities: np.ndarray) -> np.ndarray:
+    """One number for every base of some reads, of `n` bases each: its cell (group, reported quality, cycle, dinucleotide)."""
     ends = np.cumsum(n)
-    base, q = np.frombuffer(b"".join(bases), np.uint8).astype(np.int64), np.frombuffer(b"".join(qualities), np.uint8).astype(np.int64) - 33
+    base, q = bases.astype(np.int64), qualities.astype(np.int64) - 33
     cycle = np.arange(len(base)) - np.repeat(ends - n, n)
     # the base before and the base itself; a read's first base counts with its second
     at = np.arange(len(base)) - (cycle > 0)
     second = np.minimum(at + 1, np.repeat(ends, n) - 1)
     pair = base[at] * 256 + np.where(second > at, base[second], 0)
-    return ((np.repeat(np.array(groups, np.int64), n) * 128 + q) << 40) + (cycle << 16) + pair
+    return ((np.repeat(groups, n) * 128 + q) << 40) + (cycle << 16) + pair
+
+
+def sizes_of(column: pa.Array) -> np.ndarray:
+    """Bytes of each text, 0 for null."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def bytes_of(column: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """The bytes of the texts of some rows (a mask), one after the other; no text becomes a Python object."""
+    some = column.filter(pa.array(rows)).cast(pa.large_binary())
+    if not len(some):
+        return np.zeros(0, np.uint8)
+    at = np.frombuffer(some.buffers()[1], np.int64, len(some) + 1, some.offset * 8)
+    return np.frombuffer(some.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+
+
+def plain_reads(columns: list[pa.Array]) -> np.ndarray:
+    """Which reads have all of these texts, not empty, in ASCII and of one length."""
+    n = sizes_of(columns[0])
+    ok = n > 0
+    for c in columns:
+        ok &= (sizes_of(c) == n) & pc.fill_null(pc.string_is_ascii(c), False).to_numpy(zero_copy_only=False)
+    return ok
+
+
+def numbers_of(names: pa.Array, known: dict[str | None, int], grow: bool = False) -> np.ndarray:
+    """The number of each row's read group; with `grow` new groups get the next one."""
+    told = pc.unique(names)
+    if grow:
+        for g in told.to_pylist():
+            known.setdefault(g, len(known))
+    found = [known.get(g, -1) for g in told.to_pylist()]
+    return np.array(found, np.int64)[pc.index_in(names, value_set=told).to_numpy(zero_copy_only=False).astype(np.int64)]
 
 
 class Cells:
@@ -75,21 +109,17 @@ def counted(cells: Cells, batch: pa.RecordBatch, least: int, known: np.ndarray |
     """Count the bases of a batch of reads. With `known` sites those at them are left out; with `inside` only bases at these
     places count, and of bases without a place those of reads that start there."""
     of = lambda c: batch.column(batch.schema.get_field_index(c))
-    bases, quals, refs = (of(c).to_pylist() for c in ("sequence", "qualityScores", "referenceBases"))
-    ok = [k for k, (b, q, r) in enumerate(zip(bases, quals, refs, strict=True)) if b and q and r and len(b) == len(q) == len(r) and b.isascii() and q.isascii() and r.isascii()]
-    if not ok:
+    texts = [of(c) for c in ("sequence", "qualityScores", "referenceBases")]
+    ok = plain_reads(texts)
+    if not ok.any():
         return
-    text = lambda x: [x[k].encode() for k in ok]
-    base, qual, ref = text(bases), text(quals), text(refs)
-    groups = of("readGroupId").to_pylist()
-    codes = cell_codes([cells.groups.setdefault(groups[k], len(cells.groups)) for k in ok], base, qual)
-    flat = lambda x: np.frombuffer(b"".join(x), np.uint8)
-    b, r = flat(base), flat(ref)
-    keep = (flat(qual) >= least + 33) & (r != ord("-"))
+    b, qual, r = (bytes_of(c, ok) for c in texts)
+    n = sizes_of(texts[0])[ok]
+    codes = cell_codes(numbers_of(of("readGroupId").filter(pa.array(ok)), cells.groups, grow=True), n, b, qual)
+    keep = (qual >= least + 33) & (r != ord("-"))
     if inside is not None:
-        site = sites_of(batch, ok, [len(x) for x in base])
-        begin = of("start").to_pylist()
-        starts = np.repeat(np.array([-1 if begin[k] is None else begin[k] for k in ok], np.int64), [len(x) for x in base])
+        site = sites_of(batch, ok, n)
+        starts = np.repeat(starts_of(batch, ok), n)
         low, high = inside
         where = np.where(site < 0, starts, site)
         keep &= (where >= low) & (where < high) if low >= 0 else True
@@ -99,16 +129,20 @@ def counted(cells: Cells, batch: pa.RecordBatch, least: int, known: np.ndarray |
     cells.add(codes[keep], (b != r)[keep])
 
 
-def sites_of(batch: pa.RecordBatch, rows: list[int], sizes: list[int]) -> np.ndarray:
-    """The place of every base of some reads, -1 where it has none."""
+def starts_of(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
+    return pc.fill_null(batch.column(batch.schema.get_field_index("start")), -1).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+
+
+def sites_of(batch: pa.RecordBatch, rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The place of every base of some reads (a mask), of `n` bases each, -1 where it has none."""
     names = batch.schema.names
     if "referenceSites" in names:
-        lists = batch.column(names.index("referenceSites")).take(pa.array(rows))
-        if pc.list_value_length(lists).to_pylist() == sizes:
+        lists = batch.column(names.index("referenceSites")).filter(pa.array(rows))
+        if pc.list_value_length(lists).to_pylist() == n.tolist():
             return pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    begin = batch.column(names.index("start")).to_pylist()
-    starts = [begin[k] for k in rows]
-    return np.concatenate([np.arange(s, s + n) if s is not None else np.full(n, -1) for s, n in zip(starts, sizes, strict=True)]).astype(np.int64)
+    nowhere = np.repeat(batch.column(names.index("start")).is_null().to_numpy(zero_copy_only=False)[rows], n)
+    starts = np.repeat(starts_of(batch, rows), n)
+    return np.where(nowhere, -1, starts + np.arange(len(starts)) - np.repeat(np.cumsum(n) - n, n))
 
 
 def counts_alone(reads: DataFrame, least: int) -> DataFrame:
@@ -153,12 +187,15 @@ def counts_beside(reads: DataFrame, sites: DataFrame, least: int, size: int | No
         cells, now, held = Cells(), None, [np.zeros(0, np.int64)]
         for b in batches:
             names = b.schema.names
-            own = list(zip(*(b.column(names.index(c)).to_pylist() for c in keys), strict=True))
-            site = b.column(names.index("_site"))
-            begins = [k for k in range(len(own)) if k == 0 or own[k] != own[k - 1]]
-            for at, to in zip(begins, [*begins[1:], len(own)], strict=True):
-                if own[at] != now:
-                    now, held = own[at], [np.zeros(0, np.int64)]
+            site, changed = b.column(names.index("_site")), np.arange(b.num_rows) == 0
+            for c in keys:
+                column = b.column(names.index(c))
+                changed[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            begins = np.flatnonzero(changed).tolist()
+            for at, to in zip(begins, [*begins[1:], b.num_rows], strict=True):
+                own = tuple(b.column(names.index(c))[at].as_py() for c in keys)
+                if own != now:
+                    now, held = own, [np.zeros(0, np.int64)]
                 mine = site[at:to]
                 n = len(mine) - mine.null_count
                 if n:
@@ -181,7 +218,11 @@ def recalibrate(reads: DataFrame, known_sites: DataFrame | None, least_quality:
     length are not counted."""
     counts = counts_alone(reads, least_quality) if known_sites is None else counts_beside(reads, known_sites, least_quality)
     phred = lambda errors, n: F.round(-10 * F.log10((errors + 1) / (n + 2))).cast("int")
+    # cells are stored: the model takes them four times, and reads are counted in one pass
+    spark, path = reads.sparkSession, scratch_path(reads.sparkSession, "cells")
     table = counts.groupBy("readGroupId", "q", "cycle", "context").agg(F.sum("errors").alias("errors"), F.sum("n").alias("n"))
+    table.write.parquet(path)
+    table = spark.read.schema(table.schema).parquet(path)
     same = lambda a, b, on: a.alias("a").join(b.alias("b"), on_all(on)).select("a.*", *(F.col(f"b.{c}") for c in b.columns if c not in on))
     by_quality = table.groupBy("readGroupId", "q").agg(phred(F.sum("errors"), F.sum("n")).alias("global"))
     cycle = table.groupBy("readGroupId", "q", "cycle").agg(phred(F.sum("errors"), F.sum("n")).alias("of_cycle"))
@@ -236,22 +277,20 @@ def apply_recalibration(reads: DataFrame, model: DataFrame, most: int = 4_000_00
             known, codes, new = sent.value
             for b in batches:
                 cols = list(b.columns)
-                groups, bases, quals = (b.column(at[c]).to_pylist() for c in ("readGroupId", "sequence", "qualityScores"))
-                ok = [k for k, (s, q) in enumerate(zip(bases, quals, strict=True)) if s and q and len(s) == len(q) and s.isascii() and q.isascii()]
-                text = list(quals)
-                if ok:
-                    told = [quals[k].encode() for k in ok]
-                    mine = cell_codes([known[groups[k]] for k in ok], [bases[k].encode() for k in ok], told)
+                groups, bases, quals = (b.column(at[c]) for c in ("readGroupId", "sequence", "qualityScores"))
+                ok = plain_reads([bases, quals])
+                text = quals
+                if ok.any():
+                    was, n = bytes_of(quals, ok), sizes_of(quals)[ok]
+                    mine = cell_codes(numbers_of(groups.filter(pa.array(ok)), known), n, bytes_of(bases, ok), was)
                     place = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
-                    was = np.frombuffer(b"".join(told), np.uint8)
-                    whole = np.where(codes[place] == mine, new[place] + 33, was).astype(np.uint8).tobytes().decode()
-                    start = 0
-                    for k in ok:
-                        text[k] = whole[start : start + len(quals[k])]
-                        start += len(quals[k])
+                    whole = np.where(codes[place] == mine, new[place] + 33, was).astype(np.uint8)
+                    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+                    told = pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(ends), pa.py_buffer(whole)).cast(pa.string())
+                    text = pc.replace_with_mask(quals.cast(pa.string()), pa.array(ok), told)
                 if old is not None:
-                    cols[old] = pa.array(quals, pa.string())
-                cols[at["qualityScores"]] = pa.array(text, pa.string())
+                    cols[old] = quals
+                cols[at["qualityScores"]] = text
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
         part = within(reads, ids).mapInArrow(run, schema)

@@ -124,3 +124,23 @@ def test_flags_against_brute_force(spark):
         assert got[name] == (dup, left is not None)
     hot = spark.range(20_000).selectExpr("cast(id as string) as name", "'g' as rg", "'x' as library", "1 as left", "2 as right", "cast(id % 7 as int) as score")
     assert ro.duplicate_flags(hot, identity=("name", "rg")).where("not primaryDup").count() == 1
+
+
+def test_reads_are_counted_once(spark, monkeypatch):
+    """The model takes the cells of the reads several times, and applying it twice; the reads are counted in one pass."""
+    passes = spark.sparkContext.accumulator(0)
+    counted = rc.counts_alone
+
+    def counting(reads, least):  # noqa: ANN001, ANN202
+        def seen(batches):  # noqa: ANN001, ANN202
+            for b in batches:
+                passes.add(b.num_rows)
+                yield b
+
+        return counted(reads.mapInArrow(seen, reads.schema), least)
+
+    monkeypatch.setattr(rc, "counts_alone", counting)
+    df = spark.createDataFrame([("g", "c", k, "ACGT", "IIII", "ACGA", None) for k in range(40)], SCHEMA).repartition(3)
+    out = rc.apply_recalibration(df, rc.recalibrate(df, None)).collect()
+    assert len(out) == 40 and passes.value == 40
+    assert {r.qualityScores for r in out} != {"IIII"}
