@@ -47,17 +47,27 @@ def positions_and_score(alignments: Column | str) -> Column:
     first; right is the reverse one of the second and first, else the second. A single reverse read is both. Without reads
     numbered 0 or 1 left is the first primary or unmapped alignment."""
     a = F.col(alignments) if isinstance(alignments, str) else alignments
+    # each step is bound to a lambda's variable: higher-order functions are evaluated wherever they are written
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    prefer = lambda a, b, strand: F.when(a["orientation"] == strand, a).when(b["orientation"] == strand, b).otherwise(a)
+
+    def numbered(usable: Column, k: int) -> Column:
+        return F.get(F.transform(F.slice(F.filter(usable, lambda r: r["readInFragment"] == k), 1, 1), _position), F.lit(0))
+
+    def placed(p: Column) -> Column:
+        usable = p["usable"]
+        score = F.aggregate(F.filter(p["primary"], lambda r: ~F.coalesce(r["supplementaryAlignment"], F.lit(False))), F.lit(0), lambda s, r: s + F.coalesce(read_score(r["qualityScores"]), F.lit(0)))
+        return bound(F.struct(numbered(usable, 0).alias("first"), numbered(usable, 1).alias("second")), lambda n: sides(usable, n["first"], n["second"], score))
+
+    def sides(usable: Column, first: Column, second: Column, score: Column) -> Column:
+        either = first.isNotNull() | second.isNotNull()
+        left = F.when(either, prefer(first, second, "FORWARD")).otherwise(F.get(F.transform(F.slice(usable, 1, 1), _position), F.lit(0)))
+        right = F.when(either, prefer(second, first, "REVERSE"))
+        return F.struct(left.alias("left"), right.alias("right"), score.alias("score"))
+
     primary = F.filter(a, lambda r: F.coalesce(r["readMapped"], F.lit(False)) & F.coalesce(r["primaryAlignment"], F.lit(False)))
     unmapped = F.filter(a, lambda r: ~F.coalesce(r["readMapped"], F.lit(False)))
-    usable = F.concat(primary, unmapped)
-    numbered = lambda k: F.transform(F.slice(F.filter(usable, lambda r: r["readInFragment"] == k), 1, 1), _position)
-    first, second = F.get(numbered(0), F.lit(0)), F.get(numbered(1), F.lit(0))
-    prefer = lambda a, b, strand: F.when(a["orientation"] == strand, a).when(b["orientation"] == strand, b).otherwise(a)
-    either = first.isNotNull() | second.isNotNull()
-    left = F.when(either, prefer(first, second, "FORWARD")).otherwise(F.get(F.transform(F.slice(usable, 1, 1), _position), F.lit(0)))
-    right = F.when(either, prefer(second, first, "REVERSE"))
-    score = F.aggregate(F.filter(primary, lambda r: ~F.coalesce(r["supplementaryAlignment"], F.lit(False))), F.lit(0), lambda s, r: s + F.coalesce(read_score(r["qualityScores"]), F.lit(0)))
-    return F.struct(left.alias("left"), right.alias("right"), score.alias("score"))
+    return bound(bound(primary, lambda p: F.struct(p.alias("primary"), F.concat(p, unmapped).alias("usable"))), placed)
 
 
 def not_duplicates(keyed: DataFrame, library: str, left: str, right: str, score: str, identity: Sequence[str]) -> DataFrame:
@@ -65,10 +75,13 @@ def not_duplicates(keyed: DataFrame, library: str, left: str, right: str, score:
     of the best score (ties: smallest identity), unless it is unpaired and a pair has the same left position. Both steps are
     aggregates that tasks begin before anything is shuffled, so a position that many fragments share is a row for each task."""
     best = F.min(F.struct((-F.col(score)).alias("_worse"), *(F.col(c).alias(f"_{k}") for k, c in enumerate(identity))))
-    placed = keyed.where(F.col(left).isNotNull())
-    one = placed.groupBy(F.col(library).alias("_library"), F.col(left).alias("_left"), F.col(right).alias("_right")).agg(best.alias("_best"))
-    pairs = placed.where(F.col(right).isNotNull()).select(F.col(library).alias("_l"), F.col(left).alias("_p")).distinct()
-    beaten = F.col("_library").eqNullSafe(F.col("_l")) & (F.col("_left") == F.col("_p")) & F.col("_right").isNull()
+    # a test of the left position itself would be pushed down to the reads, and positions be computed again for it
+    there = F.max(F.col(left).isNotNull()).alias("_there")
+    one = keyed.groupBy(F.col(library).alias("_library"), F.col(left).alias("_left"), F.col(right).alias("_right")).agg(best.alias("_best"), there)
+    # taken from the same groups with the same columns, so they are shuffled once for both
+    pairs = one.groupBy(F.col("_library").alias("_l"), F.col("_left").alias("_p")).agg(F.max(F.col("_right").isNotNull()).alias("_pair"), F.count("_best").alias("_n"), F.max("_there").alias("_t")).where("_pair and _t and _n > 0").select("_l", "_p")
+    one = one.where("_there")
+    beaten = F.col("_library").eqNullSafe(F.col("_l")) & F.col("_left").eqNullSafe(F.col("_p")) & F.col("_right").isNull()
     return one.join(pairs, beaten, "left_anti").select(*(F.col(f"_best._{k}").alias(c) for k, c in enumerate(identity)))
 
 

@@ -144,3 +144,11 @@ def test_reads_are_counted_once(spark, monkeypatch):
     out = rc.apply_recalibration(df, rc.recalibrate(df, None)).collect()
     assert len(out) == 40 and passes.value == 40
     assert {r.qualityScores for r in out} != {"IIII"}
+
+
+def test_positions_of_fragments_are_computed_once(spark):
+    """Higher-order functions are evaluated wherever they are written, and each of three reads of a fragment has a position."""
+    row = "string(id) as readName, 'g' as readGroupId, int(id % 2) as readInFragment, 'c' as referenceName, id as start, id + 9 as `end`, id % 3 = 0 as readNegativeStrand, '9M' as cigar, repeat('?', 9) as qualityScores, repeat('A', 9) as sequence, true as readMapped, true as primaryAlignment, false as supplementaryAlignment, false as duplicateRead, 1L as insertSize"
+    fragments = ro.to_fragments(spark.range(40).selectExpr(*row.split(", ")[:8], "repeat('?', 9) as qualityScores", "repeat('A', 9) as sequence", *row.split(", ")[12:]))
+    p = fragments.select(ro.positions_and_score("alignments").alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("INDEPENDENT") <= 4
