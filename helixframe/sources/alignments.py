@@ -17,6 +17,11 @@ from helixframe.sources.bgzf import bodies_of, parts_of, read_parts
 
 BASES = "=ACMGRSVTWYHKDBN"
 OPERATIONS = "MIDNSHP=X"
+#: Bases as hexadecimal digits (others as the last) and back, qualities as letters and back.
+TO_HEX = bytes(ord(f"{BASES.find(chr(k).upper()) % 16 if k < 128 else 15:x}") for k in range(256))
+FROM_HEX = {ord(f"{k:x}"): a for k, a in enumerate(BASES)}
+UP, DOWN = bytes((k + 33) & 255 for k in range(256)), bytes((k - 33) & 255 for k in range(256))
+RUN = re.compile(r"([0-9]+)([MIDNSHP=X])")
 
 
 def short_name(name: str = "readName"):  # noqa: ANN201
@@ -62,7 +67,7 @@ def sam_line(body: bytes, contigs: list[str]) -> str:
     at += 4 * ops
     packed = body[at : at + (bases + 1) // 2]
     at += len(packed)
-    sequence = "".join(BASES[x >> 4] + BASES[x & 15] for x in packed)[:bases] or "*"
+    sequence = packed.hex().translate(FROM_HEX)[:bases] or "*"
     quality = body[at : at + bases]
     at += bases
     tags = []
@@ -87,7 +92,7 @@ def sam_line(body: bytes, contigs: list[str]) -> str:
             tags.append(f"{key}:f:{v:g}" if kind == "f" else f"{key}:i:{v}")
     name = lambda k: contigs[k] if k >= 0 else "*"
     told = "=" if mate >= 0 and mate == ref else name(mate)
-    shown = "*" if not bases or quality[0] == 255 else "".join(chr(q + 33) for q in quality)
+    shown = "*" if not bases or quality[0] == 255 else quality.translate(UP).decode("latin-1") if max(quality) < 223 else "".join(chr(q + 33) for q in quality)
     return "\t".join([body[32 : 31 + names].decode(), str(flag), name(ref), str(pos + 1), str(mapq), cigar, told, str(mate_pos + 1), str(size), sequence, shown, *tags])
 
 
@@ -98,7 +103,7 @@ def bam_part(path: str, start: int, end: int) -> Iterator[bytes]:
 
 
 def read_bam(spark: SparkSession, path: str | list[str], size: int | None = None) -> DataFrame:
-    """BAM files to the read model, in parts of `size` bytes (the session's split size), each a task."""
+    """BAM files to the read model, in parts of `size` bytes (the session's split size)."""
     files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
     return of_lines(read_parts(parts_of(spark, files, size), bam_part))
 
@@ -280,12 +285,12 @@ def write_sam(reads: DataFrame, path: str, header: list[str], single: bool = Fal
 def bam_record(line: str, contigs: dict[str, int]) -> bytes:
     """One SAM line as a BAM record, length first."""
     name, flag, ref, pos, mapq, cigar, mate, mate_pos, size, bases, quality, *tags = line.split("\t")
-    runs = re.findall(r"([0-9]+)([MIDNSHP=X])", cigar)
+    runs = RUN.findall(cigar)
     span = sum(int(n) for n, o in runs if o in "MDN=X") or 1
     start = int(pos) - 1
     seq = "" if bases == "*" else bases
-    packed = bytes(BASES.find(a.upper()) % 16 << 4 | (BASES.find(b.upper()) % 16 if b else 0) for a, b in zip(seq[::2], [*seq[1::2], *[""] * (len(seq) % 2)], strict=True))
-    quals = b"\xff" * len(seq) if quality == "*" else bytes(ord(q) - 33 for q in quality)
+    packed = bytes.fromhex(seq.encode("ascii", "replace").translate(TO_HEX).decode() + "0" * (len(seq) % 2))
+    quals = b"\xff" * len(seq) if quality == "*" else quality.encode("latin-1").translate(DOWN)
     extra = b""
     for t in tags:
         key, kind, value = t.split(":", 2)

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from helixframe.sources.binary import open_fs
 
 SUFFIX = ".bgz"
+#: Bytes of the parts of one task, and tasks for each that can run at once, where parts are small.
+TASK_BYTES, PER_SLOT = 16 << 20, 3
 MAGIC = b"\x1f\x8b\x08\x04"
 #: Bytes fetched at once; blocks and records in a row that prove a place.
 FETCH, CHAIN, RECORDS = 1 << 20, 3, 6
@@ -259,13 +261,16 @@ def bodies_of(path: str, start: int, end: int) -> Iterator[tuple[bytes, list[str
 
 
 def parts_of(spark: SparkSession, files: list[str], size: int | None = None, head: bool = False) -> DataFrame:
-    """(path, start, end): the parts of files, of the session's split size, each a task; with `head` the first of each file."""
+    """(path, start, end): the parts of files, of the session's split size; with `head` the first of each file."""
     size = size or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     found = spark.read.format("binaryFile").load(files).select("path", "length")
     starts = F.array(F.lit(0).cast("long")) if head else F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(size).cast("long"))
     parts = found.select("path", F.explode(starts).alias("start"), "length").select("path", "start", F.least(F.col("start") + size, "length").alias("end"))
     n = found.agg(F.sum(F.greatest(F.ceil(F.col("length") / size), F.lit(1)))).first()[0] if not head else len(files)
-    return parts.repartition(max(1, n))
+    total = found.agg(F.sum("length")).first()[0] or 0
+    # a task takes several parts if they are small, but at least as many tasks run as the session runs at once
+    tasks = min(n, max(PER_SLOT * spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))) if not head else n
+    return parts.repartition(max(1, int(tasks)))
 
 
 def read_parts(parts: DataFrame, read: Callable[[str, int, int], Iterator[str | bytes]]) -> DataFrame:

@@ -21,7 +21,7 @@ BGZF_BLOCK = 65_280
 
 def bgzf(data: Iterable[bytes], end: bool = True) -> Iterator[bytes]:
     """Blocked gzip of a stream."""
-    held = b""
+    held = bytearray()
 
     def block(raw: bytes) -> bytes:
         z = zlib.compressobj(6, zlib.DEFLATED, -15)
@@ -31,10 +31,10 @@ def bgzf(data: Iterable[bytes], end: bool = True) -> Iterator[bytes]:
     for piece in data:
         held += piece
         while len(held) >= BGZF_BLOCK:
-            yield block(held[:BGZF_BLOCK])
-            held = held[BGZF_BLOCK:]
+            yield block(bytes(held[:BGZF_BLOCK]))
+            del held[:BGZF_BLOCK]
     if held:
-        yield block(held)
+        yield block(bytes(held))
     if end:
         yield BGZF_END
 
@@ -72,8 +72,8 @@ def write_parts(lines: DataFrame, path: str, suffix: str, mode: str = "overwrite
             if task.partitionId() == 0 and head:
                 yield head
             for b in batches:
-                for v in b.column(0):
-                    yield v.as_py() if binary else v.as_py().encode() + b"\n"
+                for v in b.column(0).to_pylist():
+                    yield v if binary else v.encode() + b"\n"
 
         with own.open_output_stream(draft) as out:
             for block in bgzf(pieces(), end=end_all or task.partitionId() == parts - 1):

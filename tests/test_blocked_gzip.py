@@ -161,3 +161,18 @@ def test_features_of_a_blocked_file(spark, tmp_path):
     path = tmp_path / "a.bed.bgz"
     path.write_bytes(blocked([b"track x\nc1\t1\t", b"5\tn1\nc2\t7\t9\tn2\n"]))
     assert [(r.referenceName, r.start, r.end, r.name) for r in features.read_features(spark, str(path)).orderBy("start").collect()] == [("c1", 1, 5, "n1"), ("c2", 7, 9, "n2")]
+
+
+def test_small_parts_share_tasks(spark, tmp_path):
+    """A part is a few bytes here; tasks are bounded by what they read and by what runs at once, and no part is lost."""
+    path = tmp_path / "x.txt.bgz"
+    path.write_bytes(b"".join(binary_blocks(b"line %d\n" % k for k in range(400))))
+    parts = bgzf.parts_of(spark, [str(path)], 5)
+    assert parts.rdd.getNumPartitions() <= bgzf.PER_SLOT * spark.sparkContext.defaultParallelism
+    assert parts.count() == -(-path.stat().st_size // 5)
+
+
+def binary_blocks(lines):  # noqa: ANN001, ANN201
+    from helixframe.sources.binary import bgzf as blocks
+
+    return blocks(lines)
