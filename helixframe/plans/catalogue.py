@@ -351,10 +351,14 @@ def union_reads(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {READS}, a AS (SELECT referenceName, s AS start_pos, mappingQuality FROM reads WHERE library = 'O'), b AS (SELECT referenceName, s AS start_pos, mappingQuality FROM reads WHERE readNegativeStrand)
 SELECT *, 'missing' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'extra' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
 def diff_reads(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d)
-    c = ["referenceName", F.col("start").alias("start_pos"), "mappingQuality"]
-    a, b = r.where("library = 'O'").select(*c), r.where("readNegativeStrand").select(*c)
-    return a.exceptAll(b).withColumn("side", F.lit("missing")).unionByName(b.exceptAll(a).withColumn("side", F.lit("extra")))
+    """Both differences from one count: rows of the first side less those of the second, for each row as it is. Rows on both sides
+    at once cancel out before anything is held."""
+    told = lambda x: F.when(x, 1).otherwise(0)
+    sides = (told(F.col("library") == "O") - told(F.col("readNegativeStrand"))).cast("long")
+    rows = reads(spark, d).select("referenceName", F.col("start").alias("start_pos"), "mappingQuality", sides.alias("n")).where("n <> 0")
+    left = rows.groupBy("referenceName", "start_pos", "mappingQuality").agg(F.sum("n").alias("n")).where("n <> 0")
+    copies = F.explode(F.array_repeat(F.when(F.col("n") > 0, "missing").otherwise("extra"), F.abs("n").cast("int")))
+    return left.select("referenceName", "start_pos", "mappingQuality", copies.alias("side"))
 
 
 @query(f"""WITH {VARIANTS}, a AS (SELECT DISTINCT contigName, s FROM variants WHERE sampleId IN ('S0', 'S1')), b AS (SELECT DISTINCT contigName, s FROM variants WHERE sampleId IN ('S1', 'S2'))

@@ -49,3 +49,11 @@ def test_region_filter_reaches_the_scan(spark):
 
     plan = region_filter(rows_, [("R", 1, 5), ("N", 3, 9)])._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "LessThan(l_orderkey,5)" in plan
+
+
+def test_differences_of_reads_are_one_count(spark):
+    """Rows are scanned and shuffled once for both sides, as one number a row."""
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables here")
+    plan = catalogue.QUERIES["diff_reads"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and plan.count("Aggregate") == 1
