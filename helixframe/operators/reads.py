@@ -176,7 +176,10 @@ def with_ordinals(rows: DataFrame, order: Sequence[Column | str], within: str |
     found = found.drop("_range", "_place", "_before")
     if within is None:
         return found
-    first = found.groupBy(F.col(within).alias("_within")).agg(F.min(name).alias("_first"))
+    # stored, so that its size is known before the join: while values are few, rows are not shuffled by them, else a value would be a task
+    firsts = scratch_path(spark, "firsts")
+    found.groupBy(F.col(within).alias("_within")).agg(F.min(name).alias("_first")).write.parquet(firsts)
+    first = spark.read.schema(T.StructType([T.StructField("_within", rows.schema[within].dataType), T.StructField("_first", T.LongType())])).parquet(firsts)
     return found.join(first, F.col(within).eqNullSafe(F.col("_within"))).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_within", "_first")
 
 

@@ -69,3 +69,11 @@ def test_ordinals(spark, within):
         want.append((*r, n[r[0] if within else 0]))
     assert sorted((key(r[:3]), r[3]) for r in map(tuple, got.collect())) == sorted((key(r[:3]), r[3]) for r in want)
     assert ro.with_ordinals(df.where("false"), order, within).count() == 0
+
+
+def test_a_value_of_ordinals_is_no_task_of_its_own(spark):
+    df = spark.range(3000).selectExpr("concat('c', id % 2) AS c", "id AS k")
+    got = ro.with_ordinals(df, ("c", "k"), "c")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert got.where("ordinal = k div 2 + 1").count() == 3000
