@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from helixframe.operators.intervals import overlap_pairs
 
 
-def count_reads(features: DataFrame, reads: DataFrame, size: int = 1000, by: tuple[str, ...] = ()) -> DataFrame:
+def count_reads(features: DataFrame, reads: DataFrame, size: int = 1000, by: tuple[str, ...] = (), keys: tuple[str, ...] = ("transcriptId",)) -> DataFrame:
     """(transcriptId, count): overlapping pairs of exon and read, for each value of the reads' columns `by` (first in the
-    result). A read that touches two exons of a transcript counts twice."""
-    exons = features.where("featureType = 'exon'").select(F.col("referenceName").alias("_f_contig"), F.col("start").alias("_f_start"), F.col("end").alias("_f_end"), "transcriptId")
+    result). A read that touches two exons of a transcript counts twice. `keys` are the features' columns that tell transcripts apart."""
+    own = [k for k in keys if k != "referenceName"]
+    exons = features.where("featureType = 'exon'").select(F.col("referenceName").alias("_f_contig"), F.col("start").alias("_f_start"), F.col("end").alias("_f_end"), *own)
     narrow = reads.select(F.col("referenceName").alias("_contig"), F.col("start").alias("_start"), F.col("end").alias("_end"), *by)
-    return overlap_pairs(exons, narrow, ("_f_contig", "_f_start", "_f_end"), ("_contig", "_start", "_end"), size).groupBy(*by, "transcriptId").count()
+    pairs = overlap_pairs(exons, narrow, ("_f_contig", "_f_start", "_f_end"), ("_contig", "_start", "_end"), size)
+    return pairs.groupBy(*by, *(k if k in own else F.col("_f_contig").alias(k) for k in keys)).count()
 
 
 def score_transcripts(features: DataFrame, counts: DataFrame, sample: str) -> DataFrame:

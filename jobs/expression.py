@@ -29,13 +29,16 @@ from helixframe.operators.reads import good_read, quality_filter  # noqa: E402
 from jobs.common import configured, log, new_folder, started  # noqa: E402
 
 NAME = "expression"
+#: Up to this number of suppliers their samples are sent to the tasks (some 50 MB); more are joined by a shuffle of the reads.
+OWNERS_SENT = 1_000_000
 
 
 def reads_of(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, samples: list[str]) -> DataFrame:
-    """Aligned reads with their sample. Spark broadcasts suppliers and nations only while they are small."""
+    """Aligned reads with their sample. Spark cannot tell that suppliers with nations are few, and would shuffle reads each time they are used."""
     start = F.col("l_orderkey") * 10
     owner = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.lower("n_name").alias("sample"))
     owner = owner.where(F.col("sample").isin(samples)) if samples else owner.where("sample is not null")
+    owner = F.broadcast(owner) if owner.limit(OWNERS_SENT + 1).count() <= OWNERS_SENT else owner
     rows = lineitem.join(owner, F.col("l_suppkey") == F.col("s_suppkey"))
     return rows.select(
         "sample", F.concat(F.lit("chr"), (F.col("l_suppkey") % 5).cast("string")).alias("referenceName"), start.alias("start"), (start + F.floor("l_quantity")).alias("end"), (F.col("l_partkey") % 61).cast("int").alias("mappingQuality"),
@@ -44,12 +47,12 @@ def reads_of(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, sample
 
 
 def transcripts_of(orders: DataFrame) -> DataFrame:
-    """Features: a transcript of every order and its two exons."""
+    """Features: a transcript of every order and its two exons, each with the number of its order."""
     at = F.col("o_orderkey") * 10
     part = lambda kind, start, end: F.struct(F.lit(kind).alias("featureType"), (at + start).alias("start"), (at + end).alias("end"))
     named = orders.select("o_orderkey", "o_custkey").distinct()
     every = F.explode(F.array(part("transcript", 0, 27), part("exon", 0, 12), part("exon", 15, 27)))
-    return named.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("referenceName"), F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("transcriptId"), every.alias("f")).select("referenceName", "transcriptId", "f.*")
+    return named.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("referenceName"), F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("transcriptId"), "o_orderkey", every.alias("f")).select("referenceName", "transcriptId", "o_orderkey", "f.*")
 
 
 def run(spark: SparkSession, tables: str, output: str, config: dict | None = None) -> None:
@@ -60,17 +63,17 @@ def run(spark: SparkSession, tables: str, output: str, config: dict | None = Non
     features = transcripts_of(read("orders"))
     kept = quality_filter(reads, c["least_mapping_quality"])
     totals = reads.groupBy("sample").agg(F.count("*").alias("n_reads"), F.count_if(good_read(c["least_mapping_quality"])).alias("n_kept"))
-    counts = count_reads(features, kept, c["bin_size"], by=("sample",))
+    # order and contig tell a transcript and its place, so nothing is joined by transcript; sums of samples read the same shuffle as the matrix
+    counts = count_reads(features, kept, c["bin_size"], by=("sample",), keys=("o_orderkey", "referenceName"))
     pairs = counts.groupBy("sample").agg(F.sum("count").alias("n_pairs"))
-    place = features.where("featureType = 'transcript'").drop("featureType")
-    matrix = counts.join(place, "transcriptId").join(totals, "sample")  # a row a sample: small
-    rows = matrix.select("sample", "transcriptId", "referenceName", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "count", (F.col("count") * 1e6 / F.col("n_kept")).alias("per_million"))
     special = totals.join(pairs, "sample", "left").select("sample", F.explode(F.create_map(F.lit("__reads"), F.col("n_reads"), F.lit("__kept"), F.col("n_kept"), F.lit("__pairs"), F.coalesce("n_pairs", F.lit(0).cast("long")))).alias("transcriptId", "count"))
-    none = lambda t: F.lit(None).cast(t)
-    special = special.select("sample", "transcriptId", none("string").alias("referenceName"), none("long").alias("start_pos"), none("long").alias("end_pos"), "count", none("double").alias("per_million"))
-    out = rows.unionByName(special)
     # rows of a sample meet in few files; a large sample is split
-    out.hint("rebalance", "sample").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample").parquet(output)
+    dealt = counts.unionByName(special, allowMissingColumns=True).hint("rebalance", "sample")
+    start = F.col("o_orderkey") * 10
+    name, per_million = F.coalesce("transcriptId", F.concat(F.lit("t"), F.col("o_orderkey").cast("string"))), F.when(start.isNotNull(), F.col("count") * 1e6 / F.col("n_kept"))
+    out = dealt.join(F.broadcast(totals), "sample")  # a row a sample: small
+    out = out.select("sample", name.alias("transcriptId"), "referenceName", start.alias("start_pos"), (start + 27).alias("end_pos"), "count", per_million.alias("per_million"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample").parquet(output)
     written = result(spark, output)
     written = written.where(F.col("sample").isin(c["samples"])) if c["samples"] else written
     total = lambda name: F.coalesce(F.sum(F.when(F.col("transcriptId") == name, F.col("count"))), F.lit(0))

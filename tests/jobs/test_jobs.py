@@ -99,6 +99,28 @@ def test_expression_is_right_and_reruns(spark, tmp_path, caplog):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_an_order_on_two_contigs_is_counted_on_each(spark, tmp_path):
+    d, out = tables(spark, str(tmp_path / "in"), [(3, 20, 1, 1, 9.0), (3, 20, 6, 1, 9.0), (3, 20, 2, 1, 9.0)], [(3, 1), (3, 2)]), str(tmp_path / "out")
+    expression.run(spark, d, out)
+    got = expression.result(spark, out).where("referenceName is not null").collect()
+    assert sorted((r["sample"], r["transcriptId"], r["referenceName"], r["start_pos"], r["end_pos"], r["count"]) for r in got) == [("chad", "t3", "chr2", 30, 57, 1), ("peru", "t3", "chr1", 30, 57, 2)]
+
+
+def test_reads_are_not_shuffled_for_their_samples(spark, tmp_path, monkeypatch):
+    d = tables(spark, str(tmp_path / "in"), LINES, ORDERS)
+    read = lambda name: spark.read.parquet(f"{d}/{name}.parquet")
+    reads = lambda: expression.reads_of(read("lineitem"), read("supplier"), read("nation"), [])
+    plan = lambda: reads()._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert "BroadcastHashJoin [l_suppkey" in plan()
+        n = reads().count()
+        monkeypatch.setattr(expression, "OWNERS_SENT", 2)
+        assert "SortMergeJoin [l_suppkey" in plan() and reads().count() == n == sum(k for (_, t), k in brute(LINES, ORDERS).items() if t == "__reads")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_expression_of_some_samples_leaves_the_others(spark, tmp_path):
     d, out = tables(spark, str(tmp_path / "in"), LINES, ORDERS), str(tmp_path / "out")
     expression.run(spark, d, out)
