@@ -6,7 +6,9 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,63 +140,78 @@ def first_record(lines: list[str]) -> int:
     return max(range(len(whole)), key=lambda k: (whole[k], -k)) if whole else 0
 
 
-def fastq_parts(lines: DataFrame, stringency: str) -> DataFrame:
-    """Reads of FASTQ lines (value, file, block: the offset of the part of the file that a task reads), and, with a null
-    name, what a part has of records that cross its ends."""
-    names = [*RAW_READ.names, "file", "block", "edge", "lines"]
-    types = (pa.string(), pa.int32(), pa.binary(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()))
+def fastq_reads_of(lines: pa.Array, stringency: str) -> list[pa.Array]:
+    """The columns of the reads of whole records (names, numbers, bases, qualities); malformed ones are an error, or are left out unless STRICT."""
+    lines = pc.ascii_rtrim(lines, characters="\r")
+    name, bases, plus, quality = (lines.take(pa.array(np.arange(k, len(lines), 4))) for k in range(4))
+    right = pc.and_(pc.and_(pc.starts_with(name, "@"), pc.starts_with(plus, "+")), pc.equal(pc.utf8_length(bases), pc.utf8_length(quality)))
+    if not pc.all(right).as_py():
+        if stringency.upper() == "STRICT":
+            raise ValueError(f"malformed FASTQ record {name.filter(pc.invert(right))[0].as_py()!r}")
+        name, bases, quality = (c.filter(right) for c in (name, bases, quality))
+    if pc.any(pc.match_substring_regex(name, r"[^\t -~]")).as_py():  # what is white space beyond ASCII is told as for single records
+        one = [fastq_record([n, "", "+", ""], stringency)[:2] for n in name.to_pylist()]
+        return [pa.array([n for n, _ in one], pa.string()), pa.array([k for _, k in one], pa.int32()), bases.cast(pa.binary()), quality]
+    told = pc.extract_regex(name, r"^@(?P<name>\S*?)(?:/(?P<number>[12]))?(?:\s.*)?$")
+    number = pc.equal(pc.struct_field(told, "number"), "2").cast(pa.int32())
+    return [pc.struct_field(told, "name"), number, bases.cast(pa.binary()), quality]
+
+
+def fastq_parts(lines: DataFrame, stringency: str, edges: bool) -> DataFrame:
+    """Reads of FASTQ lines (value, file and other: what tells a file, block: the offset of the part of the file that a task reads), or, with `edges`,
+    what parts have of records that cross their ends. Lines stay in Arrow's arrays, but for a part's first ones and its ends."""
+    names = ["file", "other", "block", "edge", "lines"] if edges else RAW_READ.names
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())) if edges else (pa.string(), pa.int32(), pa.binary(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(types), types, strict=True)], names=names)
-
-        now, held, aligned = None, [], False
-        rows: list[tuple] = []
+        now, held, aligned = None, pa.array([], pa.string()), False
+        found: list[pa.RecordBatch] = []
 
-        def align() -> None:
-            """Take what belongs to an earlier part off the first lines of this one."""
-            nonlocal held, aligned
-            head = first_record(held) if now[1] else 0
-            if now[1]:
-                rows.append((None, None, None, None, *now, "head", held[:head]))
-            held, aligned = held[head:], True
+        def edge(kind: str, some: pa.Array) -> None:
+            if edges:
+                found.append(pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*now, kind, some.to_pylist()), types, strict=True)], names=names))
 
         def drain(end: bool) -> None:
-            nonlocal held
-            if not aligned and end and now[1] and len(held) < 7:  # no record need be whole in so few lines
-                rows.append((None, None, None, None, *now, "middle", held))
-                held = []
+            nonlocal held, aligned
+            if not aligned and end and now[2] and len(held) < 7:  # no record need be whole in so few lines
+                edge("middle", held)
+                held = held[:0]
                 return
-            if not aligned and (end or len(held) >= 256):
-                align()
+            if not aligned and (end or len(held) >= 4096):  # take what belongs to an earlier part off the first lines of this one
+                if now[2]:
+                    head = first_record(held[:4096].to_pylist())
+                    edge("head", held[:head])
+                    held = held[head:]
+                aligned = True
             if aligned:
                 upto = len(held) // 4 * 4
-                for k in range(0, upto, 4):
-                    if r := fastq_record(held[k : k + 4], stringency):
-                        rows.append((*r, *now, None, None))
+                if upto and not edges:
+                    found.append(pa.RecordBatch.from_arrays(fastq_reads_of(held[:upto], stringency), names=names))
                 held = held[upto:]
             if end:
-                rows.append((None, None, None, None, *now, "tail", held))
-                held = []
+                edge("tail", held)
+                held = held[:0]
 
         for b in batches:
-            for value, file, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if now != (file, block):
+            value, *keys = b.columns
+            a = np.stack([k.to_numpy() for k in keys])
+            starts = [0, *(np.flatnonzero((a[:, 1:] != a[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows] if b.num_rows else []
+            for lo, hi in zip(starts, starts[1:]):
+                part = tuple(int(x) for x in a[:, lo])
+                if now != part:
                     if now:
                         drain(True)
-                    now, aligned = (file, block), False
-                held.append(value)
-                if len(held) >= 4096:
-                    drain(False)
-                if len(rows) >= 4096:
-                    yield out(rows)
-                    rows.clear()
+                    now, aligned = part, False
+                more = value[lo:hi].cast(pa.string())
+                held = pa.concat_arrays([held, more]) if len(held) else more
+                drain(False)
+            yield from found
+            found.clear()
         if now:
             drain(True)
-        yield out(rows)
+        yield from found
 
-    schema = "readName string, readInFragment int, sequence binary, qualityScores string, file string, block long, edge string, lines array<string>"
-    return lines.mapInArrow(run, schema)
+    return lines.mapInArrow(run, "file long, other long, block long, edge string, lines array<string>" if edges else RAW_READ)
 
 
 def read_fastq(spark: SparkSession, path: str | list[str], second: str | list[str] | None = None, stringency: str = "STRICT") -> DataFrame:
@@ -221,11 +238,11 @@ def read_fastq(spark: SparkSession, path: str | list[str], second: str | list[st
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.string()), strict=True)], names=RAW_READ.names)
 
     def load(p: str | list[str]) -> DataFrame:
-        text = spark.read.text(p).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-        parts = fastq_parts(text, stringency)
+        file = F.col("_metadata.file_path")  # told by two hashes, so that no path goes along with each line
+        text = spark.read.text(p).select("value", F.xxhash64(file).alias("file"), F.xxhash64(F.lit("other"), file).alias("other"), F.col("_metadata.file_block_start").alias("block"))
         edge = F.struct("block", (F.col("edge") != "head").alias("after"), "edge", "lines")
-        edges = parts.where("edge is not null").groupBy("file").agg(F.sort_array(F.collect_list(edge)).alias("edges"))  # a few lines a part
-        return parts.where("edge is null").select(*RAW_READ.names).unionByName(edges.select("edges").mapInArrow(stitched, RAW_READ))
+        edges = fastq_parts(text, stringency, True).groupBy("file", "other").agg(F.sort_array(F.collect_list(edge)).alias("edges"))  # a few lines a part
+        return fastq_parts(text, stringency, False).unionByName(edges.select("edges").mapInArrow(stitched, RAW_READ))
 
     first = load(path)
     if second is None:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import gzip
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helixframe.operators import recalibration
 from helixframe.sources import alignments, tables
@@ -45,6 +47,34 @@ def test_cut_off_files(spark, tmp_path, size):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_columns_of_reads_are_those_of_single_records():
+    names = ["@a", "@a/1", "@a/2 more", "@a/3", "@", "@ x", "@a\tb /2", "@a/2/1", "@a/2x", "@/2", "@a b/2"]
+    for odd in ([], ["@a\u00a0b/2", "@\u00e9\u2003/1", "@a\x0b/2", "@\u00e9/2"]):
+        lines = [x for k, n in enumerate(names + odd) for x in (n, "ACGT"[: k % 4 + 1], "+", "@+I\u00e9"[: k % 4 + 1] + "\r" * (k % 2))]
+        want = [alignments.fastq_record(lines[k : k + 4], "STRICT") for k in range(0, len(lines), 4)]
+        assert list(zip(*(c.to_pylist() for c in alignments.fastq_reads_of(pa.array(lines), "STRICT")), strict=True)) == want
+        for wrong in (["a", "A", "+", "I"], ["@a", "A", "-", "I"], ["@a", "A", "+", "II"]):
+            got = alignments.fastq_reads_of(pa.array(lines[:4] + wrong + lines[4:]), "SILENT")
+            assert list(zip(*(c.to_pylist() for c in got), strict=True)) == want
+            with pytest.raises(ValueError, match="malformed"):
+                alignments.fastq_reads_of(pa.array(lines + wrong), "STRICT")
+
+
+def test_ends_of_parts_are_found_without_making_reads(spark, tmp_path):
+    text, rows = fastq(random.Random(3), 2000)
+    (tmp_path / "a.fq").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = spark.read.text(str(tmp_path / "a.fq")).select("value", F.lit(1).cast("long").alias("file"), F.lit(2).cast("long").alias("other"), F.col("_metadata.file_block_start").alias("block"))
+        parts = lines.select("block").distinct().count()
+        edges = alignments.fastq_parts(lines, "STRICT", True).collect()
+        assert parts > 5 and len(edges) == 2 * parts - 1 and sum(len(e["lines"]) for e in edges) <= 4 * parts
+        inside = alignments.fastq_parts(lines, "STRICT", False).count()
+        assert len(rows) - parts < inside <= len(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_failed_move_puts_old_partitions_back(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     frame = lambda v: spark.createDataFrame([(i, v) for i in range(3)], "id int, value int")
