@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ TASK_BYTES, PER_SLOT = 16 << 20, 3
 MAGIC = b"\x1f\x8b\x08\x04"
 #: Bytes fetched at once; blocks and records in a row that prove a place.
 FETCH, CHAIN, RECORDS = 1 << 20, 3, 6
+NUMBER = struct.Struct("<i")
 
 
 class Blocks:
@@ -164,15 +166,17 @@ class Header:
 
 
 def plausible(data: bytes, k: int, contigs: list[tuple[str, int]]) -> int | None:
-    """The length of the record that may stand at place k of `data` (which holds its fixed fields); None if none can."""
+    """The length of the record that may stand at place k of `data` (which holds its fixed fields); None if none can. Positions may lie beyond
+    the lengths that the header gives its contigs."""
     size, ref, pos, name, _, _, ops, _, bases, mate, mate_pos, _ = struct.unpack_from("<iiiBBHHHiiii", data, k)
     ok = size >= 32 and name >= 1 and bases >= 0 and -1 <= ref < len(contigs) and -1 <= mate < len(contigs) and 32 + name + 4 * ops + (bases + 1) // 2 + bases <= size
-    ok = ok and -1 <= pos and -1 <= mate_pos and (ref < 0 or pos <= contigs[ref][1]) and (mate < 0 or mate_pos <= contigs[mate][1])
-    if not ok:
+    if not ok or pos < -1 or mate_pos < -1:
         return None
     read_name = data[k + 36 : k + 36 + name]
     if len(read_name) == name and (read_name[-1] or not all(33 <= c <= 126 for c in read_name[:-1])):
         return None
+    if any(x & 15 > 8 for x in data[k + 36 + name : k + 36 + name + 4 * ops : 4]):  # no such operation
+        return None
     return size
 
 
@@ -210,8 +214,9 @@ def first_record(b: Blocks, at: int, contigs: list[tuple[str, int]]) -> int | No
         k += 1
 
 
-def bodies_of(path: str, start: int, end: int) -> Iterator[tuple[bytes, list[str]]]:
-    """The records of one part of a BAM file, without their lengths, and the names of contigs."""
+def records_of(path: str, start: int, end: int) -> Iterator[tuple[bytes, np.ndarray, list[str]]]:
+    """The records of one part of a BAM file in batches: data, the places in it where whole records begin (at their lengths) and a last one where
+    they end, and the names of contigs."""
     b = Blocks(path)
     head = Header(b)
     names = [c for c, _ in head.contigs]
@@ -223,40 +228,58 @@ def bodies_of(path: str, start: int, end: int) -> Iterator[tuple[bytes, list[str
         place = first_record(b, at, head.contigs)
     if at >= min(end, b.size) or place is None:
         return
-    held, own, past = b"", 0, None  # own: bytes of held that are this part's; past: the first block of the next one
+    held, own, past = bytearray(), 0, None  # own: bytes of held that are this part's; past: the first block of the next one
 
     def more() -> bool:
-        nonlocal held, own, at, past
+        nonlocal own, at, past
         if at >= b.size:
             return False
         if at >= end and past is None:
             past = at
             b.met(end, at)
         data, at = b.block(at)
-        held += data
+        held.extend(data)
         own += len(data) if past is None else 0
         return True
 
+    def need(n: int) -> None:
+        while len(held) < n:
+            if not more():
+                raise ValueError(f"{path} breaks off in a record")
+
     while len(held) <= place and more():
         pass
     k = place
     while True:
-        while k >= own and past is None and more():
+        while own - k < FETCH and past is None and more():
             pass
         if k >= own:
             break
-        while len(held) < k + 4:
-            if not more():
-                raise ValueError(f"{path} breaks off in a record")
-        size = struct.unpack_from("<i", held, k)[0]
-        while len(held) < k + 4 + size:
-            if not more():
-                raise ValueError(f"{path} breaks off in a record")
-        yield held[k + 4 : k + 4 + size], names
-        k += 4 + size
-        if k >= 1 << 20 and k <= own:
-            held, own, k = held[k:], own - k, 0
-    if past is not None and (found := first_record(b, past, head.contigs)) is not None and found != k - own:
+        found = []
+        while k < own:
+            need(k + 4)
+            size = NUMBER.unpack_from(held, k)[0]
+            if size < 32:
+                raise ValueError(f"{path}: a record of {size} bytes")
+            if found and past is None and len(held) < k + 4 + size:  # it is whole in the next batch
+                break
+            need(k + 4 + size)
+            found.append(k)
+            k += 4 + size
+        yield bytes(memoryview(held)[:k]), np.array([*found, k]), names
+        # what is left in held begins with the next record, or lies before it
+        gone = min(k, own)
+        del held[:gone]
+        own, k = own - gone, k - gone
+    if past is None:
+        return
+    found = first_record(b, past, head.contigs)
+    if found is None:  # right if the file ends with the last record of this part
+        while more():
+            pass
+        if len(held) != k:
+            raise ValueError(f"{path}: the part from {end} on would find none of its records, of which one begins {k - own} into the block at {past}")
+    elif found != k - own:
         raise ValueError(f"{path}: the part from {end} on would begin {found} into the block at {past} instead of {k - own}")
 
 

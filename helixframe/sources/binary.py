@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -45,9 +45,9 @@ def open_fs(path: str):  # noqa: ANN201
     return fs.FileSystem.from_uri(path if "://" in path else path.removeprefix("file:"))
 
 
-def write_parts(lines: DataFrame, path: str, suffix: str, mode: str = "overwrite", head: bytes = b"", end_all: bool = True) -> None:
-    """Blocked gzip files of the `value` column (text lines get a line end; binary is taken as it is), one a partition.
-    `head` goes before the first partition's; without `end_all` only the last file has the closing block."""
+def write_parts(lines: DataFrame, path: str, suffix: str, mode: str = "overwrite", end: bool = True, encode: Callable[[Iterator[pa.RecordBatch]], Iterable[bytes]] | None = None) -> None:
+    """Blocked gzip files, one a partition, of what `encode` makes of its batches; without it of the `value` column (text lines get a line end;
+    binary is taken as it is). Without `end` no file has the closing block: `join_blocked` adds it."""
     fs, root = open_fs(path)
     from pyarrow.fs import FileSelector, FileType
 
@@ -59,8 +59,9 @@ def write_parts(lines: DataFrame, path: str, suffix: str, mode: str = "overwrite
     if exists and mode == "overwrite":
         fs.delete_dir(root)
     fs.create_dir(root, recursive=True)
-    binary = lines.schema["value"].dataType.simpleString() == "binary"
-    parts = lines.rdd.getNumPartitions() if not end_all else 0
+    if encode is None:
+        binary = lines.schema["value"].dataType.simpleString() == "binary"
+        encode = lambda batches: (v if binary else v.encode() + b"\n" for b in batches for v in b.column(0).to_pylist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -68,15 +69,8 @@ def write_parts(lines: DataFrame, path: str, suffix: str, mode: str = "overwrite
         name = f"part-{task.partitionId():05d}{suffix}"
         draft = f"{folder}/_{name}-{task.taskAttemptId()}"
 
-        def pieces() -> Iterator[bytes]:
-            if task.partitionId() == 0 and head:
-                yield head
-            for b in batches:
-                for v in b.column(0).to_pylist():
-                    yield v if binary else v.encode() + b"\n"
-
         with own.open_output_stream(draft) as out:
-            for block in bgzf(pieces(), end=end_all or task.partitionId() == parts - 1):
+            for block in bgzf(encode(batches), end=end):
                 out.write(block)
         own.move(draft, f"{folder}/{name}")
         yield pa.RecordBatch.from_arrays([pa.array([name], pa.string())], names=["name"])
@@ -89,25 +83,35 @@ def write_parts(lines: DataFrame, path: str, suffix: str, mode: str = "overwrite
         pass
 
 
-def join_parts(text: DataFrame, path: str, head: str, codec: str = "") -> None:
-    """Write `text` (value, in partition order) in parallel, then join header and parts to the single file `path`."""
-    import gzip
-
-    tmp = f"{path}.parts"
-    if codec == "bgzf":
-        write_parts(text, tmp, ".bgz", head=head.encode(), end_all=False)
-    else:
-        text.write.mode("overwrite").option("compression", "gzip" if codec == "gzip" else "none").text(tmp)
-    fs, root = open_fs(tmp)
+def join_files(folder: str, path: str, before: bytes, after: bytes = b"") -> None:
+    """One file of the parts in a folder, in order, between two pieces; the folder goes."""
+    fs, root = open_fs(folder)
     _, target = open_fs(path)
     from pyarrow.fs import FileSelector
 
-    names = sorted(f.path for f in fs.get_file_info(FileSelector(root)) if f.base_name.startswith("part-"))
     with fs.open_output_stream(target, compression=None) as out:
-        if codec != "bgzf":
-            out.write(gzip.compress(head.encode()) if codec == "gzip" else head.encode())
-        for name in names:
+        out.write(before)
+        for name in sorted(f.path for f in fs.get_file_info(FileSelector(root)) if f.base_name.startswith("part-")):
             with fs.open_input_stream(name, compression=None) as part:
                 while piece := part.read(1 << 22):
                     out.write(piece)
+        out.write(after)
     fs.delete_dir(root)
+
+
+def join_blocked(folder: str, path: str, head: bytes) -> None:
+    """One blocked gzip file of parts written without closing blocks."""
+    join_files(folder, path, b"".join(bgzf([head], end=False)), BGZF_END)
+
+
+def join_parts(text: DataFrame, path: str, head: str, codec: str = "") -> None:
+    """Write `text` (value, in partition order) in parallel, then join header and parts to the single file `path`."""
+    import gzip
+
+    tmp = f"{path}.parts"
+    if codec == "bgzf":
+        write_parts(text, tmp, ".bgz", end=False)
+        join_blocked(tmp, path, head.encode())
+        return
+    text.write.mode("overwrite").option("compression", "gzip" if codec == "gzip" else "none").text(tmp)
+    join_files(tmp, path, gzip.compress(head.encode()) if codec == "gzip" else head.encode())
